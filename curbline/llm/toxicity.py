@@ -1,7 +1,7 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
 P(grade <= j) = sigmoid(theta_j - w.x), with one weight vector w for all grades and ordered thresholds theta. Features
-are the distinct words of a text and their first four to six letters; x is 1 where a feature occurs. The model is fitted
+are words and their first four to six letters; x is log2(1 + distinct words of the text that have the feature). The model is fitted
 on a bounded sample of labelled rows (``SAMPLE`` of each label, chosen by hash of the id): labels tell toxic from clean,
 and toxic rows are graded mild or severe by the share of their words that mark toxic rows. All texts are scored whole.
 
@@ -11,6 +11,7 @@ document are left out; repeated rows get equal results; without labelled rows of
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterable
@@ -21,10 +22,12 @@ from pyspark.sql import functions as F
 
 from curbline.llm.common import map_texts
 
-#: Labelled rows of each kind that a fit reads at most; features a fit keeps at most; documents of a feature at least.
-SAMPLE, FEATURES, LEAST_DOCS = 3000, 20_000, 6
-#: Grades: 0 clean, 1 mild, 2 severe. A document is rejected from this expected grade on.
-GRADES, REJECT = 3, 0.5
+#: Labelled rows of each kind that a fit reads at most; features a fit keeps at most; distinct toxic texts of a feature at least, and share of them.
+#: Log odds at which a feature counts fully in the penalty; weaker ones are trusted by the square of the ratio.
+ODDS = 4.0
+SAMPLE, FEATURES, LEAST_DOCS, LEAST_SHARE = 3000, 20_000, 6, 0.005
+#: Grades: 0 clean, 1 mild, 2 severe. The bar of rejection is the expected grade with the fewest errors on the sample, a clean row rejected counting ``CARE`` times.
+GRADES, CARE = 3, 4
 _WORD = re.compile(r"\w+")
 
 
@@ -33,14 +36,16 @@ def features_of(word: str) -> list[int]:
     return [zlib.crc32(f.encode()) for f in (word, *(f"^{word[:n]}" for n in (4, 5, 6) if len(word) > n))]
 
 
-def text_features(text: str | None, known: dict[str, list[int]]) -> set[int]:
-    out: set[int] = set()
+def text_features(text: str | None, known: dict[str, list[int]], chosen: dict | None = None) -> dict[int, int]:
+    """Distinct words of the text for each feature; only of features in ``chosen`` if given. ``known``: a bounded memory of words."""
+    out: dict[int, int] = {}
     for w in set(_WORD.findall((text or "").lower())):
         if (f := known.get(w)) is None:
-            f = features_of(w)
+            f = features_of(w) if chosen is None else [i for i in features_of(w) if i in chosen]
             if len(known) < 300_000:
                 known[w] = f
-        out.update(f)
+        for i in f:
+            out[i] = out.get(i, 0) + 1
     return out
 
 
@@ -48,7 +53,10 @@ class Ordinal:
     """Weights by feature id, and thresholds in ascending order."""
 
     def __init__(self, weights: dict[int, float], thetas: list[float]):
-        self.weights, self.thetas = weights, thetas
+        self.weights, self.thetas, self.reject = weights, thetas, 0.5
+
+    def score(self, counts: dict[int, int]) -> float:
+        return sum(self.weights[i] * math.log2(1 + counts[i]) for i in sorted(counts))
 
     def severity(self, score: float) -> tuple[float, int]:
         """(expected grade, likeliest grade) at w.x = score."""
@@ -57,20 +65,21 @@ class Ordinal:
         return float(sum(above)), int(np.argmax(each))
 
 
-def fit_ordinal(rows: Iterable[tuple[int, np.ndarray]], columns: np.ndarray, grades: int = GRADES, l2: float = 0.05, steps: int = 250) -> Ordinal:
-    """Penalised maximum likelihood by Adam. ``rows``: (grade, positions in ``columns`` of the features present)."""
+def fit_ordinal(rows: Iterable[tuple[int, np.ndarray, np.ndarray]], columns: np.ndarray, trust: np.ndarray, grades: int = GRADES, l2: float = 0.4, steps: int = 1000) -> Ordinal:
+    """Penalised maximum likelihood by Adam; values come multiplied by ``trust``, which the weights then take over. ``rows``: (grade, positions in ``columns`` of the features present, their values)."""
     rows = list(rows)
     if not rows:
         return Ordinal({}, [1e9] * (grades - 1))
-    y = np.array([g for g, _ in rows])
-    at = np.concatenate([np.full(len(c), k) for k, (_, c) in enumerate(rows)]).astype(np.int64)
-    col = np.concatenate([c for _, c in rows]).astype(np.int64)
+    y = np.array([g for g, _, _ in rows])
+    at = np.concatenate([np.full(len(c), k) for k, (_, c, _) in enumerate(rows)]).astype(np.int64)
+    col = np.concatenate([c for _, c, _ in rows]).astype(np.int64)
+    x = np.concatenate([v for _, _, v in rows])
     n, m, j = len(rows), len(columns), grades - 1
     p = np.zeros(m + j)
     p[m] = 1.0  # first threshold; the others are the logs of the gaps
     mean, square = np.zeros_like(p), np.zeros_like(p)
     for step in range(1, steps + 1):
-        score = np.bincount(at, p[col], n)
+        score = np.bincount(at, p[col] * x, n)
         theta = p[m] + np.concatenate([[0], np.cumsum(np.exp(p[m + 1 :]))])
         cdf = 1 / (1 + np.exp(-np.clip(theta[None, :] - score[:, None], -40, 40)))
         cdf = np.concatenate([np.zeros((n, 1)), cdf, np.ones((n, 1))], 1)
@@ -82,15 +91,15 @@ def fit_ordinal(rows: Iterable[tuple[int, np.ndarray]], columns: np.ndarray, gra
             slope = cdf[:, k + 1] * (1 - cdf[:, k + 1])
             d_theta[k] = np.sum(np.where(y == k, -slope / prob, np.where(y == k + 1, slope / prob, 0)))
         grad = np.empty_like(p)
-        grad[:m] = np.bincount(col, d_score[at], m) / n + l2 * p[:m] / n * 10
+        grad[:m] = np.bincount(col, d_score[at] * x, m) / n + l2 * p[:m] / n
         grad[m] = d_theta.sum() / n
         for k in range(1, j):
             grad[m + k] = d_theta[k:].sum() * np.exp(p[m + k]) / n
         mean = 0.9 * mean + 0.1 * grad
         square = 0.999 * square + 0.001 * grad**2
-        p -= 0.05 * mean / (1 - 0.9**step) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+        p -= 0.1 * mean / (1 - 0.9**step) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
     theta = p[m] + np.concatenate([[0], np.cumsum(np.exp(p[m + 1 :]))])
-    return Ordinal({int(c): float(w) for c, w in zip(columns, p[:m]) if abs(w) > 1e-4}, theta.tolist())
+    return Ordinal({int(c): float(w * t) for c, w, t in zip(columns, p[:m], trust) if abs(w * t) > 1e-4}, theta.tolist())
 
 
 def sample_of(labels: DataFrame, id_col: str, label: str, size: int) -> DataFrame:
@@ -106,58 +115,58 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows = documents.join(chosen, F.col(id_col) == F.col("_id")).select(F.col(text_col).alias("t"), "_y")
 
     def run(known, texts, ys):
-        return {"y": ys, "n": [len(set(_WORD.findall((t or "").lower()))) for t in texts], "f": [np.array(sorted(text_features(t, known)), "<u4").tobytes() for t in texts]}
+        found = [sorted(text_features(t, known).items()) for t in texts]
+        return {"y": ys, "n": [len(set(_WORD.findall((t or "").lower()))) for t in texts], "f": [np.array(f, "<u4").tobytes() for f in found]}
 
-    got = [(r.y, r.n, np.frombuffer(r.f, "<u4")) for r in map_texts(rows, ["t", "_y"], run, "y int, n int, f binary", dict).collect()]
-    bad, good = [f for y, _, f in got if y == 1], [f for y, _, f in got if y == 0]
+    got = [(r.y, r.n, *np.frombuffer(r.f, "<u4").reshape(-1, 2).T) for r in map_texts(rows, ["t", "_y"], run, "y int, n int, f binary", dict).collect()]
+    distinct = {(y, f.tobytes()): f for y, _, f, _ in got}  # copies of a text count once
+    bad, good = [f for (y, _), f in distinct.items() if y == 1], [f for (y, _), f in distinct.items() if y == 0]
     if not bad or not good:
         return Ordinal({}, [1e9] * (GRADES - 1))
     ids = np.unique(np.concatenate(bad + good))
-    place = lambda f: np.searchsorted(ids, f)
-    in_bad, in_good = (np.bincount(np.concatenate([place(f) for f in part]), minlength=len(ids)) for part in (bad, good))
+    in_bad, in_good = (np.bincount(np.searchsorted(ids, np.concatenate(part)), minlength=len(ids)) for part in (bad, good))
     odds = np.log((in_bad + 0.5) / (len(bad) + 1)) - np.log((in_good + 0.5) / (len(good) + 1))
     z = odds / np.sqrt(1 / (in_bad + 0.5) + 1 / (in_good + 0.5))
-    use = np.flatnonzero((in_bad + in_good >= LEAST_DOCS) & (np.abs(z) > 3.5))
-    use = np.sort(use[np.argsort(-np.abs(z[use]), kind="stable")[:FEATURES]])
-    marks = z[use] > 0
+    use = np.flatnonzero((in_bad >= max(LEAST_DOCS, LEAST_SHARE * len(bad))) & (z > 2.5))
+    use = np.sort(use[np.argsort(-z[use], kind="stable")[:FEATURES]])
     column = np.full(len(ids), -1)
     column[use] = np.arange(len(use))
+    trust = (odds[use] / ODDS) ** 2
 
-    def present(f):
-        c = column[place(f)]
-        return c[c >= 0]
+    def present(f, count):
+        c = column[np.searchsorted(ids, f)]
+        c, count = c[c >= 0], count[c >= 0]
+        return c, np.log2(1 + count) * trust[c]
 
-    shares = [marks[present(f)].sum() / max(1, n) for y, n, f in got if y == 1]
-    middle = float(np.median(shares))
-    rows_ = [(0 if y == 0 else 2 if marks[present(f)].sum() / max(1, n) > middle else 1, present(f)) for y, n, f in got]
-    return fit_ordinal(rows_, ids[use])
+    share = lambda n, f, count: present(f, count)[1].sum() / max(1, n)
+    middle = float(np.median([share(n, f, k) for y, n, f, k in got if y == 1]))
+    model = fit_ordinal([(0 if y == 0 else 1 + (share(n, f, k) > middle), *present(f, k)) for y, n, f, k in got], ids[use], trust)
+    counts = [{int(i): int(k) for i, k in zip(f, c) if int(i) in model.weights} for _, _, f, c in got]
+    severity = np.array([model.severity(model.score(c))[0] for c in counts])
+    toxic = np.array([y == 1 for y, *_ in got])
+    bars = np.linspace(0.05, 0.95, 91)
+    model.reject = float(bars[np.argmin([np.sum(toxic & (severity < b)) + CARE * np.sum(~toxic & (severity >= b)) for b in bars])])
+    return model
 
 
-def score(documents: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text", reject: float = REJECT) -> DataFrame:
+def score(documents: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, severity, grade, toxic) of every text."""
     weights = model.weights
 
     def run(known, texts, ids):
         out = {"doc_id": ids, "severity": [], "grade": [], "toxic": []}
         for t in texts:
-            found: dict[int, float] = {}
-            for w in set(_WORD.findall((t or "").lower())):
-                if (f := known.get(w)) is None:
-                    f = [(i, weights[i]) for i in features_of(w) if i in weights]
-                    if len(known) < 300_000:
-                        known[w] = f
-                found.update(f)
-            s, g = model.severity(sum(found[k] for k in sorted(found)))
+            s, g = model.severity(model.score(text_features(t, known, weights)))
             out["severity"].append(s)
             out["grade"].append(g)
-            out["toxic"].append(s >= reject)
+            out["toxic"].append(s >= model.reject)
         return out
 
     return map_texts(documents, [F.col(text_col), F.col(id_col)], run, "doc_id long, severity double, grade int, toxic boolean", dict)
 
 
-def keep_clean(documents: DataFrame, model: Ordinal, text_col: str = "text", reject: float = REJECT) -> DataFrame:
-    """The rows whose expected severity is under ``reject``, with all their columns, in one pass and without a join."""
+def keep_clean(documents: DataFrame, model: Ordinal, text_col: str = "text") -> DataFrame:
+    """The rows whose expected severity is under the model's bar, with all their columns, in one pass and without a join."""
     from pyspark.sql.types import BooleanType
 
     weights = model.weights
@@ -166,14 +175,8 @@ def keep_clean(documents: DataFrame, model: Ordinal, text_col: str = "text", rej
     def clean(texts):
         import pandas as pd
 
-        out = []
-        for t in texts:
-            found: dict[int, float] = {}
-            for w in set(_WORD.findall((t or "").lower())):
-                for i in features_of(w):
-                    if i in weights:
-                        found[i] = weights[i]
-            out.append(model.severity(sum(found[k] for k in sorted(found)))[0] < reject)
+        known: dict = {}
+        out = [model.severity(model.score(text_features(t, known, weights)))[0] < model.reject for t in texts]
         return pd.Series(out, dtype=bool)
 
     return documents.where(clean(F.col(text_col)))
