@@ -1,6 +1,6 @@
 """Queries ``opN_<name>`` of this subpackage and their SQL, for the driver's registry."""
 
-from curbline.llm import exact_dedup, packing, sentencepiece_codec, toxicity, transport_stream, url_filter
+from curbline.llm import exact_dedup, packing, sentencepiece_codec, suffix_dedup, toxicity, transport_stream, url_filter
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.query,
@@ -9,5 +9,6 @@ QUERIES = {
     "op6_toxicity": toxicity.query,
     "op7_transport_stream": transport_stream.query,
     "op8_harmonic_packing": packing.query,
+    "op9_suffix_dedup": suffix_dedup.query,
 }
 ORACLES = {"op4_url_filters": url_filter.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}
