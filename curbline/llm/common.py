@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -36,9 +37,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
+    release(spark)
     return spark.read.schema(df.schema).parquet(at)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps whose results are written: it does so once their plans are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Cuts a batch into runs of rows of about ``most`` bytes; one long text is a run of its own."""
     begin = size = 0

@@ -32,7 +32,7 @@ def chunked(documents: DataFrame, id_col: str, text_col: str, target: int = CHUN
         from pyspark import TaskContext
 
         number, ids, ends, parts, size = TaskContext.get().partitionId() << 33, [], [], [], 0
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=3)
 
         def out():
             return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([ids], pa.list_(pa.int64())), pa.array([ends], pa.list_(pa.int64())), pa.array([press.compress(b"".join(parts))], pa.binary())], names=["chunk", "ids", "ends", "data"])
@@ -92,13 +92,16 @@ def per_chunk(chunks: DataFrame, f: Callable[[int, list, np.ndarray, bytes, dict
 
 
 def per_shard(messages: DataFrame, f: Callable[[int, list[bytes]], list[bytes | None]]) -> DataFrame:
-    """Runs ``f(shard, blobs)`` for each shard with the blobs of all its messages; its answers go back in their order."""
+    """Runs ``f(shard, blobs)`` for each shard with the blobs of all its messages; its answers go back in their order.
+
+    One answer more than messages is the shard's own record, filed under chunk -1."""
 
     def run(table: pa.Table) -> pa.Table:
         order = table.sort_by("chunk")
         blobs = order.column("blob").to_pylist()
         answers = f(order.column("shard")[0].as_py(), blobs)
-        return pa.table([order.column("shard"), order.column("chunk"), pa.array(answers, pa.binary())], names=["shard", "chunk", "blob"])
+        chunks, more = order.column("chunk").to_pylist(), len(answers) - len(blobs)
+        return pa.table([pa.array([order.column("shard")[0].as_py()] * len(answers), pa.int64()), pa.array(chunks + [-1] * more, pa.int64()), pa.array(answers, pa.binary())], names=["shard", "chunk", "blob"])
 
     return messages.groupBy("shard").applyInArrow(run, MESSAGE)
 
