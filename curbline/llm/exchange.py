@@ -20,6 +20,8 @@ from curbline.llm.common import small_batches, written
 
 #: Text bytes of a chunk (a longer text is a chunk of its own), and of the corpus per shard.
 CHUNK_BYTES, SHARD_BYTES, LEAST_SHARDS = 2 << 20, 4 << 20, 32
+#: Rows of a chunk at most, so that a row's place in it takes 16 bits.
+CHUNK_ROWS = 1 << 16
 CHUNK = "chunk long, ids array<long>, ends array<long>, data binary"
 MESSAGE = "shard long, chunk long, blob binary"
 
@@ -31,7 +33,7 @@ def chunked(documents: DataFrame, id_col: str, text_col: str, target: int = CHUN
     def run(batches):
         from pyspark import TaskContext
 
-        number, ids, ends, parts, size = TaskContext.get().partitionId() << 33, [], [], [], 0
+        number, ids, ends, parts, size = TaskContext.get().partitionId() << 24, [], [], [], 0
         press = zstandard.ZstdCompressor(level=3)
 
         def out():
@@ -40,7 +42,7 @@ def chunked(documents: DataFrame, id_col: str, text_col: str, target: int = CHUN
         for batch in batches:
             for text, id_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 raw = (text or "").encode()
-                if ids and size + len(raw) > target:
+                if ids and (size + len(raw) > target or len(ids) == CHUNK_ROWS):
                     yield out()
                     number, ids, ends, parts, size = number + 1, [], [], [], 0
                 size += len(raw)

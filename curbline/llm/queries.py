@@ -1,6 +1,6 @@
 """Queries ``opN_<name>`` of this subpackage and their SQL, for the driver's registry."""
 
-from curbline.llm import exact_dedup, ngram_trie, packing, sentencepiece_codec, suffix_dedup, toxicity, transport_stream, url_filter
+from curbline.llm import exact_dedup, ngram_join, ngram_trie, packing, sentencepiece_codec, suffix_dedup, toxicity, transport_stream, url_filter
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.query,
@@ -11,5 +11,6 @@ QUERIES = {
     "op7_transport_stream": transport_stream.query,
     "op8_harmonic_packing": packing.query,
     "op9_suffix_dedup": suffix_dedup.query,
+    "op10_ngram_join": ngram_join.query,
 }
 ORACLES = {"op4_url_filters": url_filter.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}
