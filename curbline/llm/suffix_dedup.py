@@ -228,7 +228,7 @@ def _pieces(h, first, last, anchor, code, place, length):
 def removals(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, texts: bool = False) -> DataFrame:
     """Per document: (doc_id, n_bytes, n_removed, n_spans, kept_sha256), and with ``texts`` what is left of the text.
 
-    What is left of UTF-8 can be cut within a character; such bytes are replaced when a text is made of it."""
+    What is left of UTF-8 can be cut within a character; bytes of such a character are left out when a text is made of it."""
     chunks = chunked(documents, id_col, text_col)
     shards = shards_for(chunks)
 
@@ -294,7 +294,7 @@ def removals(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
             kept = text[a:b][~cut].tobytes()
             spans = int(cut[0]) + int(np.count_nonzero(cut[1:] & ~cut[:-1])) if b > a else 0
             row = (id_, b - a, b - a - len(kept), spans, hashlib.sha256(kept).hexdigest())
-            yield (*row, kept.decode(errors="replace")) if texts else row
+            yield (*row, kept.decode(errors="ignore")) if texts else row
             a = b
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * texts
