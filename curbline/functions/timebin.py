@@ -27,3 +27,9 @@ def seconds_of_day(ts: Column | str) -> Column:
 
 def is_weekend(d: Column | str) -> Column:
     return F.weekday(d) >= 5
+
+
+def routine_bins(day: str, ranges: list[tuple[str, str]], minutes: int = 15) -> Column:
+    """Array of the bin starts in listed time-of-day ranges (first and last start, inclusive) of a day."""
+    at = lambda t: F.lit(f"{day} {t}:00").cast("timestamp_ntz")
+    return F.flatten(F.array(*[F.sequence(at(a), at(b), F.expr(f"INTERVAL {minutes} MINUTES")) for a, b in ranges]))

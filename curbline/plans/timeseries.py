@@ -1,9 +1,12 @@
 """Binning, padding, gaps and outages over ``events`` (sensor = user_id, class = event_type, volume = value)."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from curbline.functions.timebin import floor_bin
+from curbline.functions.timebin import floor_bin, is_weekend, routine_bins, shifted_bin
+from curbline.operators.gaps import day_runs, find_gaps, islands, network_outages, outages, row_window, sessions, unacceptable_gaps
 from curbline.operators.padding import padded_sums
+from curbline.operators.ranges import coarsest, cut_out, merge_ranges
 from curbline.plans.registry import register
 from curbline.sources.tables import table
 
@@ -23,3 +26,197 @@ from curbline.sources.tables import table
 def padded_15min(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("bin", floor_bin("ts", 15))
     return padded_sums(events, ["event_type"], "bin", 15, n=F.count("*"), cents=F.sum(F.round(F.col("value") * 100).cast("long")))
+
+
+def _events(spark, sf_dir):
+    return table(spark, sf_dir, "events").withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+
+
+CENTS = "CAST(round(value * 100) AS BIGINT)"
+
+
+@register("shifted_5min", f"""
+    SELECT time_bucket(INTERVAL 5 MINUTE, ts - INTERVAL 1 SECOND) AS bin, count(*) AS n, CAST(sum({CENTS}) AS BIGINT) AS cents FROM events GROUP BY 1""", "B2")
+def q_shifted(spark, sf_dir):
+    return _events(spark, sf_dir).groupBy(shifted_bin("ts", 5).alias("bin")).agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
+
+
+@register("generic_gaps", """
+    WITH p AS (SELECT DISTINCT user_id, time_bucket(INTERVAL 15 MINUTE, ts) AS dt, 15 AS covers FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'),
+    e AS (SELECT * FROM p UNION ALL SELECT DISTINCT user_id, TIMESTAMP '2024-01-05', 0 FROM p UNION ALL SELECT DISTINCT user_id, TIMESTAMP '2024-01-12', 0 FROM p),
+    s AS (SELECT user_id, dt + to_minutes(covers) AS gap_start, lead(dt) OVER (PARTITION BY user_id ORDER BY dt, covers) AS gap_end FROM e)
+    SELECT user_id, gap_start, gap_end, date_diff('minute', gap_start, gap_end) AS gap_minutes FROM s WHERE gap_end - gap_start >= INTERVAL 24 HOUR""", "C1")
+def q_gaps(spark, sf_dir):
+    bins = table(spark, sf_dir, "events").select("user_id", floor_bin("ts", 15).alias("bin"))
+    return find_gaps(bins, "user_id", "bin", "2024-01-05 00:00:00", "2024-01-12 00:00:00", 15, 24 * 60)
+
+
+@register("gap_summary", """
+    WITH p AS (SELECT DISTINCT user_id, time_bucket(INTERVAL 15 MINUTE, ts) AS dt, 15 AS covers FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'),
+    e AS (SELECT * FROM p UNION ALL SELECT DISTINCT user_id, TIMESTAMP '2024-01-05', 0 FROM p UNION ALL SELECT DISTINCT user_id, TIMESTAMP '2024-01-12', 0 FROM p),
+    s AS (SELECT user_id, dt + to_minutes(covers) AS a, lead(dt) OVER (PARTITION BY user_id ORDER BY dt, covers) AS b FROM e),
+    g AS (SELECT * FROM s WHERE b - a >= INTERVAL 24 HOUR)
+    SELECT count(*) = 0 AS ok, count(*) AS gaps, count(DISTINCT user_id) AS sensors, max(date_diff('minute', a, b)) AS longest FROM g""", "C2")
+def q_gap_summary(spark, sf_dir):
+    return q_gaps(spark, sf_dir).agg((F.count("*") == 0).alias("ok"), F.count("*").alias("gaps"), F.count_distinct("user_id").alias("sensors"), F.max("gap_minutes").alias("longest"))
+
+
+@register("unacceptable_gaps", """
+    WITH p AS (SELECT DISTINCT user_id, time_bucket(INTERVAL 15 MINUTE, ts) AS dt, 15 AS covers FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'),
+    e AS (SELECT * FROM p UNION ALL SELECT DISTINCT user_id, TIMESTAMP '2024-01-05', 0 FROM p UNION ALL SELECT DISTINCT user_id, TIMESTAMP '2024-01-12', 0 FROM p),
+    s AS (SELECT user_id, dt + to_minutes(covers) AS gap_start, lead(dt) OVER (PARTITION BY user_id ORDER BY dt, covers) AS gap_end FROM e),
+    g AS (SELECT *, date_diff('minute', gap_start, gap_end) AS gap_minutes FROM s WHERE gap_end - gap_start >= INTERVAL 24 HOUR),
+    x AS (SELECT *, unnest(generate_series(time_bucket(INTERVAL 1 HOUR, gap_start), time_bucket(INTERVAL 1 HOUR, gap_end - INTERVAL 1 SECOND), INTERVAL 1 HOUR)) AS bin
+          FROM g WHERE gap_minutes >= CASE WHEN user_id % 2 = 0 THEN 1440 ELSE 2000 END)
+    SELECT user_id, bin, gap_start, gap_end, gap_minutes, date_diff('second', greatest(gap_start, bin), least(gap_end, bin + INTERVAL 1 HOUR)) AS seconds_in_bin
+    FROM x QUALIFY row_number() OVER (PARTITION BY user_id, bin ORDER BY gap_minutes DESC, gap_start) = 1""", "C3")
+def q_unacceptable(spark, sf_dir):
+    tolerance = F.when(F.col("user_id") % 2 == 0, 1440).otherwise(2000)
+    return unacceptable_gaps(q_gaps(spark, sf_dir), "user_id", tolerance, 60).select("user_id", "bin", "gap_start", "gap_end", "gap_minutes", "seconds_in_bin")
+
+
+@register("gap_tolerance", f"""
+    WITH h AS (SELECT user_id, CAST(ts AS DATE) AS dt, hour(ts) AS hour_bin, isodow(ts) > 5 AS weekend, sum({CENTS}) AS v FROM events GROUP BY ALL),
+    a AS (SELECT user_id, dt, hour_bin, weekend, sum(v) OVER w AS s, count(*) OVER w AS c FROM h
+          WINDOW w AS (PARTITION BY user_id, hour_bin, weekend ORDER BY dt RANGE BETWEEN INTERVAL 60 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
+    SELECT user_id, dt, hour_bin, weekend, CAST(s AS BIGINT) AS past_cents, c AS past_days,
+      CASE WHEN s IS NULL THEN NULL WHEN s >= 6000 * c THEN 5 WHEN s >= 3000 * c THEN 10 WHEN s >= 1000 * c THEN 15 ELSE 20 END AS tolerance FROM a""", "C4 E6 RANGE frame")
+def q_tolerance(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    h = e.groupBy("user_id", F.to_date("ts").alias("dt"), F.hour("ts").alias("hour_bin"), is_weekend("ts").alias("weekend")).agg(F.sum("cents").alias("v"))
+    w = Window.partitionBy("user_id", "hour_bin", "weekend").orderBy(F.datediff("dt", F.lit("2000-01-01"))).rangeBetween(-60, -1)
+    s, c = F.sum("v").over(w), F.count("v").over(w)
+    a = h.select("user_id", "dt", "hour_bin", "weekend", s.alias("past_cents"), c.alias("past_days"))
+    per = lambda n: F.col("past_cents") >= n * F.col("past_days")
+    return a.withColumn("tolerance", F.when(F.col("past_cents").isNull(), None).when(per(6000), 5).when(per(3000), 10).when(per(1000), 15).otherwise(20))
+
+
+@register("islands", """
+    WITH b AS (SELECT DISTINCT user_id, time_bucket(INTERVAL 1 HOUR, ts) AS bin FROM events),
+    r AS (SELECT *, date_diff('hour', TIMESTAMP '2000-01-01', bin) - row_number() OVER (PARTITION BY user_id ORDER BY bin) AS run FROM b)
+    SELECT user_id, min(bin) AS "start", max(bin) AS "end", count(*) AS bins FROM r GROUP BY user_id, run""", "C5")
+def q_islands(spark, sf_dir):
+    return islands(table(spark, sf_dir, "events").select("user_id", floor_bin("ts", 60).alias("bin")), "user_id", "bin", 60)
+
+
+@register("sensor_outages", """
+    WITH b AS (SELECT DISTINCT user_id, time_bucket(INTERVAL 15 MINUTE, ts) AS bin FROM events),
+    p AS (SELECT user_id, bin, lag(bin) OVER (PARTITION BY user_id ORDER BY bin) AS previous FROM b)
+    SELECT user_id, previous + INTERVAL 15 MINUTE AS outage_start, bin - INTERVAL 15 MINUTE AS outage_end, date_diff('minute', previous, bin) // 15 - 1 AS bins_missing
+    FROM p WHERE previous < bin - INTERVAL 15 MINUTE""", "C6")
+def q_outages(spark, sf_dir):
+    return outages(table(spark, sf_dir, "events").select("user_id", floor_bin("ts", 15).alias("bin")).distinct(), "user_id", "bin", 15)
+
+
+@register("network_outages", """
+    WITH b AS (SELECT DISTINCT time_bucket(INTERVAL 5 MINUTE, ts) AS bin FROM events WHERE event_type = 'error'),
+    p AS (SELECT bin, lag(bin) OVER (ORDER BY bin) AS previous FROM b)
+    SELECT 'network' AS scope, previous + INTERVAL 5 MINUTE AS outage_start, bin - INTERVAL 5 MINUTE AS outage_end, date_diff('minute', previous, bin) // 5 - 1 AS bins_missing
+    FROM p WHERE previous < bin - INTERVAL 5 MINUTE""", "C6 network")
+def q_network(spark, sf_dir):
+    errors = table(spark, sf_dir, "events").where("event_type = 'error'").select(floor_bin("ts", 5).alias("bin"))
+    return network_outages(errors, "bin", 5)
+
+
+_CALENDAR = """
+    cal AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS day),
+    d AS (SELECT u.user_id, cal.day, count(e.event_id) AS n FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN cal
+          LEFT JOIN events e ON e.user_id = u.user_id AND CAST(e.ts AS DATE) = cal.day GROUP BY ALL)"""
+
+
+def _calendar_counts(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    days = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-01-30')) AS day")
+    counts = e.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count("event_id").alias("n"))
+    return e.select("user_id").distinct().join(F.broadcast(days), how="cross").join(counts, ["user_id", "day"], "left").fillna(0, ["n"])
+
+
+@register("day_outage_runs", f"""
+    WITH {_CALENDAR}, f AS (SELECT *, n = 0 AS o, CASE WHEN (n = 0) IS NOT DISTINCT FROM lag(n = 0) OVER (PARTITION BY user_id ORDER BY day) THEN 0 ELSE 1 END AS turn FROM d),
+    r AS (SELECT *, sum(turn) OVER (PARTITION BY user_id ORDER BY day) AS run FROM f)
+    SELECT user_id, min(day) AS first_day, max(day) AS last_day, count(*) AS days FROM r WHERE o GROUP BY user_id, run""", "C7")
+def q_day_runs(spark, sf_dir):
+    return day_runs(_calendar_counts(spark, sf_dir), "user_id", "day", F.col("n") == 0)
+
+
+@register("availability", f"WITH {_CALENDAR} SELECT day, count_if(n = 0) AS silent, count(*) AS sensors, CAST(sum(n) AS BIGINT) AS n FROM d GROUP BY day", "E11 Q11")
+def q_availability(spark, sf_dir):
+    return _calendar_counts(spark, sf_dir).groupBy("day").agg(F.count_if(F.col("n") == 0).alias("silent"), F.count("*").alias("sensors"), F.sum("n").alias("n"))
+
+
+@register("sessions", """
+    WITH l AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 12 HOUR AND event_type = lag(event_type) OVER w THEN 0 ELSE 1 END AS brk FROM events
+               WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    s AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM l)
+    SELECT user_id, CAST(session AS BIGINT) AS session, min(ts) AS begun, max(ts) AS ended, count(*) AS n FROM s GROUP BY user_id, session""", "C8")
+def q_sessions(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    w = row_window(["user_id"], ["ts", "event_id"])
+    apart = (F.expr("ts - INTERVAL 12 HOURS") > F.lag("ts").over(w)) | (F.lag("event_type").over(w) != F.col("event_type"))
+    marked = sessions(e, ["user_id"], ["ts", "event_id"], apart)
+    return marked.groupBy("user_id", "session").agg(F.min("ts").alias("begun"), F.max("ts").alias("ended"), F.count("*").alias("n"))
+
+
+@register("daily_caveats", f"""
+    SELECT user_id, CAST(ts AS DATE) AS day, CAST(sum({CENTS}) AS BIGINT) AS cents, 1440 - count(DISTINCT time_bucket(INTERVAL 1 MINUTE, ts)) AS missing_minutes,
+      CASE WHEN count(DISTINCT time_bucket(INTERVAL 1 MINUTE, ts)) < 3 THEN 'sparse' ELSE 'normal' END AS caveat
+    FROM events GROUP BY ALL HAVING count(*) FILTER (WHERE event_type = 'error') = 0""", "C13 FILTER HAVING")
+def q_daily(spark, sf_dir):
+    minutes = F.count_distinct(floor_bin("ts", 1))
+    out = _events(spark, sf_dir).groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        F.sum("cents").alias("cents"), (1440 - minutes).alias("missing_minutes"), F.when(minutes < 3, "sparse").otherwise("normal").alias("caveat"), F.count_if(F.col("event_type") == "error").alias("_bad"))
+    return out.where("_bad = 0").drop("_bad")
+
+
+@register("zero_ranges", """
+    WITH g AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, count_if(value > 200) AS big FROM events
+               GROUP BY GROUPING SETS ((user_id, CAST(ts AS DATE)), (user_id, event_type, CAST(ts AS DATE)))),
+    z AS (SELECT * FROM g WHERE big = 0)
+    SELECT z.user_id, z.event_type, z.day FROM z WHERE z.event_type IS NULL OR NOT EXISTS (SELECT 1 FROM z c WHERE c.event_type IS NULL AND c.user_id = z.user_id AND c.day = z.day)""", "C9 C15 GROUPING SETS")
+def q_zero(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    g = e.groupingSets([["user_id", "day"], ["user_id", "event_type", "day"]], "user_id", "event_type", "day").agg(F.count_if(F.col("value") > 200).alias("big")).where("big = 0")
+    return coarsest(g.drop("big"), ["user_id", "day"], "event_type")
+
+
+@register("merged_ranges", """
+    WITH r AS (SELECT user_id % 7 AS k, ts AS lo, ts + to_minutes(CAST(value AS INTEGER)) AS hi FROM events),
+    m AS (SELECT *, CASE WHEN lo <= max(hi) OVER (PARTITION BY k ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS brk FROM r),
+    n AS (SELECT *, sum(brk) OVER (PARTITION BY k ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS run FROM m)
+    SELECT k, min(lo) AS lo, max(hi) AS hi FROM n GROUP BY k, run""", "C11 Q10")
+def q_merged(spark, sf_dir):
+    return merge_ranges(_spans(spark, sf_dir), ["k"])
+
+
+def _spans(spark, sf_dir):
+    minutes = F.bround("value").cast("int")
+    return table(spark, sf_dir, "events").select((F.col("user_id") % 7).alias("k"), F.col("ts").alias("lo"), (F.col("ts") + F.make_dt_interval(mins=minutes)).alias("hi"))
+
+
+@register("split_ranges", """
+    WITH r AS (SELECT user_id % 7 AS k, ts AS lo, ts + to_minutes(CAST(value * 20 AS INTEGER)) AS hi FROM events),
+    p AS (SELECT k, lo, least(hi, TIMESTAMP '2024-01-10') AS hi FROM r UNION ALL SELECT k, greatest(lo, TIMESTAMP '2024-01-11') AS lo, hi FROM r)
+    SELECT k, lo, hi FROM p WHERE lo < hi""", "C10")
+def q_split(spark, sf_dir):
+    minutes = F.bround(F.col("value") * 20).cast("int")
+    r = table(spark, sf_dir, "events").select((F.col("user_id") % 7).alias("k"), F.col("ts").alias("lo"), (F.col("ts") + F.make_dt_interval(mins=minutes)).alias("hi"))
+    at = lambda d: F.lit(d).cast("timestamp_ntz")
+    return cut_out(r, "lo", "hi", at("2024-01-10 00:00:00"), at("2024-01-11 00:00:00"))
+
+
+@register("session_windows", """
+    WITH l AS (SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY event_type ORDER BY ts) + INTERVAL 10 MINUTE THEN 0 ELSE 1 END AS brk FROM events),
+    s AS (SELECT *, sum(brk) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM l)
+    SELECT event_type, min(ts) AS begun, max(ts) + INTERVAL 10 MINUTE AS ended, count(*) AS n FROM s GROUP BY event_type, run""", "C8 I session_window")
+def q_session_windows(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.groupBy("event_type", F.session_window("ts", "10 minutes").alias("w")).agg(F.count("*").alias("n")).select("event_type", F.col("w.start").alias("begun"), F.col("w.end").alias("ended"), "n")
+
+
+@register("routine_timebins", """
+    SELECT unnest(generate_series(TIMESTAMP '2024-01-15 07:30:00', TIMESTAMP '2024-01-15 09:15:00', INTERVAL 15 MINUTE)) AS bin
+    UNION ALL SELECT unnest(generate_series(TIMESTAMP '2024-01-15 10:00:00', TIMESTAMP '2024-01-15 11:45:00', INTERVAL 15 MINUTE))
+    UNION ALL SELECT unnest(generate_series(TIMESTAMP '2024-01-15 16:00:00', TIMESTAMP '2024-01-15 17:45:00', INTERVAL 15 MINUTE))""", "B18")
+def q_routine(spark, sf_dir):
+    ranges = [("07:30", "09:15"), ("10:00", "11:45"), ("16:00", "17:45")]
+    return spark.range(1).select(F.explode(routine_bins("2024-01-15", ranges)).alias("bin"))
