@@ -201,10 +201,10 @@ def q_z(spark, sf_dir):
 
 @register("without_outliers", """
     WITH s AS (SELECT event_type, hour(ts) AS hr, avg(value) AS m, coalesce(stddev_samp(value), 0) AS sd FROM events GROUP BY ALL)
-    SELECT e.event_type, s.hr, count(*) AS n, round(avg(value), 3) AS mean FROM events e JOIN s ON s.event_type = e.event_type AND s.hr = hour(e.ts) WHERE abs(value - m) <= 1.5 * sd GROUP BY ALL""", "C18 Q14")
+    SELECT e.event_type, s.hr, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events e JOIN s ON s.event_type = e.event_type AND s.hr = hour(e.ts) WHERE abs(value - m) <= 1.5 * sd GROUP BY ALL""", "C18 Q14")
 def q_outliers(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("hr", F.hour("ts"))
-    return stats.without_outliers(e, ["event_type", "hr"], "value").groupBy("event_type", "hr").agg(F.count("*").alias("n"), F.round(F.avg("value"), 3).alias("mean"))
+    return stats.without_outliers(e, ["event_type", "hr"], "value").groupBy("event_type", "hr").agg(F.count("*").alias("n"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"))
 
 
 @register("lookback_check", """
