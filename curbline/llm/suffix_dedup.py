@@ -32,6 +32,8 @@ from curbline.llm.exchange import MESSAGE, by_shard, chunked, per_chunk, per_sha
 LENGTH = 200
 #: Surroundings of a gram from which its windows are split by distance to the anchor, and pieces of that split.
 HOT, PIECES = 512, 8
+#: Windows that a shard orders at a time.
+SLICE = 200_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 UNIQUE, REPEATED, MIXED, MULTIPLE, OWNER, SPLIT = 0, 1, 2, 4, 8, 16
@@ -86,8 +88,10 @@ def anchors(roller: Roller, data: np.ndarray, ends: np.ndarray, length: int) ->
     ahead = np.minimum.accumulate(key, axis=1).ravel()
     behind = np.minimum.accumulate(key[:, ::-1], axis=1)[:, ::-1].ravel()
     windows = n - length + 1
+    del key
     least = np.minimum(behind[:windows], ahead[width - 1 : width - 1 + windows])
     anchor = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    del ahead, behind, least
     # windows that lie within one text
     begins = np.concatenate([[0], ends[:-1]])
     valid = np.zeros(windows + 1, np.int64)
@@ -145,13 +149,10 @@ def repeated_windows(text: np.ndarray, starts: np.ndarray, groups: np.ndarray, l
     out = np.zeros(len(starts), bool)
     live = np.arange(len(starts))
     group = groups.astype(np.int64)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    steps = np.arange(8)
     for depth in range(0, length, 8):
-        digits = padded[starts[live][:, None] + depth + steps[None, : min(8, length - depth)]]
-        if digits.shape[1] < 8:
-            digits = np.pad(digits, ((0, 0), (0, 8 - digits.shape[1])))
-        digit = np.ascontiguousarray(digits).view(">u8").ravel()
+        at, digit = starts[live] + depth, np.zeros(len(live), np.uint64)
+        for k in range(min(8, length - depth)):
+            digit = digit << np.uint64(8) | text[at + k]
         order = np.lexsort((digit, group))
         g, d = group[order], digit[order]
         new = np.ones(len(order), bool)
@@ -182,14 +183,26 @@ def compare(length: int):
         size = head["bytes"].astype(np.int64)
         begin = np.cumsum(size) - size
         windows = size - length + 1
-        which = np.repeat(np.arange(len(head)), windows)
-        inside = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
-        # equal windows lie at one distance from their anchor
-        _, gram = np.unique(head["h"], return_inverse=True)
-        group = gram[which] * (1 << 32) + (head["before"].astype(np.int64)[which] - inside)
-        found = repeated_windows(text, begin[which] + inside, group, length)
-        asked = head["asked"][which] > 0
-        bits, edges = found[asked], np.searchsorted(owner[which][asked], np.arange(len(blobs) + 1))
+        bit = np.cumsum(windows) - windows
+        found = np.zeros(int(windows.sum()), bool)
+        # grams one after the other, as many at a time as have about SLICE windows
+        order = np.argsort(head["h"], kind="stable")
+        new = np.append(np.flatnonzero(np.diff(head["h"][order], prepend=head["h"][order][:1] + np.uint64(1))), len(order))
+        done = np.cumsum(windows[order])
+        a = 0
+        while a < len(order):
+            most = np.searchsorted(done, (done[a - 1] if a else 0) + SLICE, "right")
+            b = new[max(np.searchsorted(new, most, "right") - 1, np.searchsorted(new, a, "right"))]
+            own = order[a:b]
+            n = windows[own]
+            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            _, gram = np.unique(head["h"][own], return_inverse=True)
+            # equal windows lie at one distance from their anchor
+            group = np.repeat(gram * (1 << 32) + head["before"][own].astype(np.int64), n) - inside
+            found[np.repeat(bit[own], n) + inside] = repeated_windows(text, np.repeat(begin[own], n) + inside, group, length)
+            a = b
+        asked, owner = np.repeat(head["asked"] > 0, windows), np.repeat(owner, windows)
+        bits, edges = found[asked], np.searchsorted(owner[asked], np.arange(len(blobs) + 1))
         return [np.packbits(bits[a:b]).tobytes() for a, b in zip(edges[:-1], edges[1:])]
 
     return run
