@@ -31,5 +31,5 @@ def register(name: str, sql: str | None = None, covers: str = ""):
     return add
 
 
-for _module in ("timeseries", "relational", "traffic"):
+for _module in ("timeseries", "relational", "traffic", "network"):
     importlib.import_module(f"curbline.plans.{_module}")
