@@ -97,20 +97,26 @@ class EliasFano:
         """Index of the first element at or after each value; ``n`` if there is none."""
         value = value.astype(np.uint64)
         high = (value >> np.uint64(self.low)).astype(np.int64)
-        k = np.full(len(value), self.n, np.int64)
-        inside = high <= self.zeros[-1]
-        h = high[inside]
-        # elements before the bucket of h: ones before the h-th zero
-        byte = np.searchsorted(self.zeros, np.maximum(h - 1, 0), "right") - 1
-        byte = np.minimum(byte, len(self.upper) - 1)
-        zero = 8 * byte + _ZERO_AT[self.upper[byte], np.minimum(np.maximum(h - 1, 0) - self.zeros[byte], 7)]
-        k[inside] = np.where(h == 0, 0, np.minimum(zero - (h - 1), self.n))
-        todo = np.flatnonzero(inside & (k < self.n))
+        lo, hi = self._before_zero(high - 1), self._before_zero(high)
+        # elements of a bucket are in order: halve until all searches end
+        todo = np.flatnonzero(lo < hi)
         while len(todo):
-            todo = todo[self.get(k[todo]) < value[todo]]
-            k[todo] += 1
-            todo = todo[k[todo] < self.n]
-        return k
+            middle = (lo[todo] + hi[todo]) >> 1
+            less = self.get(middle) < value[todo]
+            lo[todo[less]] = middle[less] + 1
+            hi[todo[~less]] = middle[~less]
+            todo = todo[lo[todo] < hi[todo]]
+        return lo
+
+    def _before_zero(self, k: np.ndarray) -> np.ndarray:
+        """Elements that stand before the k-th zero (from 0) of the upper bits; none before zero -1, all beyond the last."""
+        out = np.where(k < 0, 0, self.n).astype(np.int64)
+        inside = np.flatnonzero((k >= 0) & (k < self.zeros[-1]))
+        h = k[inside]
+        byte = np.searchsorted(self.zeros, h, "right") - 1
+        zero = 8 * byte + _ZERO_AT[self.upper[byte], h - self.zeros[byte]]
+        out[inside] = np.minimum(zero - h, self.n)
+        return out
 
 
 class Level:
