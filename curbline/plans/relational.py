@@ -123,9 +123,9 @@ def q_isodow(spark, sf_dir):
     return daily.join(F.broadcast(holidays), "day", "left").select("day", (F.weekday("day") + 1).alias("dow"), off.alias("off"), "n")
 
 
-@register("time_zones", "SELECT event_id, (ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Toronto' AS local, strftime(ts, '%Y-%m-%d %H:%M') AS label FROM events", "AT TIME ZONE to_char")
+@register("time_zones", "SELECT event_id, (ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS local, strftime(ts, '%Y-%m-%d %H:%M') AS label FROM events", "AT TIME ZONE to_char")
 def q_zones(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.convert_timezone(F.lit("UTC"), F.lit("America/Toronto"), F.col("ts")).alias("local"), F.date_format("ts", "yyyy-MM-dd HH:mm").alias("label"))
+    return table(spark, sf_dir, "events").select("event_id", F.convert_timezone(F.lit("UTC"), F.lit("America/New_York"), F.col("ts")).alias("local"), F.date_format("ts", "yyyy-MM-dd HH:mm").alias("label"))
 
 
 @register("unnest_series", "SELECT n_nationkey, unnest(range(n_regionkey + 1)) AS i FROM nation", "generate_series unnest")
