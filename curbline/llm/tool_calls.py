@@ -7,8 +7,8 @@ against the tool's schema, and each call with its result becomes one line of can
 plain UTF-8). No conversation is gathered anywhere, so a long one can't fill a task.
 
 Status of a call: ``ok``; ``missing`` without a result; ``duplicate`` if an earlier call of the conversation has its
-identifier (those get no result); ``cyclic``; ``invalid`` arguments come with their errors, whatever the status. Odd input:
-calls without an identifier are ``missing``; null arguments are invalid; a tool without schema takes any arguments; of
+identifier (those keep their own turn and arguments, take the identifier's level and get no result); ``cyclic``; ``invalid`` arguments come with their errors, whatever the status. Odd input:
+calls without an identifier are ``missing``, each for itself, at level 0; null arguments are invalid; a tool without schema takes any arguments; of
 results with one identifier the first by turn counts; results without a call are dropped; repeated rows of a call are
 duplicates; an empty table gives an empty table; other columns of the input don't matter.
 """
@@ -88,19 +88,23 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     """``calls`` (conv_id, call_id, turn, name, arguments, after) with ``results`` (conv_id, call_id, turn, content).
 
     Returns (conv_id, call_id, turn, level, result_turn, status, errors, json); order by (level, turn, call_id)."""
-    first = calls.groupBy("conv_id", "call_id").agg(F.min_by(F.struct("turn", "name", "arguments", "after"), F.struct("turn", "name", "arguments")).alias("c"), F.count("*").alias("times"))
-    unique = first.select("conv_id", "call_id", "c.*", "times")
+    same = ["conv_id", "call_id", "turn", "name", "arguments", "after"]
+    unlike = calls.groupBy(*same).agg(F.count("*").alias("times"))
+    fields = F.struct(*same[2:])
+    first = unlike.where("call_id is not null").groupBy("conv_id", "call_id").agg(F.min(fields).alias("c"))
+    least = first.select(F.col("conv_id").alias("_conv"), F.col("call_id").alias("_id"), F.col("c").alias("_c"))
+    marked = unlike.join(least, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("call_id") == F.col("_id")), "left").withColumn("first", fields.eqNullSafe(F.col("_c"))).drop("_conv", "_id", "_c")
     answer = results.where("call_id is not null").groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "content")).alias("r"))
-    known = unique.join(answer.hint("shuffle_hash"), ["conv_id", "call_id"], "left")
-    depth = levels(unique.where("call_id is not null"))
+    known = marked.join(answer.hint("shuffle_hash"), ["conv_id", "call_id"], "left")
+    depth = levels(first.select("conv_id", "call_id", "c.turn", "c.after"))
     odd = depth.select("conv_id").distinct().withColumn("odd", F.lit(True))
     known = known.join(depth, ["conv_id", "call_id"], "left").join(odd, "conv_id", "left")
-    status = F.when(F.col("odd") & F.col("level").isNull(), "cyclic").when(F.col("r").isNull(), "missing").otherwise("ok")
-    # calls that repeat an identifier are rows of their own, without a result
-    again = F.explode(F.sequence(F.lit(1), F.col("times"))).alias("time")
-    rows = known.select("*", status.alias("said"), again).select(
+    # equal rows were counted, and are rows again; only the first row of an identifier has a result
+    rows = known.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).withColumn("first", F.col("first") & (F.col("time") == 1))
+    status = F.when(F.col("call_id").isNull(), "missing").when(~F.col("first"), "duplicate").when(F.col("odd") & F.col("level").isNull(), "cyclic").when(F.col("r").isNull(), "missing").otherwise("ok")
+    rows = rows.select(
         "arguments", "name", "conv_id", "call_id", "turn", F.coalesce("level", F.lit(0)).alias("level"),
-        F.when(F.col("time") == 1, F.col("r.turn")).alias("result_turn"), F.when(F.col("time") == 1, F.col("said")).otherwise("duplicate").alias("status"), F.when(F.col("time") == 1, F.col("r.content")).alias("content"),
+        F.when(F.col("first"), F.col("r.turn")).alias("result_turn"), status.alias("status"), F.when(F.col("first"), F.col("r.content")).alias("content"),
     )
 
     def run(_, arguments, names, convs, ids, turns, level, result_turns, statuses, contents):

@@ -348,6 +348,19 @@ def test_tool_calls(spark):
     assert tool_calls.link_calls(calls.where("false"), results.where("false"), schema).count() == 0
 
 
+def test_repeated_and_absent_identifiers_keep_their_own_call(spark):
+    calls = spark.createDataFrame(
+        [(1, "a", 0, "f", '{"x":1}', []), (1, "a", 5, "g", '{"x":"z"}', []), (1, "a", 5, "g", '{"x":"z"}', []), (1, None, 2, "f", '{"x":2}', []), (1, None, 3, "f", '{"x":"y"}', []), (2, "p", 0, "f", "{}", ["q"]), (2, "q", 1, "f", "{}", []), (2, None, 2, "f", None, None), (3, "a", 0, None, None, None), (3, "a", 0, None, None, None)],
+        "conv_id long, call_id string, turn long, name string, arguments string, after array<string>",
+    )
+    results = spark.createDataFrame([(1, "a", 9, "R")], "conv_id long, call_id string, turn long, content string")
+    schema = {k: {"type": "object", "properties": {"x": {"type": "integer"}}} for k in "fg"}
+    got = collections.Counter((r.conv_id, r.call_id, r.turn, r.level, r.status, len(r.errors), r.result_turn, json.loads(r.json)["arguments"] == {"x": "z"}, json.loads(r.json)["name"]) for r in tool_calls.link_calls(calls, results, schema).collect())
+    want = [(1, "a", 0, 0, "ok", 0, 9, False, "f"), (1, "a", 5, 0, "duplicate", 1, None, True, "g"), (1, "a", 5, 0, "duplicate", 1, None, True, "g"), (1, None, 2, 0, "missing", 0, None, False, "f"), (1, None, 3, 0, "missing", 1, None, False, "f")]
+    want += [(2, "p", 0, 1, "missing", 0, None, False, "f"), (2, "q", 1, 0, "missing", 0, None, False, "f"), (2, None, 2, 0, "missing", 1, None, False, "f"), (3, "a", 0, 0, "missing", 1, None, False, None), (3, "a", 0, 0, "duplicate", 1, None, False, None)]
+    assert got == collections.Counter(want)
+
+
 def test_transcripts_by_brute_force(spark):
     rows = spark.read.parquet(f"{SF}/conversations.parquet").collect()
     turns = {(r.conv_id, r.turn): r for r in rows}
