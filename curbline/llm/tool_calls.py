@@ -15,6 +15,7 @@ duplicates; an empty table gives an empty table; other columns of the input don'
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 
@@ -60,11 +61,11 @@ def canonical(value) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
-def levels(calls: DataFrame, rounds: int = 1000) -> DataFrame:
+def levels(calls: DataFrame, rounds: int | None = None) -> DataFrame:
     """(conv_id, call_id, level) of calls that have an ``after`` pointing forward somewhere in their conversation.
 
-    Level 0 needs nothing that is known; each round levels calls whose references all have a level. Calls on or behind a
-    cycle are left out."""
+    Level 0 needs nothing that is known; each round levels calls whose references all have a level, until a
+    round finds none. Calls on or behind a cycle are left out. Raises if calls are still levelled after ``rounds`` rounds."""
     edges = calls.select("conv_id", "call_id", "turn", F.explode("after").alias("needs"))
     target = calls.select(F.col("conv_id").alias("c"), F.col("call_id").alias("n"), F.col("turn").alias("needed_turn"))
     edges = edges.join(target, (edges.conv_id == target.c) & (edges.needs == target.n)).drop("c", "n")
@@ -74,12 +75,14 @@ def levels(calls: DataFrame, rounds: int = 1000) -> DataFrame:
         return left.withColumn("level", F.lit(0))
     edges = written(edges.join(odd, "conv_id", "left_semi").select("conv_id", "call_id", "needs"), "references")
     done = written(left.join(edges, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0)), "levels")
-    for _ in range(rounds):
+    for n in itertools.count():
         met = edges.join(done.select("conv_id", F.col("call_id").alias("needs"), "level"), ["conv_id", "needs"], "left")
         ready = met.groupBy("conv_id", "call_id").agg(F.count_if(F.col("level").isNull()).alias("open"), (F.max("level") + 1).alias("level")).where("open = 0")
         new = written(ready.select("conv_id", "call_id", "level").join(done, ["conv_id", "call_id"], "left_anti"), "levels")
         if new.isEmpty():
             break
+        if n == rounds:
+            raise RuntimeError(f"calls are still levelled after {rounds} rounds")
         done = written(done.unionByName(new), "levels")
     return done
 

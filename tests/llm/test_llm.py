@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import inspect
 import json
 import math
 import random
@@ -361,6 +362,15 @@ def test_repeated_and_absent_identifiers_keep_their_own_call(spark):
     assert got == collections.Counter(want)
 
 
+def test_levels_never_take_a_deep_chain_for_a_cycle(spark):
+    calls = spark.createDataFrame([(1, f"c{k}", 5 - k, "f", "{}", [f"c{k - 1}"] if k else []) for k in range(6)], "conv_id long, call_id string, turn long, name string, arguments string, after array<string>")
+    with pytest.raises(RuntimeError):
+        tool_calls.levels(calls, rounds=4)
+    assert inspect.signature(tool_calls.levels).parameters["rounds"].default is None
+    for rounds in (5, None):
+        assert sorted((r.call_id, r.level) for r in tool_calls.levels(calls, rounds).collect()) == [(f"c{k}", k) for k in range(6)]
+
+
 def test_transcripts_by_brute_force(spark):
     rows = spark.read.parquet(f"{SF}/conversations.parquet").collect()
     turns = {(r.conv_id, r.turn): r for r in rows}
