@@ -11,11 +11,11 @@ from curbline.llm.common import written
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a number for each row, whatever its ids: docs are files here, so a row keeps its number."""
+    """``docs`` with a number for each row, whatever its ids; written, as numbers differ between two evaluations if files are split otherwise."""
     row = "_row"
     while row in docs.columns:
         row += "_"
-    return docs.withColumn(row, F.monotonically_increasing_id()), row
+    return written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
