@@ -1,6 +1,7 @@
 """Street graphs: two-way edges, distances by rounds of joins, and single routes with turn restrictions."""
 
 import heapq
+import itertools
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -16,18 +17,25 @@ def both_ways(edges: DataFrame, oneway: str) -> DataFrame:
     return edges.select("id", F.explode(kept).alias("e")).select("id", "e.*")
 
 
-def distances(edges: DataFrame, starts: DataFrame, rounds: int = 64) -> DataFrame:
-    """Least cost from the start nodes to each node over at most ``rounds`` edges, by relaxation in rounds of joins.
+def distances(edges: DataFrame, starts: DataFrame, rounds: int | None = None) -> DataFrame:
+    """Least cost from the start nodes to each node, by relaxation in rounds of joins; with ``rounds``, over at most so many edges.
 
-    The graph stays distributed; a round joins the nodes that improved with their edges. Stops when nothing improves."""
+    The graph stays distributed; a round joins the nodes that improved with their edges. Stops when nothing improves. Without
+    ``rounds``, raises if nodes still improve after as many rounds as the graph has nodes: then a cycle has a negative cost."""
     best = starts.select("node", F.lit(0).cast("long").alias("cost"))
-    front = best
-    for _ in range(rounds):
+    front, most = best, rounds
+    for n in itertools.count():
+        if n == rounds:
+            break
         step = front.join(edges, front.node == edges.source).groupBy(F.col("target").alias("node")).agg(F.min(front["cost"] + edges["cost"]).alias("cost"))
         old = best.select("node", F.col("cost").alias("_old"))
         front = checkpointed(step.join(old, "node", "left").where("_old IS NULL OR cost < _old").select("node", "cost"))
         if front.isEmpty():
             break
+        if most is None:
+            most = edges.select("source").union(edges.select("target")).union(starts.select("node")).distinct().count()
+        if rounds is None and n >= most:
+            raise ValueError(f"nodes still improve after {most} rounds: a cycle has a negative cost")
         best = checkpointed(best.unionByName(front).groupBy("node").agg(F.min("cost").alias("cost")))
     return best
 

@@ -342,3 +342,17 @@ def q_paths(spark, sf_dir):
     o = table(spark, sf_dir, "orders").where("o_orderkey % 9 = 0 AND o_custkey % 40 <> o_orderkey % 40")
     edges = o.groupBy((F.col("o_custkey") % 40).alias("source"), (F.col("o_orderkey") % 40).alias("target")).agg(F.min(F.round("o_totalprice").cast("long") % 900 + 100).alias("cost"))
     return distances(edges, spark.createDataFrame([(0,)], "node long"), rounds=4).select("node", "cost")
+
+
+def path_edges(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where("o_custkey % 40 <> o_orderkey % 40")
+    return o.groupBy((F.col("o_custkey") % 40).alias("source"), (F.col("o_orderkey") % 40).alias("target")).agg(F.min(F.round("o_totalprice").cast("long") % 900 + 100).alias("cost"))
+
+
+@register("shortest_paths_whole", covers="F7 pgr_dijkstra")
+def q_paths_whole(spark, sf_dir):
+    """All edges and routes of any length; held against a search of the whole graph by tests."""
+    from curbline.operators.routing import distances
+    from curbline.session import checkpointed
+
+    return distances(checkpointed(path_edges(spark, sf_dir)), spark.createDataFrame([(0,)], "node long")).select("node", "cost")
