@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from curbline.functions import geometry as geo
 from curbline.functions.streets import title_case
 from curbline.operators import network
-from curbline.plans.registry import register
+from curbline.plans.registry import QUERIES, register
 from curbline.plans.traffic import _XY, _points
 from curbline.sources.tables import table
 
@@ -155,3 +155,10 @@ def q_exits(spark, sf_dir):
 def q_freshness(spark, sf_dir):
     newest = F.max("ts")
     return table(spark, sf_dir, "events").groupBy("event_type").agg(newest.alias("newest"), (newest < F.lit("2024-01-30 23:45:00").cast("timestamp_ntz")).alias("stale"))
+
+
+@register("cardinal_legs_whole", QUERIES["cardinal_legs"].sql.replace(" WHERE c_custkey < 40", ""), "F11")
+def q_legs_whole(spark, sf_dir):
+    """The arms of all customers; nodes have more arms than labels, and arms beyond four get none."""
+    arms = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", (F.col("c_custkey") * 37 % 360).cast("double").alias("az"))
+    return network.legs(arms, "c_nationkey", "c_custkey", "az")

@@ -40,3 +40,18 @@ def test_all_edges_count(spark):
     edges = [(r.o_custkey % 40, r.o_orderkey % 40, int(r.o_totalprice + 0.5) % 900 + 100) for r in orders if r.o_custkey % 40 != r.o_orderkey % 40]
     assert traffic.path_edges(spark, SF).count() == len({e[:2] for e in edges})
     assert {r.node: r.cost for r in registry.QUERIES["shortest_paths_whole"].run(spark, SF).collect()} == dijkstra(edges, 0)
+
+
+def test_legs_of_all_customers(spark):
+    arms, want = {}, set()
+    for r in spark.read.parquet(f"{SF}/customer.parquet").collect():
+        arms.setdefault(r.c_nationkey, []).append((r.c_custkey, r.c_custkey * 37 % 360))
+    for node, some in arms.items():
+        off = lambda az, at: min(abs(az - at) % 360, 360 - abs(az - at) % 360)
+        left = sorted((off(az, (343 + 90 * k) % 360), arm, k) for arm, az in some for k in range(4))
+        while left:
+            _, arm, k = left[0]
+            want.add((node, arm, "NESW"[k]))
+            left = [x for x in left if x[1] != arm and x[2] != k]
+    assert max(map(len, arms.values())) > 4
+    assert {tuple(r) for r in registry.QUERIES["cardinal_legs_whole"].run(spark, SF).select("node", "arm", "leg").collect()} == want
