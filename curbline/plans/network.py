@@ -74,7 +74,7 @@ def q_bylaws(spark, sf_dir):
 
 
 @register("match_confidence", """
-    SELECT p_partkey, CASE WHEN p_size > 45 THEN 'No Match' WHEN p_size % 7 = 0 THEN 'Very High' WHEN p_size % 7 = 1 THEN 'High' WHEN p_size % 7 <= 3 THEN 'Medium' ELSE 'Low' END AS confidence FROM part""", "F4")
+    SELECT p_partkey, CASE WHEN p_size > 45 THEN 'No Match' WHEN p_size % 7 = 0 THEN 'Very High' WHEN p_size % 7 = 1 THEN 'High' WHEN p_size % 7 <= 3 THEN 'Medium' ELSE 'Low' END AS confidence FROM part""")
 def q_confidence(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", network.confidence(F.when(F.col("p_size") <= 45, F.col("p_size") % 7)).alias("confidence"))
 
