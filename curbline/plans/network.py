@@ -60,7 +60,10 @@ _BYLAWS = "SELECT o_custkey AS seg, o_orderkey AS num, (o_orderkey % 8) / 10.0 A
     t AS (SELECT *, CASE WHEN lag(speed) OVER w = speed THEN 0 ELSE 1 END AS turn FROM v WINDOW w AS (PARTITION BY seg ORDER BY a)), r AS (SELECT *, sum(turn) OVER (PARTITION BY seg ORDER BY a) AS run FROM t)
     SELECT seg, CAST(min(a) AS DOUBLE) AS lo, CAST(max(z) AS DOUBLE) AS hi, speed FROM r GROUP BY seg, run, speed""", "F15 range difference")
 def q_sections(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0")
+    return _sections(table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0"))
+
+
+def _sections(o):
     b = o.select(F.col("o_custkey").alias("seg"), F.col("o_orderkey").alias("num"), (F.col("o_orderkey") % 8 / 10.0).cast("double").alias("lo"), ((F.col("o_orderkey") % 8 + 2) / 10.0).cast("double").alias("hi"), (30 + 10 * (F.col("o_orderkey") % 4)).cast("int").alias("speed"))
     return network.sections(b, "seg", "lo", "hi", "num", "speed", 50)
 
@@ -162,3 +165,16 @@ def q_legs_whole(spark, sf_dir):
     """The arms of all customers; nodes have more arms than labels, and arms beyond four get none."""
     arms = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", (F.col("c_custkey") * 37 % 360).cast("double").alias("az"))
     return network.legs(arms, "c_nationkey", "c_custkey", "az")
+
+
+@register("nearest_site_whole", QUERIES["nearest_site"].sql.replace(" WHERE c_custkey % 50 = 0", ""), "D12 KNN")
+def q_nearest_whole(spark, sf_dir):
+    """Every customer is a site too, so the nearest site stands at the customer's own place."""
+    p = _points(spark, sf_dir)
+    found = network.nearest(p, p.withColumnRenamed("c_custkey", "site"), "c_custkey", "site", 0.025, geo.haversine(F.col("lon"), F.col("lat"), F.col("t_lon"), F.col("t_lat")))
+    return found.where("metres < 1500").select("c_custkey", "site", F.round("metres", 3).alias("metres"))
+
+
+@register("speed_sections_whole", QUERIES["speed_sections"].sql.replace(" WHERE o_orderkey % 3 = 0", ""), "F15 range difference")
+def q_sections_whole(spark, sf_dir):
+    return _sections(table(spark, sf_dir, "orders"))

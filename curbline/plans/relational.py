@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from curbline.operators.changes import latest
-from curbline.plans.registry import register
+from curbline.plans.registry import QUERIES, register
 from curbline.sources.tables import table
 
 
@@ -63,6 +63,8 @@ same("regex_scalars", "SELECT p_partkey, regexp_replace(p_brand, '^[A-Za-z]+#0*'
 same("date_scalars", "SELECT o_orderkey, date_trunc('month', o_orderdate) AS m, extract(year FROM o_orderdate) AS y, extract(hour FROM o_orderdate) AS h, quarter(o_orderdate) AS q FROM orders", "date_trunc EXTRACT")
 same("math_scalars", "SELECT c_custkey, round(sin(radians(c_acctbal)), 8) AS s, round(cos(pi() / 3), 8) AS c, round(degrees(1.0), 6) AS d, round(c_acctbal, 1) AS r, CAST(floor(c_acctbal) AS BIGINT) AS f, sign(c_acctbal) AS g FROM customer", "math functions")
 same("levenshtein_names", "SELECT a.p_partkey AS a, b.n_nationkey AS b, levenshtein(a.p_name, b.n_name) AS d FROM (SELECT * FROM part WHERE p_size = 7) AS a CROSS JOIN nation AS b", "levenshtein")
+same("lateral_top_whole", QUERIES["lateral_top"].sql.replace(" WHERE c_nationkey = 3", ""), "LATERAL")
+same("levenshtein_names_whole", QUERIES["levenshtein_names"].sql.replace(" WHERE p_size = 7", ""), "levenshtein")
 
 
 @register("distinct_on", "SELECT DISTINCT ON (o_custkey) o_custkey, o_orderkey, o_totalprice FROM orders ORDER BY o_custkey, o_totalprice DESC, o_orderkey", "DISTINCT ON G3")

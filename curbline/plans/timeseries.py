@@ -7,7 +7,7 @@ from curbline.functions.timebin import floor_bin, is_weekend, routine_bins, shif
 from curbline.operators.gaps import day_runs, find_gaps, islands, network_outages, outages, row_window, sessions, unacceptable_gaps
 from curbline.operators.padding import padded_sums
 from curbline.operators.ranges import coarsest, cut_out, merge_ranges
-from curbline.plans.registry import register
+from curbline.plans.registry import QUERIES, register
 from curbline.sources.tables import table
 
 
@@ -58,7 +58,11 @@ def q_gaps(spark, sf_dir):
     g AS (SELECT * FROM s WHERE b - a >= INTERVAL 24 HOUR)
     SELECT count(*) = 0 AS ok, count(*) AS gaps, count(DISTINCT user_id) AS sensors, max(date_diff('minute', a, b)) AS longest FROM g""", "C2")
 def q_gap_summary(spark, sf_dir):
-    return q_gaps(spark, sf_dir).agg((F.count("*") == 0).alias("ok"), F.count("*").alias("gaps"), F.count_distinct("user_id").alias("sensors"), F.max("gap_minutes").alias("longest"))
+    return _summary(q_gaps(spark, sf_dir))
+
+
+def _summary(gaps):
+    return gaps.agg((F.count("*") == 0).alias("ok"), F.count("*").alias("gaps"), F.count_distinct("user_id").alias("sensors"), F.max("gap_minutes").alias("longest"))
 
 
 @register("unacceptable_gaps", """
@@ -71,8 +75,35 @@ def q_gap_summary(spark, sf_dir):
     SELECT user_id, bin, gap_start, gap_end, gap_minutes, date_diff('second', greatest(gap_start, bin), least(gap_end, bin + INTERVAL 1 HOUR)) AS seconds_in_bin
     FROM x QUALIFY row_number() OVER (PARTITION BY user_id, bin ORDER BY gap_minutes DESC, gap_start) = 1""", "C3")
 def q_unacceptable(spark, sf_dir):
+    return _unacceptable(q_gaps(spark, sf_dir))
+
+
+def _unacceptable(gaps):
     tolerance = F.when(F.col("user_id") % 2 == 0, 1440).otherwise(2000)
-    return unacceptable_gaps(q_gaps(spark, sf_dir), "user_id", tolerance, 60).select("user_id", "bin", "gap_start", "gap_end", "gap_minutes", "seconds_in_bin")
+    return unacceptable_gaps(gaps, "user_id", tolerance, 60).select("user_id", "bin", "gap_start", "gap_end", "gap_minutes", "seconds_in_bin")
+
+
+def _whole_period(name: str) -> str:
+    """The SQL of a gap query between the first and the last bin of the table."""
+    sql = QUERIES[name].sql.replace("TIMESTAMP '2024-01-05'", "(SELECT time_bucket(INTERVAL 15 MINUTE, min(ts)) FROM events)")
+    return sql.replace("TIMESTAMP '2024-01-12'", "(SELECT time_bucket(INTERVAL 15 MINUTE, max(ts)) + INTERVAL 15 MINUTE FROM events)")
+
+
+@register("generic_gaps_whole", _whole_period("generic_gaps"), "C1")
+def q_gaps_whole(spark, sf_dir):
+    bins = table(spark, sf_dir, "events").select("user_id", floor_bin("ts", 15).alias("bin"))
+    start, end = bins.agg(F.min("bin").cast("string"), (F.max("bin") + F.expr("INTERVAL 15 MINUTES")).cast("string")).first()
+    return find_gaps(bins, "user_id", "bin", start, end, 15, 24 * 60)
+
+
+@register("gap_summary_whole", _whole_period("gap_summary"), "C2")
+def q_gap_summary_whole(spark, sf_dir):
+    return _summary(q_gaps_whole(spark, sf_dir))
+
+
+@register("unacceptable_gaps_whole", _whole_period("unacceptable_gaps"), "C3")
+def q_unacceptable_whole(spark, sf_dir):
+    return _unacceptable(q_gaps_whole(spark, sf_dir))
 
 
 @register("gap_tolerance", f"""

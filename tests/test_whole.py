@@ -1,5 +1,6 @@
 """Queries over whole tables, and routes of any length, against brute force."""
 
+import datetime as dt
 import heapq
 
 import pytest
@@ -55,3 +56,24 @@ def test_legs_of_all_customers(spark):
             left = [x for x in left if x[1] != arm and x[2] != k]
     assert max(map(len, arms.values())) > 4
     assert {tuple(r) for r in registry.QUERIES["cardinal_legs_whole"].run(spark, SF).select("node", "arm", "leg").collect()} == want
+
+
+def test_whole_queries_take_all_rows(spark):
+    run = lambda name: registry.QUERIES[f"{name}_whole"].run(spark, SF)
+    read = lambda t: spark.read.parquet(f"{SF}/{t}.parquet")
+    orders, customers = read("orders").collect(), {r.c_custkey for r in read("customer").collect()}
+    assert {r.seg for r in run("speed_sections").collect()} == {r.o_custkey for r in orders}
+    assert {r.c_custkey for r in run("nearest_site").collect()} == customers
+    assert {r.c_custkey for r in run("lateral_top").collect()} == {r.o_custkey for r in orders} & customers
+    assert run("levenshtein_names").count() == read("part").count() * read("nation").count()
+    bins = {}
+    for r in read("events").collect():
+        bins.setdefault(r.user_id, set()).add(r.ts.replace(minute=r.ts.minute // 15 * 15, second=0, microsecond=0))
+    step, lo, hi = dt.timedelta(minutes=15), min(map(min, bins.values())), max(map(max, bins.values()))
+    want = set()
+    for k, some in bins.items():
+        begun = [lo, *(b + step for b in sorted(some))]
+        want |= {(k, a, b) for a, b in zip(begun, [*sorted(some), hi + step]) if b - a >= dt.timedelta(hours=24)}
+    assert {(r.user_id, r.gap_start, r.gap_end) for r in run("generic_gaps").collect()} == want
+    assert run("gap_summary").first().gaps == len(want)
+    assert {r.user_id for r in run("unacceptable_gaps").collect()} == {k for k, a, b in want if (b - a).total_seconds() / 60 >= (2000 if k % 2 else 1440)}
