@@ -7,6 +7,7 @@ import gc
 import shutil
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -32,13 +33,26 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{at}"
 
 
+#: Folders of the tables that ``written`` made, by the frame that reads them.
+_WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table into the shared folder and read back: lineage ends there, and lost executors lose nothing."""
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
     release(spark)
-    return spark.read.schema(df.schema).parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    _WRITTEN[out] = at
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` returned; nothing may read them any more."""
+    for table in tables:
+        at = table.sparkSession._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop(table))
+        at.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def release(spark: SparkSession) -> None:

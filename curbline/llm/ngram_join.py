@@ -1,40 +1,53 @@
 """Near-duplicate groups by an exact n-gram Jaccard join over prefix trees.
 
-A document is the set of its distinct word n-grams, in one global order: n-grams that a count sketch of fixed size shows
+A document is the set of its distinct word n-grams in one global order: n-grams that a count sketch of fixed size shows
 as rare come first, ties by hash. Two sets with Jaccard similarity of at least ``PERCENT`` percent then share an n-gram
-in the first ``n - ceil(PERCENT * n / 100) + 1`` of each, whatever the order, so candidates lose no link.
-
-1. Equal sets become one node. Each node files its prefix n-grams; an n-gram filed by one node only says nothing.
-2. In each remaining n-gram's group, all nodes are candidates of the group's least node (a star, not all pairs). A center's
-   candidates, in blocks of ``BLOCK``, are put into a prefix tree of their ordered sets, which the center's set
-   traverses: overlap along a shared path is counted once, and a subtree is left when its overlap so far and what can
-   still match are too few for any set in it.
-3. Links make components. Only nodes of one n-gram group in different components are compared beyond that, each pair once,
-   in the same way: pairs within a component need no proof. So large groups of copies cost stars, and no link is lost.
-
-N-grams are told apart by 64-bit hashes. Odd input: null text, no words: an empty set, linked with nothing; fewer words
-than n: the whole sequence is the one n-gram; null ids stay null and count for no component's id; repeated rows are
-members each; an empty table gives an empty table.
+in the first ``n - ceil(PERCENT * n / 100) + 1`` of each (its prefix), whatever the order, so candidates lose no link.
+
+1. Equal sets are one node. Each node files its prefix n-grams; an n-gram that one node filed alone says nothing.
+2. Each node is compared with one node of its n-grams' groups, the one that stands for most of them: a group's head is the
+   node with the fewest n-grams before the common one, so copies with few edits are the heads of their kind. Links make
+   components, and a large group of copies is settled by as many comparisons as it has members.
+3. Only n-grams whose nodes lie in several components are left. There a prefix tree holds the rest of each node's prefix from
+   the common n-gram on, and every node of the group traverses it. What a pair shares is counted once for all sets
+   below a tree node; a subtree is left when the overlap so far and the n-grams that remain in either set can't make a
+   link with any set in it, or when it lies in the traversing node's own component. A pair that is linked passes at the
+   first n-gram that it shares. Pairs that pass are compared in full, by trees over whole sets.
+
+Both trees are one: sequences are sorted, common beginnings become compressed edges, and a whole block of traversals moves
+down level by level on arrays. A group of more than ``GROUP`` nodes is split by member; each part is traversed by all.
+
+N-grams are told apart by 8 bits of the order and 56 of a hash, sets by 64 bits of a digest, or the other 64 for the few
+that those don't tell apart. Odd input: null text, no words: an empty set, linked with nothing; fewer words than n: the
+whole sequence is the one n-gram; null ids stay null and count for no component's id; repeated rows are members each; an
+empty table gives an empty table; other columns don't matter. A worker holds the n-grams of a few MB of texts, or of one
+longer text (about 60 bytes for each word of it).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from curbline.llm.common import written
-from curbline.llm.exchange import MESSAGE, by_shard, chunked, per_chunk, per_shard, shards_for
+from curbline.llm.common import dropped, slices, small_batches, written
 
-#: Words of an n-gram, least similarity in percent, candidates of a center that are compared together.
+#: Words of an n-gram, least similarity in percent, candidates of a head that are compared together.
 WORDS, PERCENT, BLOCK = 4, 85, 256
 #: Counters of the sketch (fixed: a byte each reaches every worker), and ranges of them that are summed apart.
-COUNTERS, RANGES = 1 << 22, 64
-#: Bits of a node's number that tell its place in its chunk.
-PLACE_BITS = 16
+COUNTERS, RANGES = 1 << 22, 256
+#: Nodes of an n-gram's group that one tree holds.
+GROUP = 4096
+#: Bits of the map of texts whose sets are asked for (fixed; false hits are removed by a join).
+ASKED_BITS = 1 << 24
+#: Sequences and n-grams that a worker puts into one tree; pairs that move down at once; n-grams of an edge per step.
+TREE_ROWS, TREE_GRAMS, FRONTIER, STRIDE = 16_384, 2_000_000, 400_000, 32
 
 
 def _finish(x: np.ndarray) -> np.ndarray:
@@ -42,22 +55,20 @@ def _finish(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
 
 
-def shingle_sets(ends: np.ndarray, data: bytes, words: int) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     """Sorted hashes of the distinct word n-grams of each text."""
     index: dict[bytes, int] = {}
-    tokens, stops, a = [], [], 0
-    for b in ends.tolist():
-        own = data[a:b].lower().split()  # bytes: A-Z, and the six ASCII blanks, only
+    tokens, stops = [], []
+    for raw in texts:
+        own = raw.lower().split()  # bytes: A-Z, and the six ASCII blanks, only
         for w in own:
             if w not in index:
                 index[w] = len(index)
         tokens += map(index.__getitem__, own)
         stops.append(len(tokens))
-        a = b
     hashes = np.array([xxhash.xxh64_intdigest(w) for w in index], np.uint64)
     word = hashes[np.array(tokens, np.int64)] if tokens else np.zeros(0, np.uint64)
-    n = len(word)
-    gram = np.zeros(max(0, n - words + 1), np.uint64)
+    gram = np.zeros(max(0, len(word) - words + 1), np.uint64)
     for k in range(words):
         gram = _finish(gram + word[k : k + len(gram)] + np.uint64(k + 1))
     out, a = [], 0
@@ -75,279 +86,462 @@ def shingle_sets(ends: np.ndarray, data: bytes, words: int) -> list[np.ndarray]:
     return out
 
 
-def needed(a: int, b: int, percent: int) -> int:
-    """Least overlap of sets of sizes a and b that are linked."""
-    return -(-percent * (a + b) // (100 + percent))
-
-
-class PrefixTree:
-    """Compressed tree of sets in the global order. Nodes: label, children by first n-gram, members, least and largest set below."""
-
-    __slots__ = ("label", "children", "members", "least", "most")
-
-    def __init__(self, label: np.ndarray):
-        self.label, self.children, self.members, self.least, self.most = label, {}, [], 1 << 60, 0
-
-    def insert(self, grams: np.ndarray, member) -> None:
-        node, at, n = self, 0, len(grams)
-        while True:
-            node.least, node.most = min(node.least, n), max(node.most, n)
-            if at == n:
-                node.members.append(member)
-                return
-            child = node.children.get(int(grams[at]))
-            if child is None:
-                child = node.children[int(grams[at])] = PrefixTree(grams[at:])
-                child.least = child.most = n
-                child.members.append(member)
-                return
-            k = min(len(child.label), n - at)
-            differ = np.flatnonzero(child.label[:k] != grams[at : at + k])
-            k = int(differ[0]) if len(differ) else k
-            if k < len(child.label):
-                upper = PrefixTree(child.label[:k])
-                upper.least, upper.most = child.least, child.most
-                child.label = child.label[k:]
-                upper.children[int(child.label[0])] = child
-                node.children[int(grams[at])] = child = upper
-            node, at = child, at + k
-
-    def linked(self, probe: np.ndarray, percent: int) -> list:
-        """Members whose sets are linked with ``probe``."""
-        inside, n, out = np.sort(probe), len(probe), []
-        stack = [(c, 0, 0) for c in self.children.values()]
-        while stack:
-            node, depth, overlap = stack.pop()
-            at = np.searchsorted(inside, node.label)
-            overlap += int(np.count_nonzero(inside[np.minimum(at, n - 1)] == node.label))
-            depth += len(node.label)
-            if node.members and 100 * overlap >= percent * (n + depth - overlap):
-                out += node.members
-            if node.children and overlap + min(node.most - depth, n - overlap) >= needed(n, max(node.least, depth), percent):
-                stack += [(c, depth, overlap) for c in node.children.values()]
-        return out
-
+def _digest(grams: np.ndarray, twice: frozenset = frozenset()) -> tuple[int, int]:
+    """(node, other half) of a set; ``twice``: first halves that don't tell sets apart."""
+    a, b = np.frombuffer(xxhash.xxh3_128_digest(grams.tobytes()), "<i8").tolist()
+    return (b if a in twice else a), b
+
+
+def _text_key(raw: bytes) -> int:
+    """Spark's ``xxhash64`` of a text."""
+    return int(np.uint64(xxhash.xxh64_intdigest(raw, seed=42)).astype(np.int64))
+
+
+def _arranged(grams: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """A set in the global order: rarity in the upper 8 bits, hash in the others."""
+    return np.sort(codes[(grams & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | grams >> np.uint64(8))
+
+
+def prefix_length(n: int, percent: int) -> int:
+    return n - -(-percent * n // 100) + 1
+
+
+def _may_link(overlap, a, b, percent: int):
+    """Whether sets of sizes a and b with this overlap (or bound of it) are linked (or may be); numbers, arrays or columns."""
+    return overlap * (100 + percent) >= (a + b) * percent
+
+
+# ---- prefix trees
+
+
+class Forest:
+    """Prefix trees of sorted sequences, one for each key, as arrays of compressed edges.
+
+    Rows: ``key``; the sequence ``flat[start:stop]`` of gram numbers in ascending order; ``rest``, the elements that the
+    set has from the sequence's first on (the sequence may end early); ``size`` of the whole set; ``label`` and ``node``."""
+
+    def __init__(self, key, start, stop, flat, rest, size, label, node, members):
+        self.flat, self.start, self.stop, self.rest, self.size, self.label, self.node = flat, start, stop, rest, size, label, node
+        words = flat.astype(">u4")
+        order = sorted(members.tolist(), key=lambda r: (key[r], words[start[r] : stop[r]].tobytes()))
+        self.order = np.array(order, np.int64)
+        edges = []  # [first row in order, depth where the edge begins, depth where it ends, parent]
+        stack: list[int] = []
+        previous = None
+        at_end = np.empty(len(order), np.int64)
+        for k, r in enumerate(order):
+            n = int(stop[r] - start[r])
+            if previous is not None and key[previous] == key[r]:
+                m = min(n, int(stop[previous] - start[previous]))
+                differ = flat[start[previous] : start[previous] + m] != flat[start[r] : start[r] + m]
+                common = int(differ.argmax()) if m and differ.any() else m
+            else:
+                common, stack = 0, []
+            last = -1
+            while stack and edges[stack[-1]][2] > common:
+                last = stack.pop()
+            if last >= 0 and edges[last][1] < common:  # an edge parts here: its upper part becomes an edge of its own
+                e = edges[last]
+                edges.append([e[0], e[1], common, e[3]])
+                e[1], e[3] = common, len(edges) - 1
+                stack.append(len(edges) - 1)
+            if n > common or not stack:
+                edges.append([k, common, n, stack[-1] if stack else -1])
+                stack.append(len(edges) - 1)
+            at_end[k] = stack[-1]
+            previous = r
+        e = np.array(edges, np.int64).reshape(-1, 4)
+        self.begin, self.end, self.parent = e[:, 1], e[:, 2], e[:, 3]
+        self.source = self.start[self.order[e[:, 0]]] if len(e) else np.zeros(0, np.int64)
+        self.key = np.array([key[order[k]] for k in e[:, 0].tolist()])
+        # members of each edge's end, children of each edge, and bounds of what is below
+        self.member = self.order[np.argsort(at_end, kind="stable")]
+        self.member_at = np.searchsorted(np.sort(at_end), np.arange(len(e) + 1))
+        self.child = np.argsort(self.parent, kind="stable")
+        self.child_at = np.searchsorted(self.parent[self.child], np.arange(len(e) + 1))
+        low, high = np.iinfo(np.int64).max, np.iinfo(np.int64).min
+        self.least, self.first, self.low = (np.full(len(e), low) for _ in range(3))
+        self.most, self.high = (np.full(len(e), high) for _ in range(2))
+        rows = self.order
+        for f, out, of in ((np.minimum, self.least, size), (np.minimum, self.first, node), (np.minimum, self.low, label), (np.maximum, self.high, label), (np.maximum, self.most, rest)):
+            f.at(out, at_end, of[rows])
+        for i in np.argsort(-self.begin, kind="stable").tolist():  # an edge's parent begins above it
+            p = self.parent[i]
+            if p >= 0:
+                self.least[p], self.first[p], self.low[p] = min(self.least[p], self.least[i]), min(self.first[p], self.first[i]), min(self.low[p], self.low[i])
+                self.most[p], self.high[p] = max(self.most[p], self.most[i]), max(self.high[p], self.high[i])
+
+    def linked(self, probes: np.ndarray, roots_of, percent: int, once: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (probe row, member row) that may be linked; that are, if sequences are whole sets. Pairs of one node, and of one label, are left out; ``once``: pairs are named with the greater node as probe."""
+        found_a, found_b = [], []
+        at = 0
+        while at < len(probes):
+            # a block of probes that can't have more than FRONTIER pairs at the start
+            block, edge, total = [], [], 0
+            while at < len(probes) and (not block or total < FRONTIER):
+                r = roots_of(probes[at])
+                block.append(np.full(len(r), probes[at]))
+                edge.append(r)
+                total += len(r)
+                at += 1
+            for a, b in self._descend(np.concatenate(block), np.concatenate(edge), percent, once):
+                found_a.append(a)
+                found_b.append(b)
+        empty = np.zeros(0, np.int64)
+        return np.concatenate([empty, *found_a]), np.concatenate([empty, *found_b])
+
+    def _descend(self, probe, edge, percent, once) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        spread = int(self.flat.max()) + 1 if len(self.flat) else 1
+        rows = np.unique(probe)
+        lengths = self.stop[rows] - self.start[rows]
+        place = np.searchsorted(rows, probe)
+        inside = np.repeat(self.start[rows] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        keyed = np.repeat(np.arange(len(rows)), lengths) * spread + self.flat[inside]  # sorted: rows in turn, each ascending
+        base, known = (np.cumsum(lengths) - lengths)[place], lengths[place]
+        last = np.where(known > 0, self.flat[self.stop[probe] - 1], -1)
+        work = [(probe, place, base, known, last, edge, np.zeros(len(probe), np.int64), np.zeros(len(probe), np.int64), np.zeros(len(probe), np.int64), np.zeros(len(probe), np.int64))]
+        while work:
+            probe, place, base, known, last, edge, overlap, decided, rank, offset = work.pop()
+            keep = self._open(probe, edge, overlap, decided, rank, percent, once)
+            probe, place, base, known, last, edge, overlap, decided, rank, offset = (x[keep] for x in (probe, place, base, known, last, edge, overlap, decided, rank, offset))
+            if not len(probe):
+                continue
+            if len(probe) > FRONTIER:  # by halves, so that memory stays bounded
+                half = len(probe) // 2
+                both = (probe, place, base, known, last, edge, overlap, decided, rank, offset)
+                work += [tuple(x[:half] for x in both), tuple(x[half:] for x in both)]
+                continue
+            length = self.end[edge] - self.begin[edge]
+            n = np.minimum(STRIDE, length - offset)
+            grams = self.flat[np.repeat(self.source[edge] + self.begin[edge] + offset - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            pair = np.repeat(np.arange(len(n)), n)
+            sure = grams <= last[pair]
+            wanted = place[pair] * spread + grams
+            found = np.searchsorted(keyed, wanted)
+            hit = sure & (keyed[np.minimum(found, max(0, len(keyed) - 1))] == wanted) if len(keyed) else np.zeros(len(wanted), bool)
+            overlap = overlap + np.bincount(pair[hit], minlength=len(n))
+            now = np.bincount(pair[sure], minlength=len(n))
+            decided = decided + now
+            # how far the probe's own sequence is passed
+            passed = np.zeros(len(n), np.int64)
+            np.maximum.at(passed, pair[sure], (found + hit)[sure] - base[pair[sure]])
+            rank = np.where(now < n, known, np.maximum(rank, passed))
+            offset = offset + n
+            more = offset < length
+            if more.any():
+                work.append(tuple(x[more] for x in (probe, place, base, known, last, edge, overlap, decided, rank, offset)))
+            done = ~more
+            probe, place, base, known, last, edge, overlap, decided, rank = (x[done] for x in (probe, place, base, known, last, edge, overlap, decided, rank))
+            # sets that end here
+            count = self.member_at[edge + 1] - self.member_at[edge]
+            if count.any():
+                who = np.repeat(np.arange(len(edge)), count)
+                member = self.member[np.repeat(self.member_at[edge] - (np.cumsum(count) - count), count) + np.arange(count.sum())]
+                p = probe[who]
+                most = overlap[who] + np.minimum(self.rest[member] - decided[who], self.rest[p] - rank[who])
+                ok = _may_link(most, self.size[member], self.size[p], percent) & (self.label[member] != self.label[p])
+                ok &= self.node[member] < self.node[p] if once else self.node[member] != self.node[p]
+                if ok.any():
+                    yield p[ok], member[ok]
+            # sets below
+            count = self.child_at[edge + 1] - self.child_at[edge]
+            if count.any():
+                who = np.repeat(np.arange(len(edge)), count)
+                child = self.child[np.repeat(self.child_at[edge] - (np.cumsum(count) - count), count) + np.arange(count.sum())]
+                work.append((probe[who], place[who], base[who], known[who], last[who], child, overlap[who], decided[who], rank[who], np.zeros(len(who), np.int64)))
+
+    def _open(self, probe, edge, overlap, decided, rank, percent, once):
+        """Which (probe, edge) pairs can still find a link below."""
+        bound = overlap + np.minimum(self.most[edge] - decided, self.rest[probe] - rank)
+        ok = _may_link(bound, self.least[edge], self.size[probe], percent)
+        ok &= (self.low[edge] != self.high[edge]) | (self.low[edge] != self.label[probe])
+        if once:
+            ok &= self.first[edge] < self.node[probe]
+        return ok
+
+
+def _tree_pairs(key: list, grams: list[np.ndarray], rest, size, label, node, member, probe, percent: int, once: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes (a, b) of the pairs that the forest of ``member`` rows finds for ``probe`` rows."""
+    stop = np.cumsum([len(g) for g in grams])
+    start = np.append(0, stop[:-1])
+    _, flat = np.unique(np.concatenate([np.zeros(0, np.uint64), *grams]), return_inverse=True)
+    forest = Forest(key, start, stop, flat.astype(np.int64), rest, size, label, node, np.flatnonzero(member))
+    roots: dict = {}
+    for e in np.flatnonzero(forest.parent < 0).tolist():
+        roots.setdefault(int(forest.key[e]), []).append(e)
+    roots = {k: np.array(v, np.int64) for k, v in roots.items()}
+    none = np.zeros(0, np.int64)
+    a, b = forest.linked(np.flatnonzero(probe), lambda r: roots.get(key[r], none), percent, once)
+    return node[a], node[b]
+
+
+def _grouped_trees(rows: DataFrame, percent: int, once: bool) -> DataFrame:
+    """Links (a, b) of ``rows`` (key, part, role, node, size, rest, label, grams): role 0 is in the tree and traverses it, 1 is in it only, 2 traverses it only.
+
+    Rows are dealt by (key, part) and sorted, members first, so a worker streams them and holds one tree of a few groups."""
+    small_batches(rows.sparkSession)
+
+    def run(batches):
+        held: list[tuple] = []
+        size = 0
+
+        def links():
+            if not held:
+                return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, names=["a", "b"])
+            key, role, node, n, rest, label, grams = zip(*held)
+            numbers: dict = {}
+            number = [numbers.setdefault(k, len(numbers)) for k in key]
+            role = np.array(role)
+            a, b = _tree_pairs(number, list(grams), *(np.array(x, np.int64) for x in (rest, n, label, node)), role < 2, (role == 0) | (role == 2), percent, once)
+            both = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, label): label is the least node that ``links`` (a, b) reach, by minima of neighbours and jumps over labels."""
+        for batch in batches:
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            values = batch.column(7)
+            flat, edges = values.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.append(0, np.cumsum(pa.compute.list_value_length(values).to_numpy(zero_copy_only=False)))
+            columns = [batch.column(k).to_pylist() for k in range(2, 7)]
+            for k, (key, role, node, n, rest, label) in enumerate(zip(keys, *columns)):
+                if len(held) >= TREE_ROWS or size >= TREE_GRAMS:
+                    last = held[-1][0]
+                    if last != key or role == 2:
+                        yield links()
+                        # a group goes on: its members stay, to be traversed by the rest
+                        held = [(h[0], 1, *h[2:]) for h in held if h[0] == key and h[1] < 2]
+                        size = sum(len(h[6]) for h in held)
+                grams = flat[edges[k] : edges[k + 1]]
+                held.append((key, role, node, n, rest, label, grams.copy()))
+                size += len(grams)
+        yield links()
+
+    chosen = rows.select("key", "part", "role", "node", "size", "rest", "label", "grams")
+    return chosen.repartition("key", "part").sortWithinPartitions("key", "part", "role").mapInArrow(run, "a long, b long")
+
+
+# ---- components
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, label, old), written: label is the least node that ``links`` (a, b) reach, by minima of neighbours and jumps over labels until nothing changes."""
     edges = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = written(edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).withColumnRenamed("a", "node"), "labels")
-    for _ in range(rounds):
-        near = edges.join(labels, edges.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
-        jump = labels.select(F.col("node").alias("_n"), F.col("label").alias("far"))
-        step = labels.join(near, labels.node == near.a, "left").join(jump, labels.label == jump._n, "left")
+    labels = written(edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label"), F.lit(0).cast("long").alias("old")).withColumnRenamed("a", "node"), "labels")
+    while True:
+        known = labels.select("node", "label")
+        near = edges.join(known, edges.b == known.node).groupBy("a").agg(F.min("label").alias("near"))
+        jump = known.select(F.col("node").alias("_n"), F.col("label").alias("far"))
+        step = known.join(near, known.node == near.a, "left").join(jump, known.label == jump._n, "left")
         new = written(step.select("node", F.least("label", "near", "far").alias("label"), F.col("label").alias("old")), "labels")
-        labels = new.select("node", "label")
-        if new.where("label <> old").isEmpty():
+        settled = new.where("label <> old").isEmpty()
+        dropped(labels)
+        labels = new
+        if settled:
+            dropped(edges)
             return labels
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-class Order:
-    """The global order: byte codes of the sketch's counters, then hashes."""
+# ---- passes over the texts
+
 
-    def __init__(self, codes: np.ndarray):
-        self.codes = codes
+def _raw(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    small_batches(documents.sparkSession)
+    return documents.select(F.col(text_col).alias("t"), F.col(id_col).cast("long").alias("i"))
 
-    def arrange(self, grams: np.ndarray) -> np.ndarray:
-        return grams[np.lexsort((grams, self.codes[(grams & np.uint64(COUNTERS - 1)).astype(np.int64)]))]
 
+ROWS = "doc_id long, size long, node long, other long, text_key long, sketch binary"
 
-def _sketch(first: DataFrame, shards: int) -> np.ndarray:
-    """Codes of the counters, summed in ranges by Spark. COUNTERS bytes come to the driver, for a corpus of any size."""
 
-    def add(_: int, blobs: list[bytes]) -> list[bytes]:
-        total = np.zeros(COUNTERS // RANGES, np.int64)
-        for b in blobs:
-            total += np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
-        return [b""] * len(blobs) + [np.minimum(255, np.rint(12 * np.log2(1 + total))).astype(np.uint8).tobytes()]
+def _sets_of(texts: DataFrame, words: int) -> DataFrame:
+    """A row for each text, and at a task's end rows of its counters: size is -1, doc_id the range."""
 
-    codes = np.zeros(COUNTERS, np.uint8)
+    def run(batches):
+        counts = np.zeros(COUNTERS, np.uint32)
+        for batch in batches:
+            for a, b in slices(batch.column(0)):
+                part = batch.slice(a, b - a)
+                raw = [(t or "").encode() for t in part.column(0).to_pylist()]
+                sets = shingle_sets(raw, words)
+                halves = [_digest(s) if len(s) else (None, None) for s in sets]
+                counts += np.bincount((np.concatenate(sets) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in halves], pa.int64()), pa.array([x for _, x in halves], pa.int64()), pa.array([_text_key(r) for r in raw], pa.int64()), pa.nulls(len(raw), pa.binary())],
+                    names=names,
+                )
+        press = zstandard.ZstdCompressor(level=1)
+        blobs = [press.compress(c.tobytes()) for c in np.split(counts, RANGES) if counts.any()]
+        none = pa.nulls(len(blobs), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(blobs)), pa.int64()), pa.array([-1] * len(blobs), pa.int64()), none, none, none, pa.array(blobs, pa.binary())], names=names)
+
+    names = [x.split()[0] for x in ROWS.split(", ")]
+    return written(texts.mapInArrow(run, ROWS), "sets")
+
+
+def _codes(rows: DataFrame) -> np.ndarray:
+    """Rarity of each counter in steps of an eighth of a power of two. Counters are summed by range as they stream in; COUNTERS bytes come to the driver, for a corpus of any size."""
     width = COUNTERS // RANGES
-    for r in per_shard(first.where(F.col("shard") >= shards), add).where("chunk = -1").select("shard", "blob").collect():
-        codes[(r.shard - shards) * width : (r.shard - shards + 1) * width] = np.frombuffer(r.blob, np.uint8)
-    return codes
-
-
-_ASK = np.dtype([("digest", "S16"), ("node", "<i8")])
-
-
-def _same_sets(_: int, blobs: list[bytes]) -> list[bytes]:
-    """The node of each set asked about: the least place where an equal set stands."""
-    parts = [np.frombuffer(b, _ASK) for b in blobs]
-    every = np.concatenate(parts)
-    key = np.frombuffer(every["digest"].tobytes(), "<u8").reshape(-1, 2)
-    order = np.lexsort((every["node"], key[:, 0], key[:, 1]))
-    new = np.ones(len(order), bool)
-    new[1:] = (key[order][1:] != key[order][:-1]).any(axis=1)
-    node = np.empty(len(order), np.int64)
-    node[order] = every["node"][order[new]][np.cumsum(new) - 1]
-    return [n.astype("<i8").tobytes() for n in np.split(node, np.cumsum([len(p) for p in parts])[:-1])]
-
-
-_ENTRY = np.dtype([("gram", "<u8"), ("node", "<i8"), ("size", "<u4")])
-GROUPED = "gram long, node long, size long"
-
-
-def _shared(messages: DataFrame) -> DataFrame:
-    """Prefix entries (gram, node, size) of n-grams that more than one node filed."""
-
-    def run(table: pa.Table) -> pa.Table:
-        every = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(b), _ENTRY) for b in table.column("blob").to_pylist()])
-        every = every[np.argsort(every["gram"], kind="stable")]
-        new = np.ones(len(every), bool)
-        new[1:] = every["gram"][1:] != every["gram"][:-1]
-        group = np.cumsum(new) - 1
-        every = every[np.bincount(group)[group] > 1]
-        return pa.table([pa.array(every["gram"].view(np.int64)), pa.array(every["node"]), pa.array(every["size"].astype(np.int64))], names=["gram", "node", "size"])
-
-    return messages.groupBy("shard").applyInArrow(run, GROUPED)
-
-
-def _fits(a: str, b: str, percent: int):
-    """Whether sizes allow a link."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-
-def _verified(chunks: DataFrame, pairs: DataFrame, order, words: int, percent: int, buckets: int) -> DataFrame:
-    """Links (a, b) among ``pairs`` (center, member): sets go to their center's blocks, where a prefix tree is probed."""
-    blocks = pairs.select("center", "member", F.pmod(F.xxhash64("member"), F.greatest(F.lit(1), F.col("block_count"))).alias("block"))
-    keyed = blocks.withColumn("key", F.xxhash64("center", "block"))
-    sends = keyed.select(F.col("member").alias("node"), "key", F.lit(0).alias("role")).unionByName(keyed.select(F.col("center").alias("node"), "key", F.lit(1).alias("role")).distinct())
-    sends = sends.withColumn("chunk", F.shiftright("node", PLACE_BITS))
-
-    def packed(table: pa.Table) -> pa.Table:
-        rows = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("node", "key", "role")], 1)
-        return pa.table([pa.array([0], pa.int64()), table.column("chunk")[:1].cast(pa.int64()), pa.array([rows.tobytes()], pa.binary())], names=["shard", "chunk", "blob"])
-
-    def send(chunk, ids, ends, data, got):
-        if not got:
-            return
-        rows = np.frombuffer(got[0], "<i8").reshape(-1, 3)
-        sets = shingle_sets(ends, data, words)
-        arranged: dict[int, bytes] = {}
-        for node, key, role in rows.tolist():
-            k = node & (1 << PLACE_BITS) - 1
-            if k not in arranged:
-                arranged[k] = Order(order.value).arrange(sets[k]).tobytes()
-            yield key % buckets, chunk, np.array([key, node, role], "<i8").tobytes() + arranged[k]
-
-    def probe(table: pa.Table) -> pa.Table:
-        groups: dict[int, tuple[list, list]] = {}
-        for b in table.column("blob").to_pylist():
-            key, node, role = np.frombuffer(b, "<i8", 3).tolist()
-            groups.setdefault(key, ([], []))[role].append((node, np.frombuffer(b, np.uint64, offset=24)))
-        a, b = [], []
-        for members, centers in groups.values():
-            tree = PrefixTree(np.zeros(0, np.uint64))
-            for node, grams in members:
-                tree.insert(grams, node)
-            for node, grams in centers:
-                found = [m for m in tree.linked(grams, percent) if m != node]
-                a += [node] * len(found)
-                b += found
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    asked = per_chunk(chunks, send, MESSAGE, sends.groupBy("chunk").applyInArrow(packed, MESSAGE))
-    return asked.groupBy("shard").applyInArrow(probe, "a long, b long")
 
+    def add(batches):
+        totals: dict[int, np.ndarray] = {}
+        unpress = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for r, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                totals[r] = totals.get(r, 0) + np.frombuffer(unpress.decompress(blob), np.uint32).astype(np.int64)
+        codes = [np.minimum(255, np.rint(8 * np.log2(1 + t))).astype(np.uint8).tobytes() for t in totals.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(totals, pa.int64()), pa.array(codes, pa.binary())], names=["doc_id", "sketch"])
+
+    out = np.zeros(COUNTERS, np.uint8)
+    for r in rows.where("size = -1").select("doc_id", "sketch").repartition(32, "doc_id").mapInArrow(add, "doc_id long, sketch binary").collect():
+        out[r.doc_id * width : (r.doc_id + 1) * width] = np.frombuffer(r.sketch, np.uint8)
+    return out
 
-def groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: (doc_id, n_shingles, component_id)."""
-    chunks = chunked(documents, id_col, text_col, 8 << 20)
-    shards = shards_for(chunks)
-    width = COUNTERS // RANGES
 
-    def digests(sets):
-        return np.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "S16")
-
-    def dealt(keys):
-        """Shards of digests: (order of the sets by shard, edges)."""
-        raw = np.frombuffer(keys.tobytes(), "<u8").reshape(-1, 2)[:, 0]
-        order = np.argsort(raw, kind="stable")
-        return order, by_shard(raw[order], shards)
-
-    def ask_sets(chunk, ids, ends, data, _):
-        sets = shingle_sets(ends, data, words)
-        keys = digests(sets)
-        order, edges = dealt(keys)
-        out = np.zeros(len(sets), _ASK)
-        out["digest"], out["node"] = keys, (chunk << PLACE_BITS) + np.arange(len(sets))
-        for k in np.flatnonzero(np.diff(edges)):
-            yield int(k), chunk, out[order[edges[k] : edges[k + 1]]].tobytes()
-        counts = np.bincount((np.concatenate(sets) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
-        counts = np.minimum(counts, 255).astype(np.uint8)  # of a chunk; sums over chunks go on
-        for k in range(RANGES):
-            yield shards + k, chunk, zstandard.ZstdCompressor(level=1).compress(counts[k * width : (k + 1) * width].tobytes())
-
-    first = written(per_chunk(chunks, ask_sets, MESSAGE), "sets")
-    order = chunks.sparkSession.sparkContext.broadcast(_sketch(first, shards))
-    nodes = per_shard(first.where(F.col("shard") < shards), _same_sets)
-
-    def file_prefixes(chunk, ids, ends, data, got):
-        sets = shingle_sets(ends, data, words)
-        at, edges = dealt(digests(sets))
-        node = np.zeros(len(sets), np.int64)
-        for shard, blob in got.items():
-            node[at[edges[shard] : edges[shard + 1]]] = np.frombuffer(blob, "<i8")
-        own = (chunk << PLACE_BITS) + np.arange(len(sets))
-        size = np.array([len(s) for s in sets], np.int64)
-        known = np.array([i is not None for i in ids], bool)
-        yield -1, chunk, np.stack([np.array([i or 0 for i in ids], np.int64), known.astype(np.int64), size, np.where(size > 0, node, own)], 1).tobytes()
-        arrange = Order(order.value).arrange
-        entries = []
-        for k in np.flatnonzero((node == own) & (size > 0)):
-            n = int(size[k])
-            take = n - -(-percent * n // 100) + 1
-            e = np.zeros(take, _ENTRY)
-            e["gram"], e["node"], e["size"] = arrange(sets[k])[:take], own[k], n
-            entries.append(e)
-        if entries:
-            every = np.concatenate(entries)
-            every = every[np.argsort(every["gram"], kind="stable")]
-            cut = by_shard(every["gram"], shards)
-            for k in np.flatnonzero(np.diff(cut)):
-                yield int(k), chunk, zstandard.ZstdCompressor(level=1).compress(every[cut[k] : cut[k + 1]].tobytes())
-
-    second = written(per_chunk(chunks, file_prefixes, MESSAGE, nodes), "prefixes")
-    shared = written(_shared(second.where("shard >= 0")), "shared")
-
-    least = shared.groupBy("gram").agg(F.min(F.struct("node", "size")).alias("c"))
-    stars = shared.join(least, "gram").where(F.col("node") != F.col("c.node")).where(_fits("size", "c.size", percent))
-    stars = written(stars.select(F.col("c.node").alias("center"), F.col("node").alias("member")).distinct(), "stars")
-    links = written(_verified(chunks, _blocked(stars), order, words, percent, 4 * shards), "star-links")
-    labels = components(links)
-
-    # nodes of a group that are still in different components
-    of = labels.select(F.col("node"), "label")
-    placed = shared.join(of, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_ = placed.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gram")
-    left = placed.join(open_, "gram")
-    a, b = (left.select("gram", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "label")]) for s in "ab")
-    pairs = a.join(b, "gram").where((F.col("label_a") < F.col("label_b")) & _fits("size_a", "size_b", percent))
-    pairs = pairs.select(F.greatest("node_a", "node_b").alias("center"), F.least("node_a", "node_b").alias("member")).distinct()
-    tried = stars.select(F.col("member").alias("center"), F.col("center").alias("member"))
-    rest = written(pairs.join(tried, ["center", "member"], "left_anti"), "pairs")
-    more = _verified(chunks, _blocked(rest), order, words, percent, 4 * shards)
-    labels = components(written(links.unionByName(more), "all-links"))
-
-    def members(batches):
+def _prefixes(texts: DataFrame, words: int, percent: int, codes, twice: frozenset) -> DataFrame:
+    """(node, size, prefix) of the distinct sets of each task."""
+
+    def run(batches):
+        seen: set[int] = set()
         for batch in batches:
-            rows = [np.frombuffer(b, "<i8").reshape(-1, 4) for b in batch.column(0).to_pylist()]
-            if rows:
-                id_, known, size, node = np.concatenate(rows).T
-                yield pa.RecordBatch.from_arrays([pa.array(id_, mask=known == 0), pa.array(size), pa.array(node)], names=["doc_id", "n_shingles", "node"])
+            for a, b in slices(batch.column(0)):
+                nodes, sizes, parts = [], [], []
+                for s in shingle_sets([(t or "").encode() for t in batch.column(0).slice(a, b - a).to_pylist()], words):
+                    if len(s) and (node := _digest(s, twice)[0]) not in seen:
+                        seen.add(node)
+                        nodes.append(node)
+                        sizes.append(len(s))
+                        parts.append(_arranged(s, codes.value)[: prefix_length(len(s), percent)])
+                if nodes:
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(parts)], names=["node", "size", "prefix"])
 
-    rows = second.where("shard = -1").select("blob").mapInArrow(members, "doc_id long, n_shingles long, node long")
-    rows = written(rows.join(labels, "node", "left").select("doc_id", "n_shingles", F.coalesce("label", "node").alias("label")), "members")
-    ids = rows.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(ids, "label").select("doc_id", "n_shingles", "component_id")
+    return written(texts.mapInArrow(run, "node long, size long, prefix array<long>"), "prefixes")
 
 
-def _blocked(pairs: DataFrame) -> DataFrame:
-    """Pairs with the number of blocks that their center's candidates take."""
-    size = pairs.groupBy("center").agg(F.ceil(F.count("*") / BLOCK).alias("block_count"))
-    return pairs.join(size, "center")
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(p) for p in parts])), pa.int32()), pa.array(np.concatenate(parts).view(np.int64)))
+
+
+def _whole_sets(texts: DataFrame, words: int, codes, twice: frozenset, asked) -> DataFrame:
+    """(node, size, grams) of the texts whose key is marked in the map ``asked``, and of some more."""
+
+    def run(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            for a, b in slices(batch.column(0)):
+                raw = [(t or "").encode() for t in batch.column(0).slice(a, b - a).to_pylist()]
+                keys = np.array([_text_key(r) & ASKED_BITS - 1 for r in raw], np.int64)
+                wanted = asked.value[keys >> 3] >> (keys & 7).astype(np.uint8) & 1
+                nodes, sizes, parts = [], [], []
+                for s in shingle_sets([r for r, w in zip(raw, wanted) if w], words):
+                    if len(s) and (node := _digest(s, twice)[0]) not in seen:
+                        seen.add(node)
+                        nodes.append(node)
+                        sizes.append(len(s))
+                        parts.append(_arranged(s, codes.value))
+                if nodes:
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(parts)], names=["node", "size", "grams"])
+
+    return texts.mapInArrow(run, "node long, size long, grams array<long>")
+
+
+class Join:
+    """The passes of one run, with what they share."""
+
+    def __init__(self, documents: DataFrame, id_col: str, text_col: str, words: int, percent: int):
+        self.texts, self.words, self.percent = _raw(documents, id_col, text_col), words, percent
+        self.spark = documents.sparkSession
+        self.rows = _sets_of(self.texts, words)
+        self.codes = self.spark.sparkContext.broadcast(_codes(self.rows))
+        docs = self.rows.where("size >= 0").select("doc_id", "size", "node", "other", "text_key")
+        # sets whose first halves agree and others don't: about n * n / 2 ** 65 of n, so few at any size
+        unlike = docs.groupBy("node").agg(F.min("other").alias("lo"), F.max("other").alias("hi")).where("lo <> hi")
+        self.twice = frozenset(r.node for r in unlike.select("node").collect())
+        self.docs = docs.withColumn("node", F.when(F.col("node").isin(*self.twice), F.col("other")).otherwise(F.col("node"))) if self.twice else docs
+
+    def labels(self) -> DataFrame:
+        """(node, label) of the nodes that are linked."""
+        p = self.percent
+        prefixes = _prefixes(self.texts, self.words, p, self.codes, self.twice)
+        entries = prefixes.select(F.col("node"), F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("pos", "gram"))
+        group = Window.partitionBy("gram")
+        shared = entries.withColumn("head", F.min(F.struct("pos", "size", "node")).over(group)).withColumn("lo", F.min("node").over(group)).withColumn("hi", F.max("node").over(group)).where("lo <> hi")
+        shared = written(shared.select("gram", "node", "size", "pos", F.col("head.node").alias("head"), F.col("head.size").alias("head_size"), F.col("head.pos").alias("head_pos")).distinct(), "shared")
+
+        bound = F.least("pos", "head_pos") + 1 + F.least(F.col("size") - F.col("pos"), F.col("head_size") - F.col("head_pos")) - 1
+        stars = shared.where("node <> head").where(_may_link(bound, F.col("size"), F.col("head_size"), p)).groupBy("node", "head").agg(F.count("*").alias("times"), F.first("size").alias("size"), F.first("head_size").alias("head_size"))
+        best = stars.groupBy("node").agg(F.max(F.struct("times", F.col("head"), "size", "head_size")).alias("best")).select("node", "best.*")
+        # a guess of which pairs are worth whole sets: what they share of the prefixes, twice what is known of it
+        rest = F.least(*[F.ceil(F.lit(p) * F.col(c) / 100) - 1 for c in ("size", "head_size")])
+        tried = best.where(_may_link(2 * F.col("times") + rest, F.col("size"), F.col("head_size"), p)).select(F.col("head").alias("center"), F.col("node").alias("member"))
+        tried = written(tried, "stars")
+        links = self.verified(tried)
+        labels = components(links)
+
+        placed = shared.select("gram", "node", "size", "pos").join(labels.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        left = placed.withColumn("lo", F.min("label").over(group)).withColumn("hi", F.max("label").over(group)).withColumn("many", F.count("*").over(group)).where("lo <> hi").drop("lo", "hi")
+        left = written(left, "open")
+        own = prefixes.join(left.select("node").distinct(), "node", "left_semi").select("node", "prefix").dropDuplicates(["node"])
+        parts = F.ceil(F.col("many") / GROUP)
+        tails = left.join(own, "node").select(
+            F.col("gram").alias("key"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), F.pmod(F.xxhash64("node"), parts).alias("home"), "node", F.col("size").cast("long").alias("size"),
+            (F.col("size") - F.col("pos")).cast("long").alias("rest"), "label", F.slice("prefix", F.col("pos") + 1, F.greatest(F.lit(1), F.size("prefix") - F.col("pos"))).alias("grams"),
+        )
+        tails = tails.withColumn("role", F.when(F.col("part") == F.col("home"), 0).otherwise(2))
+        possible = written(_grouped_trees(tails, p, True).distinct(), "possible")
+        more = self.verified(possible.select(F.col("a").alias("center"), F.col("b").alias("member")))
+        if more.isEmpty():
+            out = labels
+        else:
+            out = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
+            dropped(labels)
+        dropped(prefixes, shared, tried, left, possible, links, more)
+        return out
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Links (a, b), written, among ``pairs`` (center, member): whole sets meet in trees, at most about ``BLOCK`` members with their center."""
+        asked = pairs.select(F.col("center").alias("node")).unionByName(pairs.select(F.col("member").alias("node"))).distinct()
+        texts = self.docs.join(asked, "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("k"))
+        place = F.pmod("k", F.lit(ASKED_BITS))
+        # at most ASKED_BITS bits come to the driver
+        marks = texts.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(31)).cast("int"))).alias("bits")).toArrow()
+        words = np.zeros(ASKED_BITS // 32, "<u4")
+        if marks.num_rows:
+            words[marks.column("word").to_numpy()] = marks.column("bits").to_numpy().astype(np.uint32)
+        sets = _whole_sets(self.texts, self.words, self.codes, self.twice, self.spark.sparkContext.broadcast(words.view(np.uint8)))
+        many = pairs.groupBy("center").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+        dealt = pairs.join(many, "center").select("center", "member", F.pmod(F.xxhash64("member"), F.col("parts")).alias("part"))
+        sends = dealt.select(F.col("member").alias("node"), F.col("center").alias("key"), "part", F.lit(1).alias("role")).unionByName(dealt.select(F.col("center").alias("node"), F.col("center").alias("key"), "part", F.lit(2).alias("role")).distinct())
+        rows = sets.join(sends, "node").select("key", "part", "role", "node", "size", F.col("size").alias("rest"), F.col("node").alias("label"), "grams")
+        return written(_grouped_trees(rows, self.percent, False).distinct(), "verified")
+
+
+def _grouped(documents: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """(doc_id, size, text_key, label), written; the label of an empty set is null."""
+    join = Join(documents, id_col, text_col, words, percent)
+    labels = join.labels()
+    out = written(join.docs.join(labels.select("node", "label"), "node", "left").select("doc_id", "size", "text_key", F.coalesce("label", "node").alias("label")), "members")
+    dropped(join.rows, labels)
+    return out
+
+
+def groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per document: (doc_id, n_shingles, component_id)."""
+    rows = _grouped(documents, id_col, text_col, words, percent)
+    ids = rows.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
+    return rows.join(ids, "label", "left").select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def kept_rows(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``documents`` that stay, with all their columns: of each group the row with the least id (nulls lose; ties by hash of the text, then any one), and all rows with an empty set."""
+    rows = _grouped(documents, id_col, text_col, words, percent)
+    first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_key")).alias("r")).select("r.doc_id", "r.text_key")
+    stay = first.unionByName(rows.where("label is null").select("doc_id", "text_key")).distinct().select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_k"))
+    id_, key = F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    names = documents.columns
+    wide = documents.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], id_.alias("_di"), key.alias("_dk"))
+    kept = wide.join(stay, F.col("_di").eqNullSafe(F.col("_i")) & (F.col("_dk") == F.col("_k")), "left_semi")
+    again = rows.where("label is not null").groupBy("doc_id", "text_key").count().where("count > 1").select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_k"))
+    if not again.isEmpty():  # repeated rows: one of each stays
+        same = F.col("_di").eqNullSafe(F.col("_i")) & (F.col("_dk") == F.col("_k"))
+        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["_di", "_dk"]))
+    return kept.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
 
 
 def query(spark, sf_dir):

@@ -293,16 +293,28 @@ def test_ngram_join(spark, odd, none, words, percent):
         assert ngram_join.groups(none).count() == 0
 
 
-def test_prefix_tree_finds_all_links():
+def test_prefix_tree_finds_all_links(monkeypatch):
     rnd = random.Random(2)
-    sets = [np.sort(np.array(rnd.sample(range(60), rnd.randint(1, 40)), np.uint64)) for _ in range(200)]
-    tree = ngram_join.PrefixTree(np.zeros(0, np.uint64))
-    for k, s in enumerate(sets):
-        tree.insert(s, k)
-    for percent in (30, 85, 100):
-        for s in sets[:40]:
-            want = [k for k, t in enumerate(sets) if 100 * len(np.intersect1d(s, t)) >= percent * len(np.union1d(s, t))]
-            assert sorted(tree.linked(s, percent)) == want
+    base = [rnd.sample(range(90), rnd.randint(1, 60)) for _ in range(6)]
+    sets = []
+    for _ in range(240):
+        s = set(rnd.choice(base))
+        for _ in range(rnd.choice([0, 1, 2, 5])):
+            s.symmetric_difference_update([rnd.randrange(90)])
+        sets.append(np.array(sorted(s) or [0], np.uint64))
+    size, node = np.array([len(s) for s in sets]), np.arange(240) * 7 % 240
+    every = np.ones(240, bool)
+    for percent, frontier, stride in ((30, 50, 3), (85, 400_000, 32), (100, 1, 1)):
+        monkeypatch.setattr(ngram_join, "FRONTIER", frontier)
+        monkeypatch.setattr(ngram_join, "STRIDE", stride)
+        key = [k % 3 for k in range(240)]
+        a, b = ngram_join._tree_pairs(key, sets, size, size, node, node, every, every, percent, True)
+        want = {(max(node[i], node[j]), min(node[i], node[j])) for i in range(240) for j in range(i) if key[i] == key[j] and 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))}
+        assert set(zip(a.tolist(), b.tolist())) == want and len(a) == len(want)
+        # what is cut off may only add pairs
+        cut = [s[: ngram_join.prefix_length(len(s), percent)] for s in sets]
+        a, b = ngram_join._tree_pairs(key, cut, size, size, node, node, every, every, percent, True)
+        assert set(zip(a.tolist(), b.tolist())) >= want
 
 
 def test_elias_fano():
