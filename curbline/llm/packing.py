@@ -1,19 +1,23 @@
 """Harmonic packing of token sequences.
 
-A sequence holds ``capacity`` tokens. A document's tokens first fill whole sequences; its rest is cut into pieces of
-reciprocal-capacity classes: class k holds pieces of at most ``capacity // k`` tokens, and each of its bins takes
-exactly k of them. Workers (tasks) fill their own bins, without a shuffle: no group of rows ever meets anywhere, so one
-source or a hot group can't skew it. Bins that a worker can't fill are cut into sequences whose lengths are powers of
-two, which need no padding.
+A sequence holds ``capacity`` tokens. A document that fits into one belongs to the reciprocal-capacity class k of its
+length: more than ``capacity / (k + 1)`` tokens, at most ``capacity / k``; each bin of class k takes exactly k whole documents. What
+a full bin has left is filled with tokens cut from fillers: rests of documents that are longer than a sequence (these first
+fill whole sequences), or, where more than ``KEPT`` bins wait for one, a short document. Workers (tasks) fill their own
+bins, without a shuffle: no group of rows ever meets anywhere, so one source or a hot group can't skew it. What a worker
+has left at its end is cut into full sequences and then into sequences whose lengths are powers of two, which need no
+padding.
 
 Odd input: null text is empty; an empty document has one token (the separator); a null id stays null; repeated rows are
-packed each; an empty table gives an empty table.
+packed each; an empty table gives an empty table; other columns don't matter. A worker keeps the token ids of its open
+and waiting bins (under a hundred sequences of documents, and ``KEPT`` bins and fillers), and one long text's.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections import deque
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,31 +29,19 @@ from curbline.llm.common import slices, small_batches
 from curbline.llm.tokens import byte_bpe
 
 CAPACITY, SEPARATOR = 1024, 0
-#: Pieces this short are left whole: their class's bins waste next to nothing.
-LEAST_CUT = 24
+#: Full bins that wait for a filler, and fillers that wait for a bin.
+KEPT = 64
 #: Of a sequence's id, the bits for its number within its worker.
 LOCAL_BITS = 36
 
 
-def classes(rest: int, capacity: int = CAPACITY) -> Iterator[tuple[int, int]]:
-    """Cuts ``rest`` < capacity tokens into (class, length) pieces, largest reciprocal class first."""
-    while rest:
-        k = -(-capacity // rest)
-        while capacity // k > rest:
-            k += 1
-        n = capacity // k
-        if rest <= LEAST_CUT:
-            yield capacity // rest, rest
-            return
-        yield k, n
-        rest -= n
-
-
 class Packer:
-    """Bins of one worker. ``add`` returns nothing; ``rows`` drains what is placed: (item, start, length, sequence, offset)."""
+    """Bins of one worker. ``add`` returns nothing; ``rows`` collects what is placed: (item, start, length, sequence, offset)."""
 
     def __init__(self, worker: int, capacity: int = CAPACITY):
         self.capacity, self.next, self.open, self.rows = capacity, worker << LOCAL_BITS, {}, []
+        self.waiting: deque[tuple[list, int]] = deque()
+        self.fillers: deque[tuple] = deque()
 
     def _sequence(self, pieces: Iterable[tuple]) -> None:
         offset, sequence = 0, self.next
@@ -59,21 +51,55 @@ class Packer:
             offset += n
 
     def add(self, item, length: int) -> None:
-        start = 0
-        while length - start >= self.capacity:
-            self._sequence([(item, start, self.capacity)])
-            start += self.capacity
-        for k, n in classes(length - start, self.capacity):
-            bin_ = self.open.setdefault((k, n), [])
-            bin_.append((item, start, n))
-            start += n
-            if len(bin_) == k:
-                self._sequence(self.open.pop((k, n)))
+        start = length // self.capacity * self.capacity
+        for a in range(0, start, self.capacity):
+            self._sequence([(item, a, self.capacity)])
+        if length > start:
+            piece = (item, start, length - start)
+            if start:
+                self.fillers.append(piece)
+            else:
+                self._file(piece)
+        self._fill()
+        if len(self.fillers) > KEPT:
+            self._file(self.fillers.popleft())
+            self._fill()
+
+    def _file(self, piece: tuple) -> None:
+        """Puts a piece whole into the bin of its class."""
+        k = self.capacity // piece[2]
+        bin_ = self.open.setdefault(k, [])
+        bin_.append(piece)
+        if len(bin_) == k:
+            del self.open[k]
+            room = self.capacity - sum(n for _, _, n in bin_)
+            if room:
+                self.waiting.append((bin_, room))
+            else:
+                self._sequence(bin_)
+
+    def _fill(self) -> None:
+        while self.waiting and (self.fillers or len(self.waiting) > KEPT and self.open):
+            if not self.fillers:
+                k = max(self.open, key=lambda k: len(self.open[k]))
+                self.fillers.append(self.open[k].pop())
+                if not self.open[k]:
+                    del self.open[k]
+            (pieces, room), (item, start, n) = self.waiting.popleft(), self.fillers.popleft()
+            take = min(room, n)
+            pieces.append((item, start, take))
+            if take < n:
+                self.fillers.appendleft((item, start + take, n - take))
+            if take < room:
+                self.waiting.appendleft((pieces, room - take))
+            else:
+                self._sequence(pieces)
 
     def close(self) -> None:
-        """What is left of all classes, longest pieces first, in full sequences and then in powers of two."""
-        left = [p for key in sorted(self.open, key=lambda x: -x[1]) for p in self.open[key]]
-        self.open = {}
+        """What is left, longest pieces first, in full sequences and then in powers of two."""
+        left = [*self.fillers, *[p for pieces, _ in self.waiting for p in pieces], *[p for pieces in self.open.values() for p in pieces]]
+        left.sort(key=lambda p: -p[2])
+        self.open, self.waiting, self.fillers = {}, deque(), deque()
         total = sum(n for _, _, n in left)
         sizes = [self.capacity] * (total // self.capacity) + [1 << b for b in range(self.capacity.bit_length() - 1, -1, -1) if total % self.capacity >> b & 1]
         k = used = 0
@@ -91,9 +117,7 @@ class Packer:
 
 
 def pack(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece: (doc_id, start, length, ids, doc_tokens, sequence_id, offset); ``ids`` little-endian uint32.
-
-    A worker keeps the token ids of open pieces only: at most one unfinished bin for each class."""
+    """One row per piece: (doc_id, start, length, ids, doc_tokens, sequence_id, offset); ``ids`` little-endian uint32."""
     from public_tokenizers import path
 
     return _packed(documents, id_col, text_col, tokenizer or path("byte_bpe_50k.json"), capacity, False)
@@ -129,7 +153,7 @@ def _packed(documents: DataFrame, id_col: str, text_col: str, tokenizer: str, ca
         packer.close()
         yield drain()
 
-    return documents.select(F.col(text_col), F.col(id_col).cast("long")).mapInArrow(run, schema)
+    return documents.select(F.col(f"`{text_col}`"), F.col(f"`{id_col}`").cast("long")).mapInArrow(run, schema)
 
 
 def query(spark, sf_dir):
