@@ -1,13 +1,17 @@
 """Chat formatting: tool calls linked with their results, ordered, validated, and written as canonical JSON.
 
-Calls and results meet in a hash join on (conversation, identifier). A call may refer to earlier ones (``after``). Where
-all references of a conversation point back in turn order, that order is topological already; only the other
-conversations are levelled, in rounds of joins, and calls on a cycle keep no level. Arguments are parsed and checked
-against the tool's schema, and each call with its result becomes one line of canonical JSON (sorted keys, no blanks,
-plain UTF-8). No conversation is gathered anywhere, so a long one can't fill a task.
+Calls and results meet in a hash join on (conversation, identifier). A call may refer to other ones (``after``); its level is
+the length of the longest chain of references from it, so that ordering by level is topological. Calls with one
+reference jump along their chains in doubling steps, to a call without references or with several; only the latter
+are levelled one after the other, in rounds of joins. Calls on a cycle or behind one have no level. Arguments are parsed and
+checked against the tool's schema, and each call with its result becomes one line of canonical JSON (sorted keys, no
+blanks, plain UTF-8). No conversation is gathered anywhere, so a long one can't fill a task.
 
 Status of a call: ``ok``; ``missing`` without a result; ``duplicate`` if an earlier call of the conversation has its
-identifier (those keep their own turn and arguments, take the identifier's level and get no result); ``cyclic``; ``invalid`` arguments come with their errors, whatever the status. Odd input:
+identifier (those keep their own turn and arguments, take the identifier's level and get no result); ``cyclic``, at level 0;
+wrong arguments come with their errors, whatever the status. Arguments that aren't JSON, nest too deep for the parser, or
+hold numbers that aren't finite stay as text; lone surrogates stay escaped. Types and patterns that a schema has wrong are
+errors of the arguments. Odd input: references to unknown calls don't count; calls of a null conversation are linked with nothing;
 calls without an identifier are ``missing``, each for itself, at level 0; null arguments are invalid; a tool without schema takes any arguments; of
 results with one identifier the first by turn counts; results without a call are dropped; repeated rows of a call are
 duplicates; an empty table gives an empty table; other columns of the input don't matter.
@@ -15,14 +19,14 @@ duplicates; an empty table gives an empty table; other columns of the input don'
 
 from __future__ import annotations
 
-import itertools
 import json
+import math
 import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import map_texts, written
+from curbline.llm.common import dropped, map_texts, written
 
 _KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None), "number": (int, float), "integer": int}
 
@@ -31,10 +35,10 @@ def schema_errors(value, schema: dict, at: str = "$") -> list[str]:
     """Violations of a JSON schema (type, enum, properties, required, additionalProperties, items, lengths, bounds, pattern)."""
     kinds = schema.get("type")
     kinds = [kinds] if isinstance(kinds, str) else kinds
-    if kinds and not any(isinstance(value, _KINDS[k]) and not (isinstance(value, bool) and k in ("number", "integer")) for k in kinds):
-        return [f"{at}: not of type {'/'.join(kinds)}"]
+    if kinds and not any(isinstance(value, _KINDS.get(k, ())) and not (isinstance(value, bool) and k in ("number", "integer")) for k in kinds):
+        return [f"{at}: not of type {'/'.join(map(str, kinds))}"]
     out = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
         out.append(f"{at}: not one of the choices")
     if isinstance(value, dict):
         known = schema.get("properties", {})
@@ -49,8 +53,11 @@ def schema_errors(value, schema: dict, at: str = "$") -> list[str]:
     elif isinstance(value, str):
         if not schema.get("minLength", 0) <= len(value) <= schema.get("maxLength", len(value)):
             out.append(f"{at}: length")
-        if "pattern" in schema and not re.search(schema["pattern"], value):
-            out.append(f"{at}: pattern")
+        try:
+            if "pattern" in schema and not re.search(schema["pattern"], value):
+                out.append(f"{at}: pattern")
+        except re.error:
+            out.append(f"{at}: the schema's pattern is none")
     elif isinstance(value, (int, float)) and not isinstance(value, bool):
         if not schema.get("minimum", value) <= value <= schema.get("maximum", value):
             out.append(f"{at}: bounds")
@@ -58,33 +65,67 @@ def schema_errors(value, schema: dict, at: str = "$") -> list[str]:
 
 
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
-
-
-def levels(calls: DataFrame, rounds: int | None = None) -> DataFrame:
-    """(conv_id, call_id, level) of calls that have an ``after`` pointing forward somewhere in their conversation.
-
-    Level 0 needs nothing that is known; each round levels calls whose references all have a level, until a
-    round finds none. Calls on or behind a cycle are left out. Raises if calls are still levelled after ``rounds`` rounds."""
-    edges = calls.select("conv_id", "call_id", "turn", F.explode("after").alias("needs"))
-    target = calls.select(F.col("conv_id").alias("c"), F.col("call_id").alias("n"), F.col("turn").alias("needed_turn"))
-    edges = edges.join(target, (edges.conv_id == target.c) & (edges.needs == target.n)).drop("c", "n")
-    odd = edges.where("needed_turn >= turn").select("conv_id").distinct()
-    left = written(calls.join(odd, "conv_id", "left_semi").select("conv_id", "call_id"), "calls")
-    if left.isEmpty():
-        return left.withColumn("level", F.lit(0))
-    edges = written(edges.join(odd, "conv_id", "left_semi").select("conv_id", "call_id", "needs"), "references")
-    done = written(left.join(edges, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0)), "levels")
-    for n in itertools.count():
-        met = edges.join(done.select("conv_id", F.col("call_id").alias("needs"), "level"), ["conv_id", "needs"], "left")
-        ready = met.groupBy("conv_id", "call_id").agg(F.count_if(F.col("level").isNull()).alias("open"), (F.max("level") + 1).alias("level")).where("open = 0")
-        new = written(ready.select("conv_id", "call_id", "level").join(done, ["conv_id", "call_id"], "left_anti"), "levels")
+    out = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", out)
+
+
+def _finite(text: str) -> float:
+    if math.isinf(x := float(text)):
+        raise ValueError(text)
+    return x
+
+
+def _no_number(text: str):
+    raise ValueError(text)
+
+
+def checked(arguments: str | None, schema: dict) -> tuple[object, list[str]]:
+    """(value, errors) of a call's arguments; text that can't be read stays text."""
+    try:
+        value = json.loads(arguments, parse_float=_finite, parse_constant=_no_number)
+        canonical(value)
+        return value, schema_errors(value, schema)
+    except (TypeError, ValueError):
+        return arguments, ["$: not JSON"]
+    except RecursionError:
+        return arguments, ["$: nested too deep"]
+
+
+def levels(calls: DataFrame) -> DataFrame:
+    """(conv_id, call_id, level) of ``calls`` (conv_id, call_id, after), unique by identifier; null: on a cycle or behind one."""
+    key = ["conv_id", "call_id"]
+    edges = calls.select(*key, F.explode(F.array_distinct("after")).alias("needs"))
+    known = calls.select("conv_id", F.col("call_id").alias("needs"))
+    edges = written(edges.join(known, ["conv_id", "needs"], "left_semi"), "references")
+    several = edges.groupBy(*key).agg(F.count("*").alias("n"), F.first("needs").alias("needs"))
+    # each call points to the end of its chain as far as it is known: distance, and whether the chain ends there
+    found = calls.select(*key).join(several, key, "left")
+    ends = (F.coalesce("n", F.lit(0)) != 1).alias("ends")
+    chains = written(found.select(*key, F.when(F.col("n") == 1, F.col("needs")).otherwise(F.col("call_id")).alias("at"), F.when(F.col("n") == 1, 1).otherwise(0).cast("long").alias("far"), ends), "chains")
+    reach, most = 1, chains.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0  # no chain is longer than its conversation
+    while reach <= most and not chains.where("not ends").isEmpty():
+        ahead = chains.select("conv_id", F.col("call_id").alias("at"), F.col("at").alias("_at"), F.col("far").alias("_far"), F.col("ends").alias("_ends"))
+        step = chains.where("not ends").join(ahead, ["conv_id", "at"]).select(*key, F.col("_at").alias("at"), (F.col("far") + F.col("_far")).alias("far"), F.col("_ends").alias("ends"))
+        new = written(step.unionByName(chains.where("ends")), "chains")
+        dropped(chains)
+        chains, reach = new, 2 * reach
+    # calls with several references, once the ends of the chains from them all have a level
+    knots = several.where("n > 1").select(*key)
+    ahead = chains.select("conv_id", F.col("call_id").alias("needs"), "at", "far", "ends")
+    waits = written(edges.join(knots, key, "left_semi").join(ahead, ["conv_id", "needs"]).select(*key, "at", F.col("far") + 1, "ends").toDF(*key, "at", "far", "ends"), "waits")
+    done = written(calls.select(*key).join(edges.select(*key).distinct(), key, "left_anti").withColumn("level", F.lit(0).cast("long")), "levels")
+    while not waits.isEmpty():
+        met = waits.join(done.select("conv_id", F.col("call_id").alias("at"), "level"), ["conv_id", "at"], "left")
+        ready = met.groupBy(*key).agg(F.count_if(F.col("level").isNull() | ~F.col("ends")).alias("open"), F.max(F.col("level") + F.col("far")).alias("level")).where("open = 0")
+        new = written(ready.select(*key, "level"), "levels")
         if new.isEmpty():
             break
-        if n == rounds:
-            raise RuntimeError(f"calls are still levelled after {rounds} rounds")
-        done = written(done.unionByName(new), "levels")
-    return done
+        left = written(waits.join(new, key, "left_anti"), "waits")
+        both = written(done.unionByName(new), "levels")
+        dropped(waits, done, new)
+        waits, done = left, both
+    out = chains.join(done.select("conv_id", F.col("call_id").alias("at"), "level"), ["conv_id", "at"], "left")
+    return out.select(*key, F.when(F.col("ends"), F.col("level") + F.col("far")).cast("int").alias("level"))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -99,12 +140,10 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     marked = unlike.join(least, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("call_id") == F.col("_id")), "left").withColumn("first", fields.eqNullSafe(F.col("_c"))).drop("_conv", "_id", "_c")
     answer = results.where("call_id is not null").groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "content")).alias("r"))
     known = marked.join(answer.hint("shuffle_hash"), ["conv_id", "call_id"], "left")
-    depth = levels(first.select("conv_id", "call_id", "c.turn", "c.after"))
-    odd = depth.select("conv_id").distinct().withColumn("odd", F.lit(True))
-    known = known.join(depth, ["conv_id", "call_id"], "left").join(odd, "conv_id", "left")
+    known = known.join(levels(first.select("conv_id", "call_id", "c.after")), ["conv_id", "call_id"], "left")
     # equal rows were counted, and are rows again; only the first row of an identifier has a result
     rows = known.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).withColumn("first", F.col("first") & (F.col("time") == 1))
-    status = F.when(F.col("call_id").isNull(), "missing").when(~F.col("first"), "duplicate").when(F.col("odd") & F.col("level").isNull(), "cyclic").when(F.col("r").isNull(), "missing").otherwise("ok")
+    status = F.when(F.col("call_id").isNull(), "missing").when(~F.col("first"), "duplicate").when(F.col("conv_id").isNotNull() & F.col("level").isNull(), "cyclic").when(F.col("r").isNull(), "missing").otherwise("ok")
     rows = rows.select(
         "arguments", "name", "conv_id", "call_id", "turn", F.coalesce("level", F.lit(0)).alias("level"),
         F.when(F.col("first"), F.col("r.turn")).alias("result_turn"), status.alias("status"), F.when(F.col("first"), F.col("r.content")).alias("content"),
@@ -113,11 +152,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     def run(_, arguments, names, convs, ids, turns, level, result_turns, statuses, contents):
         errors, lines = [], []
         for a, name, id_, content in zip(arguments, names, ids, contents):
-            try:
-                value, wrong = json.loads(a), []
-                wrong = schema_errors(value, schemas.get(name, {}))
-            except (TypeError, ValueError):
-                value, wrong = a, ["$: not JSON"]
+            value, wrong = checked(a, schemas.get(name, {}))
             errors.append(wrong)
             lines.append(canonical({"arguments": value, "id": id_, "name": name, "result": content}))
         return {"conv_id": convs, "call_id": ids, "turn": turns, "level": level, "result_turn": result_turns, "status": statuses, "errors": errors, "json": lines}
