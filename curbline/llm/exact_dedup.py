@@ -3,20 +3,22 @@
 Texts are equal when identical after lower-casing A-Z. Workers first group the texts of a slice of rows, so that a
 group of copies of any size enters the shuffle as one row per slice. Rows are then dealt by length and content hash;
 each partition inserts the full byte strings into a compressed radix trie, whose terminal nodes hold the owner (largest
-or smallest id) and the local groups that ended there. A trie that outgrows its budget moves its heaviest subtree to a
-spill file and goes on. Owners then return to the local groups by an equi-join of small rows.
+or smallest id) and have a number, under which each local group is filed as it arrives. A trie that outgrows its budget
+gives up its heaviest subtree at the first place where keys part: what was there, and what comes later, goes
+into a table in the shared folder, which the next pass deals by subtree. Owners then return to the local groups by
+equi-joins of small rows.
 
 Odd input: null text counts as empty, and empty texts are copies of each other; null ids lose to any other id, and a
 group without ids has a null ``keep_id``; of equal ids in a group one row stays (the first of its slice); an empty table
-gives an empty table; columns of any name can be carried.
+gives an empty table; columns of any name can be carried; a worker holds its trie and a slice of rows (4 MiB of texts or
+one longer text).
 """
 
 from __future__ import annotations
 
 import hashlib
-import pickle
-import tempfile
-from collections.abc import Iterable, Iterator
+import itertools
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -27,8 +29,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from curbline.llm.common import slices, small_batches, written
 
-#: Bytes of keys that a worker's trie holds before it spills a subtree.
-TRIE_BYTES = 96 << 20
+#: Bytes that a worker's trie holds before it gives up a subtree, and what a node takes besides its label.
+TRIE_BYTES, NODE_BYTES = 96 << 20, 300
+#: Of a terminal's and a subtree's number, the bits for its place in its task; the pass stands above the task.
+LOCAL_BITS, TASK_BITS = 32, 24
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
@@ -47,93 +51,79 @@ def common_prefix(a: bytes, b: bytes) -> int:
 
 
 class Node:
-    __slots__ = ("label", "children", "value", "weight")
+    __slots__ = ("label", "children", "value", "gone")
 
     def __init__(self, label: bytes, value=None):
-        self.label, self.children, self.value, self.weight = label, {}, value, len(label)
+        self.label, self.children, self.value, self.gone = label, {}, value, None
 
 
 class PatriciaTrie:
-    """Compressed radix trie of byte strings. ``merge(old, new)`` joins the values of equal keys.
+    """Compressed radix trie of byte strings. ``merge(old, new)`` joins the values of equal keys, ``old`` is None at first.
 
-    ``items()`` yields each key's value once, spilled subtrees included; the trie is used up by that."""
+    Beyond ``budget`` bytes a subtree is given up: its keys, and later ones below it, go to ``spill(subtree, rest of key, value)``."""
 
-    def __init__(self, merge, budget: int = TRIE_BYTES, depth: int = 0):
-        self.root, self.merge, self.budget, self.depth, self.bytes, self.spilled = Node(b""), merge, budget, depth, 0, {}
+    def __init__(self, merge: Callable, budget: int = TRIE_BYTES, spill: Callable | None = None):
+        self.root, self.merge, self.budget, self.spill, self.bytes, self.subtrees = Node(b""), merge, budget, spill, 0, 0
 
-    def insert(self, key: bytes, value) -> None:
-        if self.spilled and (first := key[:1]) in self.spilled:
-            pickle.dump((key, value), self.spilled[first], pickle.HIGHEST_PROTOCOL)
-            return
+    def insert(self, key: bytes, value):
+        """The merged value, or None if the key went to a subtree that was given up."""
         node, at = self.root, 0
         while True:
+            if node.gone is not None:
+                self.spill(node.gone, key[at:], value)
+                return None
             if at == len(key):
-                node.value = value if node.value is None else self.merge(node.value, value)
-                break
+                node.value = out = self.merge(node.value, value)
+                return out
             child = node.children.get(key[at])
             if child is None:
-                node.children[key[at]] = Node(key[at:], value)
-                self._grown(key, len(key) - at)
-                break
+                out = self.merge(None, value)
+                node.children[key[at]] = Node(key[at:], out)
+                self.bytes += len(key) - at + NODE_BYTES
+                if self.bytes > self.budget and self.spill:
+                    self._give_up()
+                return out
             rest = key[at:]
             n = common_prefix(child.label, rest)
             if n < len(child.label):
                 upper = Node(child.label[:n])
-                upper.weight = child.weight
                 child.label = child.label[n:]
                 upper.children[child.label[0]] = child
                 node.children[rest[0]] = child = upper
+                self.bytes += NODE_BYTES
             node, at = child, at + n
 
-    def _grown(self, key: bytes, n: int) -> None:
-        self.bytes += n
-        self.root.children[key[0]].weight += n
-        if self.bytes > self.budget and self.depth < 64 and len(self.root.children) > 1:
-            self._spill()
-
-    def _spill(self) -> None:
-        """Moves the subtree with most bytes to a nameless file; its later keys go there too."""
-        first = max(self.root.children, key=lambda b: self.root.children[b].weight)
-        out = tempfile.TemporaryFile()  # noqa: SIM115  scratch of this task, gone with it
-        top = self.root.children.pop(first)
-        for key, value in self._walk(top, b""):
-            pickle.dump((key, value), out, pickle.HIGHEST_PROTOCOL)
-            self.bytes -= 1
-        self.bytes = sum(c.weight for c in self.root.children.values())
-        self.spilled[bytes([first])] = out
+    def _give_up(self) -> None:
+        """Hands over the heaviest subtree that holds no other one and has others beside it; a lone key stays."""
+        size = lambda top: sum(len(n.label) + NODE_BYTES for n, _ in self._walk(top))
+        node = self.root
+        while held := [c for c in node.children.values() if c.gone is None]:
+            top = max(held, key=size)
+            if len(node.children) > 1 and not any(n.gone is not None for n, _ in self._walk(top)):
+                break
+            node = top
+        else:
+            return
+        self.bytes -= size(top) - len(top.label) - NODE_BYTES
+        for n, rest in self._walk(top):
+            if n.value is not None:
+                self.spill(self.subtrees, rest, n.value)
+        top.children, top.value, top.gone = {}, None, self.subtrees
+        self.subtrees += 1
 
     @staticmethod
-    def _walk(node: Node, above: bytes) -> Iterator[tuple[bytes, object]]:
-        stack = [(node, above)]
+    def _walk(top: Node) -> Iterator[tuple[Node, bytes]]:
+        """Nodes of a subtree with the rest of their keys behind its edge."""
+        stack = [(top, b"")]
         while stack:
-            node, above = stack.pop()
-            key = above + node.label
-            if node.value is not None:
-                yield key, node.value
-            stack += [(c, key) for c in node.children.values()]
+            node, rest = stack.pop()
+            yield node, rest
+            stack += [(c, rest + c.label) for c in node.children.values()]
 
-    def items(self) -> Iterator:
-        stack = [self.root]
-        while stack:
-            node = stack.pop()
+    def values(self) -> Iterator:
+        for node, _ in self._walk(self.root):
             if node.value is not None:
                 yield node.value
-            stack += node.children.values()
-        self.root = Node(b"")
-        for out in self.spilled.values():
-            out.seek(0)
-            below = PatriciaTrie(self.merge, self.budget, self.depth + 1)
-            first = None
-            while True:
-                try:
-                    key, value = pickle.load(out)
-                except EOFError:
-                    break
-                # equal first bytes: the next level tells keys apart one byte further on
-                first = (first or 0) + 1
-                below.insert(key[1:], value)
-            out.close()
-            yield from below.items()
 
 
 def normal(text: str | None) -> bytes:
@@ -183,7 +173,8 @@ def local_groups(documents: DataFrame, id_col: str, text_col: str, keep: str, ca
     return chosen.mapInArrow(run, schema)
 
 
-OWNED = "slice long, grp long, keep_id long, owner_slice long, owner_grp long, group_size long"
+#: Rows of a pass. Filed: slice, grp and their terminal. Terminal: owner and size. Spilled: subtree, rest of the key, and either.
+PASSED = "slice long, grp long, terminal long, keep_id long, owner_slice long, owner_grp long, group_size long, subtree long, rest binary"
 
 
 def owners(groups: DataFrame, keep: str, budget: int = TRIE_BYTES) -> DataFrame:
@@ -197,33 +188,80 @@ def owners(groups: DataFrame, keep: str, budget: int = TRIE_BYTES) -> DataFrame:
             return min(a, b)
         return max(a, b) if keep == "max" else min(a, b)
 
-    def merge(old, new):
-        return better(old[0], new[0]), old[1] + new[1], old[2] + new[2]
-
-    def run(batches):
-        trie = PatriciaTrie(merge, budget)
-        for batch in batches:
-            for slice_, grp, text, owner, n in zip(*[c.to_pylist() for c in batch.columns]):
-                trie.insert(normal(text), ((owner, slice_, grp), n, [(slice_, grp)]))
-        out, size = [], 0
-        for (owner, owner_slice, owner_grp), n, found in trie.items():
-            out += [(s, g, owner, owner_slice, owner_grp, n) for s, g in found]
-            if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
-                out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
-
-    names = [x.split()[0] for x in OWNED.split(", ")]
+    def trie_pass(number: int):
+        def run(batches):
+            from pyspark import TaskContext
+
+            task = number << TASK_BITS + LOCAL_BITS | TaskContext.get().partitionId() << LOCAL_BITS
+            out: list[tuple] = []
+            terminals = 0
+
+            def merge(old, new):
+                nonlocal terminals
+                if old is None and new[2] is None:
+                    terminals += 1
+                    return new[0], new[1], task + terminals
+                return (new if old is None else (better(old[0], new[0]), old[1] + new[1], old[2] if new[2] is None else new[2]))
+
+            def spill(subtree, rest, value):
+                (owner, s, g), n, terminal = value[:3]
+                # a local group that has no terminal yet goes on as it is
+                out.append((*(value[3] if terminal is None else (None, None)), terminal, owner, s, g, n, task + subtree, rest))
+
+            def batch_of():
+                nonlocal out
+                rows, out = out, []
+                return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+            def close(trie):
+                for (owner, s, g), n, terminal in (v[:3] for v in trie.values()):
+                    out.append((None, None, terminal, owner, s, g, n, None, None))
+
+            trie = below = None
+            given_up = 0
+            for batch in batches:
+                for slice_, grp, key, owner, n, s, g, terminal, subtree in zip(*[c.to_pylist() for c in batch.columns]):
+                    if trie is None or subtree != below:
+                        if trie is not None:
+                            close(trie)
+                            given_up = trie.subtrees
+                        trie, below = PatriciaTrie(merge, budget, spill), subtree
+                        trie.subtrees = given_up
+                    met = trie.insert(key, ((owner, s, g), n, terminal, (slice_, grp)))
+                    if met is not None and slice_ is not None:
+                        out.append((slice_, grp, met[2], None, None, None, None, None, None))
+                    if len(out) >= 10_000:
+                        yield batch_of()
+            if trie is not None:
+                close(trie)
+            if out:
+                yield batch_of()
+
+        return run
+
+    names = [x.split()[0] for x in PASSED.split(", ")]
+    types = [pa.binary() if x.endswith("binary") else pa.int64() for x in PASSED.split(", ")]
     own = F.element_at("members", (F.col("owner_pos") + 1).cast("int"))
-    dealt = groups.select("slice", "grp", "text", own.alias("owner"), F.size("members").cast("long").alias("n"), "length", "hash").repartition("length", "hash")
-    return dealt.select("slice", "grp", "text", "owner", "n").mapInArrow(run, OWNED)
-
-
-def dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
+    key = F.encode(F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "UTF-8")
+    dealt = groups.select("slice", "grp", key.alias("key"), own.alias("owner"), F.size("members").cast("long").alias("n"), F.col("slice").alias("s"), F.col("grp").alias("g"), F.lit(None).cast("long").alias("terminal"), F.lit(None).cast("long").alias("subtree"), "length", "hash").repartition("length", "hash").drop("length", "hash")
+    done = None
+    for number in itertools.count():
+        passed = written(dealt.mapInArrow(trie_pass(number), PASSED), "owners")
+        done = passed if done is None else done.unionByName(passed)
+        spilled = passed.where("subtree is not null")
+        if spilled.isEmpty():
+            break
+        # terminals of a subtree come before the groups that look for one
+        dealt = spilled.repartition("subtree").sortWithinPartitions("subtree", F.col("terminal").isNull()).select("slice", "grp", F.col("rest").alias("key"), F.col("keep_id").alias("owner"), F.col("group_size").alias("n"), F.col("owner_slice").alias("s"), F.col("owner_grp").alias("g"), "terminal", "subtree")
+    filed = done.where("subtree is null and slice is not null").select("slice", "grp", "terminal")
+    ends = done.where("subtree is null and slice is null").select("terminal", "keep_id", "owner_slice", "owner_grp", "group_size")
+    return filed.join(ends, "terminal").drop("terminal")
+
+
+def dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", budget: int = TRIE_BYTES) -> DataFrame:
     """One row per document: (doc_id, keep_id, group_size, kept, text_sha256)."""
     groups = written(local_groups(documents, id_col, text_col, keep), "exact-groups")
-    back = groups.select("slice", "grp", "members", "owner_pos", "sha256").join(owners(groups, keep), ["slice", "grp"])
+    back = groups.select("slice", "grp", "members", "owner_pos", "sha256").join(owners(groups, keep, budget), ["slice", "grp"])
     rows = back.select("*", F.posexplode("members").alias("pos", "doc_id"))
     mine = (F.col("slice") == F.col("owner_slice")) & (F.col("grp") == F.col("owner_grp")) & (F.col("pos") == F.col("owner_pos"))
     return rows.select("doc_id", "keep_id", "group_size", mine.alias("kept"), F.col("sha256").alias("text_sha256"))
