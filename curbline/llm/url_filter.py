@@ -63,23 +63,29 @@ def _block(n_blocks: int) -> Column:
     return F.pmod(F.shiftright(F.col("_key"), 32), F.lit(n_blocks)).alias("block")
 
 
-def listed_flag(urls: DataFrame, key: str, listed: DataFrame, listed_key: str, row_id: str) -> DataFrame:
-    """``urls`` with a boolean ``_listed``: whether ``urls[key]`` is in ``listed[listed_key]``.
+def listed_flag(urls: DataFrame, key: str, listed: DataFrame, listed_key: str, row_id: str, flag: str = "_listed") -> DataFrame:
+    """``urls`` with a boolean ``flag``: true where ``urls[key]`` is in ``listed[listed_key]``, else null.
 
-    Each row meets its one block of the Bloom filter; only rows that may hit keep their url as key of the exact hash
-    join, which removes false positives. The others get a key of their own, so that they spread and match nothing.
-    Which side of either join is broadcast is left to Spark, by measured size; a hot url is split as a skewed
-    partition. Null keys are in no list."""
+    Each row with a key meets its one block of the Bloom filter; only rows that may hit keep their url as key of the exact
+    hash join, which removes false positives. The others get a key of their own in either join, so that they spread and match
+    nothing. Which side of either join is broadcast is left to Spark, by measured size; a hot url is split as a skewed
+    partition. Null keys are in no list; columns of any name but ``flag`` can be carried."""
     keys = listed.select(F.col(listed_key).alias("_on")).where("_on is not null").distinct()
     n_blocks = max(1, -(-keys.count() * BITS_PER_KEY // (32 * BLOCK_WORDS)))
     bloom = blocked_bloom(keys, "_on", n_blocks)
-    probe = urls.withColumn("_key", F.xxhash64(key)).withColumn("block", _block(n_blocks))
-    may = F.col(key).isNotNull() & F.col("w0").isNotNull()
+    names = [f"c{k}" for k in range(len(urls.columns))]
+    # what is carried stands apart from the columns of the filter
+    row = F.coalesce(F.col(f"`{row_id}`").cast("string"), F.lit(""))
+    probe = urls.select(F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(urls.columns, names)]).alias("_row"), F.col(f"`{key}`").alias("_url"), row.alias("_id"))
+    probe = probe.withColumn("_key", F.xxhash64("_url"))
+    probe = probe.withColumn("block", F.when(F.col("_url").isNull(), -1 - F.pmod(F.xxhash64("_id"), F.lit(1 << 20))).otherwise(_block(n_blocks)))
+    may = F.col("_url").isNotNull() & F.col("w0").isNotNull()
     for k, bit in enumerate(_bits(F.col("_key"))):
         may = may & (F.col(f"w{k}").bitwiseAND(bit) != 0)
-    own = F.concat(F.lit("\0"), F.coalesce(F.col(row_id).cast("string"), F.lit("")))
-    possible = probe.join(bloom, "block", "left").withColumn("_on", F.when(may, F.col(key)).otherwise(own))
-    return possible.select(*urls.columns, "_on").join(keys.withColumn("_listed", F.lit(True)), "_on", "left").drop("_on")
+    own = F.concat(F.lit("\0"), F.col("_id"))
+    possible = probe.join(bloom, "block", "left").select("_row", F.when(may, F.col("_url")).otherwise(own).alias("_on"))
+    found = possible.join(keys.withColumn("_hit", F.lit(True)), "_on", "left")
+    return found.select(*[F.col(f"_row.{n}").alias(c) for c, n in zip(urls.columns, names)], F.col("_hit").alias(flag))
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, listed_key: str, rules=RULES, url_col: str = "url", id_col: str = "page_id") -> DataFrame:
