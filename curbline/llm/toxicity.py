@@ -5,8 +5,11 @@ are words and their first four to six letters; x is log2(1 + distinct words of t
 on a bounded sample of labelled rows (``SAMPLE`` of each label, chosen by hash of the id): labels tell toxic from clean,
 and toxic rows are graded mild or severe by the share of their words that mark toxic rows. All texts are scored whole.
 
-Odd input: null and empty texts have no features and severity of the bare thresholds; null labels and labels without a
-document are left out; repeated rows get equal results; without labelled rows of both kinds every severity is 0.
+Odd input: null and empty texts have no features and severity of the bare thresholds; texts of any length are read whole (a
+worker holds the distinct words of one); null labels and labels without a document are left out, and of several labels of
+one id the larger counts; rows of equal texts get equal results, and copies of a text count once for the choice of features;
+labelled rows beyond the sample are left out by hash of their id, ties by the id; columns of any name don't matter; without
+labelled rows of both kinds every severity is 0; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -22,10 +25,10 @@ from pyspark.sql import functions as F
 
 from curbline.llm.common import map_texts
 
-#: Labelled rows of each kind that a fit reads at most; features a fit keeps at most; distinct toxic texts of a feature at least, and share of them.
 #: Log odds at which a feature counts fully in the penalty; weaker ones are trusted by the square of the ratio.
 ODDS = 4.0
-SAMPLE, FEATURES, LEAST_DOCS, LEAST_SHARE = 3000, 20_000, 6, 0.005
+#: Labelled rows of each kind that a fit reads at most; distinct toxic texts of a feature at least, and share of them.
+SAMPLE, LEAST_DOCS, LEAST_SHARE = 3000, 6, 0.005
 #: Grades: 0 clean, 1 mild, 2 severe. The bar of rejection is the expected grade with the fewest errors on the sample, a clean row rejected counting ``CARE`` times.
 GRADES, CARE = 3, 4
 _WORD = re.compile(r"\w+")
@@ -112,7 +115,7 @@ def sample_of(labels: DataFrame, id_col: str, label: str, size: int) -> DataFram
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Ordinal:
     """Fits the model on at most ``sample`` rows of each label; what reaches the driver is bounded by that and by features of a text."""
     chosen = F.broadcast(sample_of(labels, id_col, label, sample))
-    rows = documents.join(chosen, F.col(id_col) == F.col("_id")).select(F.col(text_col).alias("t"), "_y")
+    rows = documents.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("t")).join(chosen, "_id").select("t", "_y")
 
     def run(known, texts, ys):
         found = [sorted(text_features(t, known).items()) for t in texts]
@@ -128,7 +131,6 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     odds = np.log((in_bad + 0.5) / (len(bad) + 1)) - np.log((in_good + 0.5) / (len(good) + 1))
     z = odds / np.sqrt(1 / (in_bad + 0.5) + 1 / (in_good + 0.5))
     use = np.flatnonzero((in_bad >= max(LEAST_DOCS, LEAST_SHARE * len(bad))) & (z > 2.5))
-    use = np.sort(use[np.argsort(-z[use], kind="stable")[:FEATURES]])
     column = np.full(len(ids), -1)
     column[use] = np.arange(len(use))
     trust = (odds[use] / ODDS) ** 2
@@ -162,7 +164,7 @@ def score(documents: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col
             out["toxic"].append(s >= model.reject)
         return out
 
-    return map_texts(documents, [F.col(text_col), F.col(id_col)], run, "doc_id long, severity double, grade int, toxic boolean", dict)
+    return map_texts(documents, [F.col(f"`{text_col}`"), F.col(f"`{id_col}`")], run, "doc_id long, severity double, grade int, toxic boolean", dict)
 
 
 def keep_clean(documents: DataFrame, model: Ordinal, text_col: str = "text") -> DataFrame:
