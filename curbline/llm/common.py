@@ -13,14 +13,15 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows that one Arrow batch carries to a Python worker, so that long texts don't meet in one batch by the thousands.
-BATCH_ROWS = 512
+#: Bytes that one Arrow batch carries to a Python worker (one longer row is a batch of its own).
+BATCH_BYTES = 2 << 20
 #: Text bytes that an operator handles (and emits results for) at a time.
 SLICE_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Bounds the bytes of Arrow batches of the session, so that long texts don't meet in one batch by the thousands; other work only gets smaller batches by it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,6 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 #: Folders of the tables that ``written`` made, by the frame that reads them.
 _WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_TABLES: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -48,9 +50,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """Like ``written``, with rows dealt to files by hash of ``column``: joins on it need no shuffle of this table if Spark has no more shuffle partitions than ``buckets``."""
+    spark = df.sparkSession
+    number = uuid.uuid4().hex
+    at, table = f"{shared_dir(spark)}/{name}-{number}", f"{name}_{number}"
+    df.write.bucketBy(buckets, column).option("path", at).saveAsTable(table)
+    release(spark)
+    out = spark.table(table)
+    _WRITTEN[out] = at
+    _TABLES[out] = table
+    return out
+
+
 def dropped(*tables: DataFrame) -> None:
-    """Deletes tables that ``written`` returned; nothing may read them any more."""
+    """Deletes tables that ``written`` or ``bucketed`` returned; nothing may read them any more."""
     for table in tables:
+        if name := _TABLES.pop(table, None):
+            table.sparkSession.sql(f"DROP TABLE {name}")
         at = table.sparkSession._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop(table))
         at.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
