@@ -8,11 +8,14 @@ in the first ``n - ceil(PERCENT * n / 100) + 1`` of each (its prefix), whatever
 2. Each node is compared with one node of its n-grams' groups, the one that stands for most of them: a group's head is the
    node with the fewest n-grams before the common one, so copies with few edits are the heads of their kind. Links make
    components, and a large group of copies is settled by as many comparisons as it has members.
-3. Only n-grams whose nodes lie in several components are left. There a prefix tree holds the rest of each node's prefix from
-   the common n-gram on, and every node of the group traverses it. What a pair shares is counted once for all sets
-   below a tree node; a subtree is left when the overlap so far and the n-grams that remain in either set can't make a
-   link with any set in it, or when it lies in the traversing node's own component. A pair that is linked passes at the
-   first n-gram that it shares. Pairs that pass are compared in full, by trees over whole sets.
+3. Only n-grams whose nodes lie in several components are left. Of these, nodes drop out that can be linked with no other of
+   the group, by sizes, by how many n-grams either set can have in common from this one on (those of a prefix that no other
+   node filed are in common with none), and by a map of the parities of their n-grams (sets differ by as many
+   n-grams as their maps by bits, at least). For the others a prefix tree holds the rest of
+   each node's prefix from the common n-gram on, and every node of the group traverses it. What a pair shares is counted
+   once for all sets below a tree node; a subtree is left when the overlap so far and the n-grams that remain in either set
+   can't make a link with any set in it, or when it lies in the traversing node's own component. A pair that is linked
+   passes at the first n-gram that it shares. Pairs that pass are compared in full, by trees over whole sets.
 
 Both trees are one: sequences are sorted, common beginnings become compressed edges, and a whole block of traversals moves
 down level by level on arrays. A group of more than ``GROUP`` nodes is split by member; each part is traversed by all.
@@ -42,8 +45,8 @@ from curbline.llm.common import dropped, slices, small_batches, written
 WORDS, PERCENT, BLOCK = 4, 85, 256
 #: Counters of the sketch (fixed: a byte each reaches every worker), and ranges of them that are summed apart.
 COUNTERS, RANGES = 1 << 22, 256
-#: Nodes of an n-gram's group that one tree holds.
-GROUP = 4096
+#: Nodes of an n-gram's group that one tree holds, and bits of a set's map of parities.
+GROUP, PARITIES = 4096, 512
 #: Bits of the map of texts whose sets are asked for (fixed; false hits are removed by a join).
 ASKED_BITS = 1 << 24
 #: Sequences and n-grams that a worker puts into one tree; pairs that move down at once; n-grams of an edge per step.
@@ -261,7 +264,7 @@ class Forest:
 
 
 def _tree_pairs(key: list, grams: list[np.ndarray], rest, size, label, node, member, probe, percent: int, once: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes (a, b) of the pairs that the forest of ``member`` rows finds for ``probe`` rows."""
+    """Rows (a, b) of the pairs that the forest of ``member`` rows finds for ``probe`` rows."""
     stop = np.cumsum([len(g) for g in grams])
     start = np.append(0, stop[:-1])
     _, flat = np.unique(np.concatenate([np.zeros(0, np.uint64), *grams]), return_inverse=True)
@@ -271,51 +274,101 @@ def _tree_pairs(key: list, grams: list[np.ndarray], rest, size, label, node, mem
         roots.setdefault(int(forest.key[e]), []).append(e)
     roots = {k: np.array(v, np.int64) for k, v in roots.items()}
     none = np.zeros(0, np.int64)
-    a, b = forest.linked(np.flatnonzero(probe), lambda r: roots.get(key[r], none), percent, once)
-    return node[a], node[b]
+    return forest.linked(np.flatnonzero(probe), lambda r: roots.get(key[r], none), percent, once)
 
 
-def _grouped_trees(rows: DataFrame, percent: int, once: bool) -> DataFrame:
-    """Links (a, b) of ``rows`` (key, part, role, node, size, rest, label, grams): role 0 is in the tree and traverses it, 1 is in it only, 2 traverses it only.
+def _arrays(column: pa.Array) -> list[np.ndarray]:
+    flat, edges = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.append(0, np.cumsum(pa.compute.list_value_length(column).to_numpy(zero_copy_only=False))).tolist()
+    return [flat[a:b].copy() for a, b in zip(edges, edges[1:])]
+
+
+def _grouped(rows: DataFrame, f, schema: str) -> DataFrame:
+    """Runs ``f(keys, key number, grams, parities, role, node, size, rest, label)`` over ``rows`` of those names and ``part``: role 0 is a member of its group and asks about it, 1 is a member only, 2 asks only.
 
-    Rows are dealt by (key, part) and sorted, members first, so a worker streams them and holds one tree of a few groups."""
+    Rows are dealt by (key, part) and sorted, members first, so a worker streams them and holds a few groups, or the members of one."""
     small_batches(rows.sparkSession)
 
     def run(batches):
         held: list[tuple] = []
         size = 0
 
-        def links():
-            if not held:
-                return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, names=["a", "b"])
-            key, role, node, n, rest, label, grams = zip(*held)
+        def found():
+            key, role, node, n, rest, label, grams, maps = zip(*held)
             numbers: dict = {}
-            number = [numbers.setdefault(k, len(numbers)) for k in key]
-            role = np.array(role)
-            a, b = _tree_pairs(number, list(grams), *(np.array(x, np.int64) for x in (rest, n, label, node)), role < 2, (role == 0) | (role == 2), percent, once)
-            both = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+            number = np.array([numbers.setdefault(k, len(numbers)) for k in key], np.int64)
+            return f(list(numbers), number, grams, maps, *(np.array(x, np.int64) for x in (role, node, n, rest, label)))
 
         for batch in batches:
             keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            values = batch.column(7)
-            flat, edges = values.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.append(0, np.cumsum(pa.compute.list_value_length(values).to_numpy(zero_copy_only=False)))
-            columns = [batch.column(k).to_pylist() for k in range(2, 7)]
-            for k, (key, role, node, n, rest, label) in enumerate(zip(keys, *columns)):
-                if len(held) >= TREE_ROWS or size >= TREE_GRAMS:
-                    last = held[-1][0]
-                    if last != key or role == 2:
-                        yield links()
-                        # a group goes on: its members stay, to be traversed by the rest
-                        held = [(h[0], 1, *h[2:]) for h in held if h[0] == key and h[1] < 2]
-                        size = sum(len(h[6]) for h in held)
-                grams = flat[edges[k] : edges[k + 1]]
-                held.append((key, role, node, n, rest, label, grams.copy()))
-                size += len(grams)
-        yield links()
-
-    chosen = rows.select("key", "part", "role", "node", "size", "rest", "label", "grams")
-    return chosen.repartition("key", "part").sortWithinPartitions("key", "part", "role").mapInArrow(run, "a long, b long")
+            for row in zip(keys, *[batch.column(k).to_pylist() for k in range(2, 7)], _arrays(batch.column(7)), _arrays(batch.column(8))):
+                if (len(held) >= TREE_ROWS or size >= TREE_GRAMS) and (held[-1][0] != row[0] or row[1] == 2):
+                    yield found()
+                    # a group goes on: its members stay, to be asked about by the rest
+                    held = [(h[0], 1, *h[2:]) for h in held if h[0] == row[0] and h[1] < 2]
+                    size = sum(len(h[6]) for h in held)
+                held.append(row)
+                size += len(row[6])
+        if held:
+            yield found()
+
+    none = F.array().cast("array<long>")
+    more = [F.col(c) if c in rows.columns else none.alias(c) for c in ("grams", "parities")]
+    chosen = rows.select("key", "part", "role", "node", "size", "rest", "label", *more)
+    return chosen.repartition("key", "part").sortWithinPartitions("key", "part", "role").mapInArrow(run, schema)
+
+
+def _grouped_trees(rows: DataFrame, percent: int, once: bool) -> DataFrame:
+    """Links (a, b) that the trees of ``rows`` with ``grams`` find, and that ``parities``, where given, allow."""
+
+    def links(_, number, grams, maps, role, node, size, rest, label):
+        a, b = _tree_pairs(number.tolist(), list(grams), rest, size, label, node, role < 2, role != 1, percent, once)
+        if len(maps[0]) and len(a):
+            maps = np.stack(maps)
+            ok = _alike(maps, size, a, b, percent)
+            a, b = a[ok], b[ok]
+        both = np.unique(np.stack([node[a], node[b]], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+    return _grouped(rows, links, "a long, b long")
+
+
+def _alike(maps: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether maps of parities allow a link: what sets share is at most half of what is left of their sizes without the bits that differ."""
+    differ = np.zeros(len(a), np.int64)
+    for k in range(maps.shape[1]):
+        differ += np.bitwise_count(maps[a, k] ^ maps[b, k])
+    return _may_link((size[a] + size[b] - differ) // 2, size[a], size[b], percent)
+
+
+def possible_pairs(number, maps: np.ndarray, role, node, size, rest, label, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (asking row, member row) of one group that sizes, rests and maps of parities allow to be linked; by blocks, each pair once."""
+    member = np.flatnonzero(role < 2)
+    member = member[np.argsort(number[member], kind="stable")]
+    asks = np.flatnonzero(role != 1)
+    lo, hi = (np.searchsorted(number[member], number[asks], side) for side in ("left", "right"))
+    blocks = np.searchsorted(np.cumsum(hi - lo), np.arange(1, int((hi - lo).sum()) // FRONTIER + 1) * FRONTIER) + 1
+    for part in np.split(np.arange(len(asks)), np.unique(blocks)):
+        n = (hi - lo)[part]
+        a = np.repeat(asks[part], n)
+        b = member[np.repeat(lo[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        ok = (node[b] < node[a]) & (label[a] != label[b]) & _may_link(np.minimum(rest[a], rest[b]), size[a], size[b], percent)
+        a, b = a[ok], b[ok]
+        ok = _alike(maps, size, a, b, percent)
+        yield a[ok], b[ok]
+
+
+def _possible(rows: DataFrame, percent: int) -> DataFrame:
+    """(key, node) of ``rows`` that may be linked with another node of their group, by ``rest`` and, where given, ``parities``."""
+
+    def entries(keys, number, _, maps, role, node, size, rest, label):
+        maps = np.stack(maps)
+        some = np.zeros(len(node), bool)
+        for a, b in possible_pairs(number, maps, role, node, size, rest, label, percent):
+            some[a] = some[b] = True
+        key = np.array([k for k, _ in keys], np.int64)[number[some]]
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[some])], names=["key", "node"])
+
+    return _grouped(rows, entries, "key long, node long")
 
 
 # ---- components
@@ -395,23 +448,30 @@ def _codes(rows: DataFrame) -> np.ndarray:
 
 
 def _prefixes(texts: DataFrame, words: int, percent: int, codes, twice: frozenset) -> DataFrame:
-    """(node, size, prefix) of the distinct sets of each task."""
+    """(node, size, prefix, parities) of the distinct sets of each task."""
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
             for a, b in slices(batch.column(0)):
-                nodes, sizes, parts = [], [], []
+                nodes, sizes, parts, maps = [], [], [], []
                 for s in shingle_sets([(t or "").encode() for t in batch.column(0).slice(a, b - a).to_pylist()], words):
                     if len(s) and (node := _digest(s, twice)[0]) not in seen:
                         seen.add(node)
                         nodes.append(node)
                         sizes.append(len(s))
                         parts.append(_arranged(s, codes.value)[: prefix_length(len(s), percent)])
+                        maps.append(parities(s))
                 if nodes:
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(parts)], names=["node", "size", "prefix"])
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(parts), _lists(maps)], names=["node", "size", "prefix", "parities"])
+
+    return written(texts.mapInArrow(run, "node long, size long, prefix array<long>, parities array<long>"), "prefixes")
+
 
-    return written(texts.mapInArrow(run, "node long, size long, prefix array<long>"), "prefixes")
+def parities(grams: np.ndarray) -> np.ndarray:
+    """One bit for each class of n-grams: whether the set has an odd number of them."""
+    odd = np.bincount((grams >> np.uint64(24) & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.uint64)
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -467,31 +527,40 @@ class Join:
         bound = F.least("pos", "head_pos") + 1 + F.least(F.col("size") - F.col("pos"), F.col("head_size") - F.col("head_pos")) - 1
         stars = shared.where("node <> head").where(_may_link(bound, F.col("size"), F.col("head_size"), p)).groupBy("node", "head").agg(F.count("*").alias("times"), F.first("size").alias("size"), F.first("head_size").alias("head_size"))
         best = stars.groupBy("node").agg(F.max(F.struct("times", F.col("head"), "size", "head_size")).alias("best")).select("node", "best.*")
-        # a guess of which pairs are worth whole sets: what they share of the prefixes, twice what is known of it
+        # a guess of which pairs are worth whole sets: what they share of the prefixes, twice what is known of it; and their parities
         rest = F.least(*[F.ceil(F.lit(p) * F.col(c) / 100) - 1 for c in ("size", "head_size")])
-        tried = best.where(_may_link(2 * F.col("times") + rest, F.col("size"), F.col("head_size"), p)).select(F.col("head").alias("center"), F.col("node").alias("member"))
-        tried = written(tried, "stars")
+        guess = best.where(_may_link(2 * F.col("times") + rest, F.col("size"), F.col("head_size"), p))
+        maps = prefixes.select("node", "parities").dropDuplicates(["node"])
+        guess = guess.join(maps, "node").join(maps.select(F.col("node").alias("head"), F.col("parities").alias("head_parities")), "head")
+        differ = F.aggregate(F.zip_with("parities", "head_parities", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+        tried = guess.where(_may_link(F.floor((F.col("size") + F.col("head_size") - differ) / 2), F.col("size"), F.col("head_size"), p))
+        tried = written(tried.select(F.col("head").alias("center"), F.col("node").alias("member")), "stars")
         links = self.verified(tried)
         labels = components(links)
 
         placed = shared.select("gram", "node", "size", "pos").join(labels.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-        left = placed.withColumn("lo", F.min("label").over(group)).withColumn("hi", F.max("label").over(group)).withColumn("many", F.count("*").over(group)).where("lo <> hi").drop("lo", "hi")
-        left = written(left, "open")
-        own = prefixes.join(left.select("node").distinct(), "node", "left_semi").select("node", "prefix").dropDuplicates(["node"])
-        parts = F.ceil(F.col("many") / GROUP)
-        tails = left.join(own, "node").select(
-            F.col("gram").alias("key"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), F.pmod(F.xxhash64("node"), parts).alias("home"), "node", F.col("size").cast("long").alias("size"),
-            (F.col("size") - F.col("pos")).cast("long").alias("rest"), "label", F.slice("prefix", F.col("pos") + 1, F.greatest(F.lit(1), F.size("prefix") - F.col("pos"))).alias("grams"),
-        )
-        tails = tails.withColumn("role", F.when(F.col("part") == F.col("home"), 0).otherwise(2))
-        possible = written(_grouped_trees(tails, p, True).distinct(), "possible")
+        # what a set can have in common from an n-gram on: what lies behind its prefix, and what is shared within
+        later = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("pos")))
+        placed = placed.withColumn("bound", F.ceil(F.lit(p) * F.col("size") / 100) - 1 + later)
+        left = placed.withColumn("lo", F.min("label").over(group)).withColumn("hi", F.max("label").over(group)).withColumn("many", F.count("*").over(group)).where("lo <> hi")
+        left = written(left.select(F.col("gram").alias("key"), "node", F.col("size").cast("long").alias("size"), F.col("bound").cast("long").alias("rest"), "pos", "label", "many"), "open")
+        dropped(shared)
+        fits = written(_possible(_parted(left), p).distinct(), "fits")
+        some = written(left.join(fits, ["key", "node"]), "open")
+        own = written(prefixes.join(some.select("node").distinct(), "node", "left_semi").select("node", "prefix", "parities").dropDuplicates(["node"]), "own")
+        dropped(left, fits, prefixes)
+        near = written(_possible(_parted(some.join(own.select("node", "parities"), "node")), p).distinct(), "near")
+        rest = some.join(near, ["key", "node"]).join(own, "node").withColumn("many", F.count("*").over(Window.partitionBy("key")))
+        tails = rest.withColumn("grams", F.slice("prefix", F.col("pos") + 1, F.size("prefix") - F.col("pos"))).withColumn("rest", (F.col("size") - F.col("pos")).cast("long"))
+        possible = written(_grouped_trees(_parted(tails), p, True).distinct(), "possible")
+        dropped(some, own, near)
         more = self.verified(possible.select(F.col("a").alias("center"), F.col("b").alias("member")))
         if more.isEmpty():
             out = labels
         else:
             out = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
             dropped(labels)
-        dropped(prefixes, shared, tried, left, possible, links, more)
+        dropped(tried, possible, links, more)
         return out
 
     def verified(self, pairs: DataFrame) -> DataFrame:
@@ -512,7 +581,14 @@ class Join:
         return written(_grouped_trees(rows, self.percent, False).distinct(), "verified")
 
 
-def _grouped(documents: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+def _parted(rows: DataFrame) -> DataFrame:
+    """Rows of groups (key) of ``many`` nodes; a group of more than ``GROUP`` is split by member: each node is a member of one part, and asks about all."""
+    parts = F.ceil(F.col("many") / GROUP)
+    out = rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    return out.withColumn("role", F.when(F.col("part") == F.pmod(F.xxhash64("node"), parts), 0).otherwise(2))
+
+
+def _members(documents: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     """(doc_id, size, text_key, label), written; the label of an empty set is null."""
     join = Join(documents, id_col, text_col, words, percent)
     labels = join.labels()
@@ -523,14 +599,14 @@ def _grouped(documents: DataFrame, id_col: str, text_col: str, words: int, perce
 
 def groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: (doc_id, n_shingles, component_id)."""
-    rows = _grouped(documents, id_col, text_col, words, percent)
+    rows = _members(documents, id_col, text_col, words, percent)
     ids = rows.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     return rows.join(ids, "label", "left").select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
 def kept_rows(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``documents`` that stay, with all their columns: of each group the row with the least id (nulls lose; ties by hash of the text, then any one), and all rows with an empty set."""
-    rows = _grouped(documents, id_col, text_col, words, percent)
+    rows = _members(documents, id_col, text_col, words, percent)
     first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_key")).alias("r")).select("r.doc_id", "r.text_key")
     stay = first.unionByName(rows.where("label is null").select("doc_id", "text_key")).distinct().select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_k"))
     id_, key = F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
