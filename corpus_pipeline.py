@@ -7,15 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.llm import exact_dedup, ngram_join, packing, suffix_dedup, toxicity
-from curbline.llm.common import written
-
-
-def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a number for each row, whatever its ids; written, as numbers differ between two evaluations if files are split otherwise."""
-    row = "_row"
-    while row in docs.columns:
-        row += "_"
-    return written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+from curbline.llm.common import dropped, written
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,18 +22,12 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five words, four fifths."""
-    rows, row = _numbered(docs)
-    groups = ngram_join.groups(rows, row, words=5, percent=80)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias(row))
-    return rows.join(first, row, "left_semi").select(docs.columns)
+    return ngram_join.kept_rows(docs, words=5, percent=80)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that occur more than once; ``n_chars`` follows the text."""
-    rows, row = _numbered(docs)
-    cut = suffix_dedup.removals(rows, row, texts=True).select(F.col("doc_id").alias(row), F.col("kept").alias(f"{row}text"))
-    new = {"text": F.col(f"{row}text"), "n_chars": F.length(f"{row}text").cast("long")}
-    return rows.drop("text", "n_chars").join(cut, row).select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return suffix_dedup.kept_texts(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +41,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = last = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        last, docs = docs, written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if name != STAGES[0][0]:
+            dropped(last)
     return STAGES[-1][1](spark, docs, sf_dir)
