@@ -1,4 +1,4 @@
-"""Planar and spherical measures as column expressions; coordinates in degrees, lines as arrays of structs (x, y)."""
+"""Spherical measures as column expressions; coordinates in degrees. Planar geometry is in ``spatial``."""
 
 import math
 from collections.abc import Sequence
@@ -31,65 +31,7 @@ def in_polygon(x: Column, y: Column, ring: Sequence[tuple[float, float]]) -> Col
     return crossings % 2 == 1
 
 
-def line_length(line: Column) -> Column:
-    """Length in metres of an array of (x, y)."""
-    steps = F.sequence(F.lit(1), F.greatest(F.size(line) - 1, F.lit(1)))
-    step = lambda k: haversine(F.get(line, k - 1)["x"], F.get(line, k - 1)["y"], F.get(line, k)["x"], F.get(line, k)["y"])
-    return F.when(F.size(line) < 2, 0.0).otherwise(F.aggregate(steps, F.lit(0.0), lambda s, k: s + step(k)))
-
-
-def reverse_line(line: Column) -> Column:
-    return F.reverse(line)
-
-
 def translate_metres(x: Column, y: Column, east: Column, north: Column) -> tuple[Column, Column]:
     """Point shifted by metres on the local plane."""
     per_degree = math.pi / 180 * EARTH
     return x + east / (per_degree * F.cos(F.radians(y))), y + north / per_degree
-
-
-def decode_polyline(text: str, precision: int = 5) -> list[tuple[float, float]]:
-    """Points (lon, lat) of an encoded polyline: signed differences in five-bit groups, low ones first."""
-    out, at, value = [], 0, [0, 0]
-    while at < len(text):
-        for k in (0, 1):
-            shift = number = 0
-            while True:
-                b = ord(text[at]) - 63
-                at += 1
-                number |= (b & 31) << shift
-                shift += 5
-                if b < 32:
-                    break
-            value[k] += ~(number >> 1) if number & 1 else number >> 1
-        out.append((value[1] / 10**precision, value[0] / 10**precision))
-    return out
-
-
-def locate(line: Sequence[tuple[float, float]], x: float, y: float) -> float:
-    """Fraction of a line's length at its point nearest to (x, y), on the plane."""
-    total, best = 0.0, (math.inf, 0.0)
-    for (x1, y1), (x2, y2) in zip(line, line[1:]):
-        dx, dy = x2 - x1, y2 - y1
-        n = math.hypot(dx, dy)
-        t = min(1.0, max(0.0, ((x - x1) * dx + (y - y1) * dy) / (n * n))) if n else 0.0
-        best = min(best, (math.hypot(x1 + t * dx - x, y1 + t * dy - y), total + t * n))
-        total += n
-    return best[1] / total if total else 0.0
-
-
-def substring(line: Sequence[tuple[float, float]], a: float, b: float) -> list[tuple[float, float]]:
-    """Part of a line between two fractions of its length, on the plane."""
-    lengths = [math.dist(p, q) for p, q in zip(line, line[1:])]
-    lo, hi, run, out = a * sum(lengths), b * sum(lengths), 0.0, []
-    for (p, q), n in zip(zip(line, line[1:]), lengths):
-        for at in (lo, hi):
-            if run <= at <= run + n and n and (not out or at == hi):
-                t = (at - run) / n
-                point = (p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1]))
-                if not out or out[-1] != point:
-                    out.append(point)
-        run += n
-        if lo < run < hi and (not out or out[-1] != q):
-            out.append(q)
-    return out
