@@ -1,10 +1,16 @@
 """Operators on streets and nodes: legs, nearest features, time-dependent costs, speed sections, bylaw texts."""
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curbline.functions import spatial as sp
+from curbline.functions.streets import abbreviate, title_case
+from curbline.operators.textmatch import near_pairs
+from curbline.session import checkpointed
+
 #: Azimuth of the grid's north (17 degrees west), and of the four directions from it: fixed values.
 GRID_NORTH = 343.0
 CARDINAL = [("N", 0.0), ("E", 90.0), ("S", 180.0), ("W", 270.0)]
@@ -72,33 +78,138 @@ def sections(bylaws: DataFrame, key: str, lo: str, hi: str, order: str, value: s
     return turn.groupBy(key, "_run", value).agg(F.min("a").alias(lo), F.max("b").alias(hi)).select(key, lo, hi, value)
 
 
-def bylaw_parts(rows: DataFrame, text: str) -> DataFrame:
-    """Splits "<street> between/from <a> and/to <b>", with "<n> metres <direction> of" offsets at either end."""
-    pattern = r"(?i)^\s*(?:between|from)\s+(.+?)\s+(?:and|to)\s+(.+?)\s*$"
-    offset = r"(?i)^(?:a point )?([0-9.]+) (?:metres|m) (north|south|east|west)(?:erly)? of (.+)$"
-    part = lambda k: F.nullif(F.regexp_extract(text, pattern, k), F.lit(""))
+#: Directions of an offset: fixed values.
+OFFSET = "north|south|east|west|northeast|northwest|southwest|southeast"
+
+
+def bylaw_parts(rows: DataFrame, highway: str, start: str, end: str) -> DataFrame:
+    """What a bylaw's description says: (highway2, btwn1, metres_btwn1, direction_btwn1, btwn2, metres_btwn2, direction_btwn2) beside the row's columns.
+
+    ``end`` is null where ``start`` names both ends ("between A and B", "A to B", or the entire length). An end is a street, or so
+    many metres in a direction of one; remarks in brackets, "a point" and "the north end of" don't matter, and of several
+    streets that meet at one place the first counts. A second end that is only a point lies on the first one's street."""
+    text = F.regexp_replace(title_case(F.col(start)), r"(?i)^\s*between ", "")
+    text = F.regexp_replace(text, r"\([^()]*\)", "")
+    by_to = F.split(text, " to ", 2)
+    by_and = F.split(F.get(by_to, F.lit(0)), " and ", 2)
+    second = F.coalesce(F.get(by_and, F.lit(1)), F.get(by_to, F.lit(1)))
+    ends = [F.when(F.col(end).isNull(), F.get(by_and, F.lit(0))).otherwise(text), F.when(F.col(end).isNull(), second).otherwise(F.regexp_replace(title_case(F.col(end)), r"\([^()]*\)", ""))]
+    offset = rf"(?i)([0-9][0-9.,]*) m ({OFFSET})(?: of (.*)| thereof)?$"
+    out = []
+    for n, e in enumerate(ends, 1):
+        e = F.trim(F.regexp_replace(abbreviate(e), rf"(?i)\ba point |\bthe (?:{OFFSET}) (?:end )?of |^between ", ""))
+        far = e.rlike(offset)
+        street = F.when(far, F.nullif(F.regexp_extract(e, offset, 3), F.lit(""))).otherwise(F.nullif(e, F.lit("")))
+        street = F.trim(F.get(F.split(street, "/", 2), F.lit(0)))
+        metres = F.when(far, F.replace(F.regexp_extract(e, offset, 1), F.lit(","), F.lit("")).try_cast("double"))
+        out += [F.when(F.lower(street).isin("thereof", "point", ""), F.lit(None)).otherwise(street).alias(f"btwn{n}"), metres.alias(f"metres_btwn{n}"), F.when(far, F.lower(F.regexp_extract(e, offset, 2))).alias(f"direction_btwn{n}")]
+    parts = rows.select("*", F.trim(abbreviate(title_case(F.col(highway)))).alias("highway2"), *out)
+    whole = F.lower("btwn1").contains("entire length")
+    return parts.withColumn("btwn2", F.when(~whole & F.col("btwn2").isNull() & F.col("metres_btwn2").isNotNull(), F.col("btwn1")).otherwise(F.col("btwn2")))
+
+
+def text_to_segments(bylaws: DataFrame, key: str, segments: DataFrame, most: int = 3) -> DataFrame:
+    """Street segments that bylaws name, as sections of each: (key, segment, street, lo, hi, confidence, lev_sum).
+
+    ``bylaws`` come from :func:`bylaw_parts`; ``segments`` (segment, street, line: points in metres of the city's grid). Streets are matched
+    by edit distance (``most`` at the most, the nearest first), all names of all bylaws in one join. An end is the place of the
+    street's line that is nearest to where the cross street meets it, moved by its offset; the street's segments are cut where they
+    leave the stretch between both ends. A bylaw over the entire length has all segments whole; one whose streets aren't found, or
+    don't meet, has none."""
+    streets = segments.select("street").distinct()
+    names = bylaws.select(F.explode(F.array("highway2", "btwn1", "btwn2")).alias("name")).where("name is not null").distinct()
+    near = near_pairs(names, streets, "name", "street", most).groupBy("name").agg(F.min(F.struct("distance", "street")).alias("n"))
+    near = checkpointed(near.select("name", F.col("n.street").alias("street"), F.col("n.distance").alias("distance")))
+    of = lambda c, to: near.select(F.col("name").alias(f"_{c}"), F.col("street").alias(to), F.col("distance").alias(f"{to}_lev"))
+    b = bylaws
+    for c, to in (("highway2", "street"), ("btwn1", "cross1"), ("btwn2", "cross2")):
+        b = b.join(of(c, to), F.col(c) == F.col(f"_{c}"), "left").drop(f"_{c}")
+    # where streets meet: ends of segments that both have
+    nodes = segments.select("street", F.explode(F.array(sp.point_at(F.col("line"), 1), sp.point_at(F.col("line"), -1))).alias("at")).distinct()
+    nodes = checkpointed(nodes.groupBy("at").agg(F.array_sort(F.collect_set("street")).alias("s")).where("size(s) > 1").withColumn("street", F.explode("s")))
+    meets = nodes.withColumn("cross", F.explode("s")).where("street <> cross").groupBy("street", "cross").agg(F.min(F.struct("at.x", "at.y")).alias("at"))
+    for n in (1, 2):
+        m = meets.select(F.col("street").alias("_s"), F.col("cross").alias("_c"), F.col("at").alias(f"at{n}"))
+        b = b.join(m, (F.col("street") == F.col("_s")) & (F.col(f"cross{n}") == F.col("_c")), "left").drop("_s", "_c")
+        turn = F.coalesce(F.col(f"metres_btwn{n}"), F.lit(0.0))
+        east = F.when(F.col(f"direction_btwn{n}").contains("east"), 1).when(F.col(f"direction_btwn{n}").contains("west"), -1).otherwise(0)
+        north = F.when(F.col(f"direction_btwn{n}").startswith("north"), 1).when(F.col(f"direction_btwn{n}").startswith("south"), -1).otherwise(0)
+        size = F.sqrt(F.greatest(F.lit(1.0), F.abs(east) + F.abs(north).cast("double")))
+        # the grid's north is turned against the map's
+        shifted = sp.rotate(sp.translate(F.col(f"at{n}"), turn * east / size, turn * north / size), F.lit(math.radians(360 - GRID_NORTH)), F.col(f"at{n}"))
+        b = b.withColumn(f"to{n}", shifted)
+    whole = F.lower("btwn1").contains("entire length")
+    b = b.where(whole | (F.col("at1").isNotNull() & F.col("at2").isNotNull())).withColumn("_whole", whole)
+    met = b.select(key, "street", "_whole", "at1", "to1", "at2", "to2", "metres_btwn1", "metres_btwn2", F.expr("cross1_lev + cross2_lev + 2 * street_lev").alias("lev_sum")).join(segments, "street")
+    # a segment's share between both ends, which lie where they are nearest to it
+    a, z = (F.when(F.col("_whole"), F.lit(float(k))).otherwise(sp.locate(F.col("line"), F.col(f"to{k + 1}"))) for k in (0, 1))
+    cut = met.withColumn("lo", F.least(a, z)).withColumn("hi", F.greatest(a, z)).where("hi - lo > 1e-9")
+    said = F.when(F.col("_whole"), F.lit("Maybe (Entire length of road)")).otherwise(confidence(F.col("lev_sum")))
+    return cut.select(key, "segment", "street", "lo", "hi", said.alias("confidence"), F.when(~F.col("_whole"), F.col("lev_sum")).alias("lev_sum"))
 
-    def end(c: Column, name: str) -> list[Column]:
-        has = c.rlike(offset)
-        return [F.when(has, F.regexp_extract(c, offset, 3)).otherwise(c).alias(name), F.when(has, F.regexp_extract(c, offset, 1).try_cast("double")).alias(f"{name}_metres"), F.when(has, F.lower(F.regexp_extract(c, offset, 2))).alias(f"{name}_direction")]
 
-    return rows.select("*", *end(part(1), "btwn1"), *end(part(2), "btwn2"))
+def confidence(distance: Column) -> Column:
+    """Grade of a text match by its summed edit distance."""
+    by = lambda grade: F.concat(F.lit(f"{grade} ("), distance.cast("string"), F.lit(" character difference)"))
+    return F.when(distance.isNull(), "No Match").when(distance == 0, "Very High (100% match)").when(distance == 1, by("High")).when(distance.isin(2, 3), by("Medium")).otherwise(by("Low"))
 
 
-def confidence(distance: Column) -> Column:
-    """Grade of a text match by its mean edit distance."""
-    return F.when(distance.isNull(), "No Match").when(distance == 0, "Very High").when(distance <= 1, "High").when(distance <= 3, "Medium").otherwise("Low")
+#: Days of the week in order.
+DAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
 
 
 def schedule(text: Column) -> Column:
-    """Days (1 Monday to 7) of a posted schedule such as "7:00 a.m. to 6:00 p.m., Monday to Friday"."""
-    names = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
-    out = F.when(text.rlike("(?i)anytime|daily|every day"), F.array(*[F.lit(k) for k in range(1, 8)]))
+    """Days (1 Monday to 7) of a posted schedule such as "7:00 a.m. to 6:00 p.m., Monday to Friday"; a span may go over the week's end."""
+    low = F.lower(text)
+    out = F.when(low.rlike("anytime|daily|every ?day"), F.array(*[F.lit(k) for k in range(1, 8)])).when(low.rlike("weekdays?"), F.array(*[F.lit(k) for k in range(1, 6)]))
     for a in range(7):
-        for b in range(a + 1, 7):
-            out = out.when(F.lower(text).contains(f"{names[a]} to {names[b]}"), F.array(*[F.lit(k) for k in range(a + 1, b + 2)]))
-    single = F.array_compact(F.array(*[F.when(F.lower(text).contains(n), k + 1) for k, n in enumerate(names)]))
-    return out.otherwise(single)
+        for b in range(7):
+            days = [k % 7 + 1 for k in range(a, (b if b >= a else b + 7) + 1)]
+            out = out.when(low.rlike(f"{DAYS[a]} (?:to|through|-) {DAYS[b]}"), F.array(*[F.lit(k) for k in sorted(days)]))
+    return out.otherwise(F.array_compact(F.array(*[F.when(low.contains(n), k + 1) for k, n in enumerate(DAYS)])))
+
+
+def schedule_times(text: Column) -> Column:
+    """Spans of a day in a posted schedule as (begin, end) in minutes; the whole day for "anytime"; an end at or before the begin is of the next day."""
+    time = r"(\d{1,2})(?::(\d{2}))?\s*(a|p|noon|midnight)?\.?(?:m\.?)?"
+    spans = F.regexp_extract_all(F.lower(text), F.lit(rf"({time}\s*(?:to|-)\s*{time})"), F.lit(1))
+
+    def minutes(t):
+        hour, minute, half = (F.regexp_extract(t, rf"^\s*{time}", k) for k in (1, 2, 3))
+        return (hour.cast("int") % 12 + F.when(half.isin("p", "noon"), 12).when((half == "") & (hour.cast("int") == 12), 12).otherwise(0)) * 60 + F.coalesce(minute.try_cast("int"), F.lit(0))
+
+    def span(s):
+        ends = F.split(s, r"\s*(?:to|-)\s*", 2)
+        a, b = minutes(F.get(ends, F.lit(0))), minutes(F.get(ends, F.lit(1)))
+        return F.struct(a.alias("begin"), F.when(b <= a, b + 1440).otherwise(b).alias("end"))
+
+    whole = F.array(F.struct(F.lit(0).alias("begin"), F.lit(1440).alias("end")))
+    return F.when(F.lower(text).contains("anytime"), whole).otherwise(F.transform(spans, span))
+
+
+def segment_directions(azimuth: Column) -> tuple[Column, Column]:
+    """(direction of travel along a segment by its azimuth: the nearest of NB, EB, SB, WB on the grid; azimuth off by which); none where it lies across, 40 degrees off or more."""
+    offs = [(f"{k}B", angle_between(azimuth, F.lit((GRID_NORTH + d) % 360))) for k, d in CARDINAL]
+    least = F.least(*[o for _, o in offs])
+    said = F.lit(None).cast("string")
+    for name, o in offs:
+        said = F.when(o == least, F.lit(name)).otherwise(said)
+    return F.when(least < 40, said), least
+
+
+def along_segment(azimuth: Column, direction: Column) -> Column:
+    """How travel in a direction goes on a segment: ``forward`` within 80 degrees of its azimuth, ``backward`` beyond 100; between, not at all."""
+    at = F.create_map(*[x for k, d in CARDINAL for x in (F.lit(f"{k}B"), F.lit((GRID_NORTH + d) % 360))])[direction]
+    off = angle_between(azimuth, at)
+    return F.when(off < 80, "forward").when(off > 100, "backward")
+
+
+def intersection_classes(edges: DataFrame, order: Sequence[str]) -> DataFrame:
+    """(node, degree, features in order, class): kinds of the edges (source, target, feature) that end at each node, those of ``order`` first; the class is the first."""
+    rank = F.create_map(*[x for k, f in enumerate(order) for x in (F.lit(f), F.lit(k))])
+    ends = edges.select(F.explode(F.array("source", "target")).alias("node"), "feature")
+    met = ends.groupBy("node").agg(F.count("*").alias("degree"), F.array_sort(F.collect_set(F.struct(F.coalesce(rank[F.col("feature")], F.lit(len(order))).alias("r"), "feature"))).alias("f"))
+    return met.select("node", "degree", F.col("f.feature").alias("features"), F.get("f", F.lit(0))["feature"].alias("class"))
 
 
 def exclusive(new: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,17 +1,72 @@
 """Fuzzy matching of names by edit distance."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _parts(name: Column, most: int) -> Column:
+    """(place, begin, text) of the most + 1 parts into which a name is cut as evenly as can be; of names of one length, in the same places."""
+    n = F.length(name)
+    cut = lambda k: F.floor(n * k / (most + 1)).cast("int")
+    return F.array(*[F.struct(F.lit(k).alias("place"), n.alias("n"), cut(k).alias("begin"), F.substring(name, cut(k) + 1, cut(k + 1) - cut(k)).alias("text")) for k in range(most + 1)])
+
+
+def near_pairs(names: DataFrame, targets: DataFrame, name: str, target: str, most: int) -> DataFrame:
+    """(name, target, distance) of distinct names and targets within ``most`` edits.
+
+    A target is cut into most + 1 parts, of which ``most`` edits leave one whole, moved by ``most`` places at the most. Each
+    name is cut at the places where a target's part may stand in it, for every length that the target may have, and meets it in an
+    equi-join on (length, part, text): no length is compared with all others. Names are compared in full only then."""
+    t = targets.select(F.col(target)).distinct().withColumn("_p", F.explode(_parts(F.col(target), most))).select(target, F.col("_p.n").alias("_n"), F.col("_p.place").alias("_k"), F.col("_p.text").alias("_t"))
+    d = names.select(F.col(name)).distinct().withColumn("_n", F.explode(F.sequence(F.greatest(F.lit(0), F.length(name) - most), F.length(name) + most)))
+    cut = lambda k: F.floor(F.col("_n") * k / (most + 1)).cast("int")
+    places = F.array(*[F.struct(F.lit(k).alias("k"), (cut(k) + s).alias("begin"), (cut(k + 1) - cut(k)).alias("size")) for k in range(most + 1) for s in range(-most, most + 1)])
+    d = d.withColumn("_p", F.explode(places)).where(f"_p.begin >= 0 and _p.begin + _p.size <= length({name})")
+    d = d.select(name, "_n", F.col("_p.k").alias("_k"), F.substring(F.col(name), F.col("_p.begin") + 1, F.col("_p.size")).alias("_t")).distinct()
+    met = d.join(t, ["_n", "_k", "_t"]).select(name, target).distinct()
+    return met.withColumn("distance", F.levenshtein(F.col(name), F.col(target), most)).where("distance >= 0")
+
+
 def best_matches(names: DataFrame, targets: DataFrame, key: str, name: str, target: str, most: int) -> DataFrame:
-    """Nearest target within ``most`` edits for each key: (key, target, distance), ties by target.
-
-    Candidates come from an equi-join on length (names within ``most`` edits differ by no more in length), so the
-    distance is computed within blocks, bounded by ``most``; distinct names are matched once."""
-    distinct = names.select(name).distinct().withColumn("_n", F.explode(F.sequence(F.length(name) - most, F.length(name) + most)))
-    pairs = distinct.join(targets.withColumn("_n", F.length(target)), "_n")
-    distance = F.levenshtein(F.col(name), F.col(target), most)
-    near = pairs.withColumn("distance", distance).where("distance >= 0")
-    best = near.withColumn("_r", F.row_number().over(Window.partitionBy(name).orderBy("distance", target))).where("_r = 1")
-    return names.join(best.select(name, target, "distance"), name).select(key, target, "distance")
+    """Nearest target within ``most`` edits for each key: (key, target, distance), ties by target. Distinct names are matched once."""
+    best = near_pairs(names, targets, name, target, most).groupBy(name).agg(F.min(F.struct("distance", target)).alias("_b"))
+    return names.join(best, name).select(key, F.col(f"_b.{target}").alias(target), F.col("_b.distance").alias("distance"))
+
+
+def partial_ratio(a: str, b: str) -> int:
+    """How much the shorter text is like the part of the longer one that is most like it, of 100: twice the characters in common blocks by both lengths."""
+    from difflib import SequenceMatcher
+
+    short, long = sorted((a, b), key=len)
+    if not short:
+        return 100 if not long else 0
+    best = 0.0
+    for block in SequenceMatcher(None, short, long, autojunk=False).get_matching_blocks():
+        begin = max(0, block.b - block.a)
+        best = max(best, SequenceMatcher(None, short, long[begin : begin + len(short)], autojunk=False).ratio())
+    return round(100 * best)
+
+
+def same_events(a: DataFrame, b: DataFrame, key: str, same: list[str], name: str, above: int) -> DataFrame:
+    """(a, b, ratio): rows of two lists that agree in ``same`` and whose names are alike by more than ``above`` of 100.
+
+    Only rows of one block meet, in an equi-join; the ratio runs on Arrow batches of distinct pairs of names. Null values of ``same`` agree with nothing."""
+    blocks = [c.select(*same, F.col(key).alias(k), F.col(name).alias(f"{k}_name")) for c, k in ((a, "a"), (b, "b"))]
+    met = blocks[0].join(blocks[1], same).where("a_name is not null and b_name is not null")
+    kind = dict(met.dtypes)
+
+    def run(batches):
+        import pyarrow as pa
+
+        known: dict = {}
+        for batch in batches:
+            rows = [batch.column(k).to_pylist() for k in range(4)]
+            ratio = []
+            for pair in zip(rows[2], rows[3]):
+                if pair not in known and len(known) < 200_000:
+                    known[pair] = partial_ratio(*pair)
+                ratio.append(known[pair] if pair in known else partial_ratio(*pair))
+            keep = [k for k, r in enumerate(ratio) if r > above]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), batch.column(1).take(pa.array(keep, pa.int64())), pa.array([ratio[k] for k in keep], pa.int32())], names=["a", "b", "ratio"])
+
+    return met.select("a", "b", "a_name", "b_name").mapInArrow(run, f"a {kind['a']}, b {kind['b']}, ratio int")

@@ -40,7 +40,7 @@ def test_all_edges_count(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet").collect()
     edges = [(r.o_custkey % 40, r.o_orderkey % 40, int(r.o_totalprice + 0.5) % 900 + 100) for r in orders if r.o_custkey % 40 != r.o_orderkey % 40]
     assert traffic.path_edges(spark, SF).count() == len({e[:2] for e in edges})
-    assert {r.node: r.cost for r in registry.QUERIES["shortest_paths_whole"].run(spark, SF).collect()} == dijkstra(edges, 0)
+    assert {r.node: r.cost for r in registry.QUERIES["shortest_paths"].run(spark, SF).collect()} == dijkstra(edges, 0)
 
 
 def test_legs_of_all_customers(spark):
@@ -55,11 +55,11 @@ def test_legs_of_all_customers(spark):
             want.add((node, arm, "NESW"[k]))
             left = [x for x in left if x[1] != arm and x[2] != k]
     assert max(map(len, arms.values())) > 4
-    assert {tuple(r) for r in registry.QUERIES["cardinal_legs_whole"].run(spark, SF).select("node", "arm", "leg").collect()} == want
+    assert {tuple(r) for r in registry.QUERIES["cardinal_legs"].run(spark, SF).select("node", "arm", "leg").collect()} == want
 
 
 def test_whole_queries_take_all_rows(spark):
-    run = lambda name: registry.QUERIES[f"{name}_whole"].run(spark, SF)
+    run = lambda name: registry.QUERIES[name].run(spark, SF)
     read = lambda t: spark.read.parquet(f"{SF}/{t}.parquet")
     orders, customers = read("orders").collect(), {r.c_custkey for r in read("customer").collect()}
     assert {r.seg for r in run("speed_sections").collect()} == {r.o_custkey for r in orders}
@@ -76,4 +76,62 @@ def test_whole_queries_take_all_rows(spark):
         want |= {(k, a, b) for a, b in zip(begun, [*sorted(some), hi + step]) if b - a >= dt.timedelta(hours=24)}
     assert {(r.user_id, r.gap_start, r.gap_end) for r in run("generic_gaps").collect()} == want
     assert run("gap_summary").first().gaps == len(want)
-    assert {r.user_id for r in run("unacceptable_gaps").collect()} == {k for k, a, b in want if (b - a).total_seconds() / 60 >= (2000 if k % 2 else 1440)}
+    n = {k: 0 for k in bins}
+    for r in read("events").collect():
+        n[r.user_id] += 1
+    tolerance = lambda k: 1440 if n[k] >= 60 else 2000 if n[k] >= 40 else 3000
+    assert {r.user_id for r in run("unacceptable_gaps").collect()} == {k for k, a, b in want if (b - a).total_seconds() / 60 >= tolerance(k)}
+
+
+def test_routes_are_cheapest_and_connected(spark):
+    edges = {(r.source, r.target): r.cost for r in traffic.path_edges(spark, SF).collect()}
+    best = dijkstra([(a, b, c) for (a, b), c in edges.items()], 0)
+    got = {r.node: r for r in registry.QUERIES["routes"].run(spark, SF).collect()}
+    assert {k: r.cost for k, r in got.items()} == best
+    for k, r in got.items():
+        assert r.route[0] == 0 and r.route[-1] == k and sum(edges[step] for step in zip(r.route, r.route[1:])) == r.cost
+
+
+def test_bans_by_search_over_edges(spark):
+    edges = [(1, 0, 1, 5), (2, 1, 2, 5), (3, 0, 2, 30), (4, 2, 3, 1), (5, 1, 3, 50)]
+    bans = spark.createDataFrame([(1, 2), (3, 4)], "first long, second long")
+    got = routing.distances_with_bans(spark.createDataFrame(edges, "id long, source long, target long, cost long"), bans, spark.createDataFrame([(0,)], "node long"), 9999)
+    for node, cost in ((1, 5), (2, 30), (3, 55)):
+        path = routing.route([(i, a, b, c) for i, a, b, c in edges], 0, node, [(1, 2), (3, 4)])
+        assert {r.node: r.cost for r in got.collect()}[node] == cost == sum(c for i, *_, c in edges if i in path)
+
+
+def test_event_duplicates_by_all_pairs(spark):
+    from curbline.operators.textmatch import partial_ratio
+
+    assert partial_ratio("summer fest", "The summer fest!") == 100 and partial_ratio("", "") == 100 and partial_ratio("", "a") == 0
+    rows = [(r.o_orderkey, r.o_orderdate.date(), r.o_custkey % 5, r.o_orderdate.hour, f"{['winter', 'summer', 'harvest'][r.o_orderkey % 3]} festival number {r.o_orderkey % 7}") for r in spark.read.parquet(f"{SF}/orders.parquet").collect()]
+    name = lambda k, n: f"The {n}!" if k % 2 == 0 else n
+    by = {}
+    for k, *block, n in rows:
+        by.setdefault(tuple(block), []).append((k, name(k, n)))
+    want = {(a, b): partial_ratio(x, y) for some in by.values() for a, x in some for b, y in some if a % 2 == 0 and b % 2 == 1}
+    got = {(r.a, r.b): r.ratio for r in registry.QUERIES["event_duplicates"].run(spark, SF).collect()}
+    assert got and got == {k: v for k, v in want.items() if v > 90}
+
+
+def test_near_pairs_lose_none(spark):
+    import random
+
+    from curbline.operators.textmatch import near_pairs
+
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("ab") for _ in range(rnd.randint(0, 9))) for _ in range(120)]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, before = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
+    names, targets = set(words[:60]), set(words[60:])
+    for most in (0, 1, 3):
+        got = near_pairs(spark.createDataFrame([(w,) for w in names], "n string"), spark.createDataFrame([(w,) for w in targets], "t string"), "n", "t", most)
+        assert {(r.n, r.t): r.distance for r in got.collect()} == {(a, b): d for a in names for b in targets if (d := distance(a, b)) <= most}
