@@ -1,6 +1,8 @@
 """Time binning on wall-clock (NTZ) timestamps, JVM-side only."""
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,6 +16,21 @@ def floor_bin(ts: Column | str, minutes: int) -> Column:
     return day + F.make_dt_interval(mins=(minute - minute % minutes).cast("int"))
 
 
+def ceil_bin(ts: Column | str, minutes: int) -> Column:
+    """End of the bin ``(start, end]`` that holds ``ts``: a reading on a boundary stays there."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    low = floor_bin(ts, minutes)
+    return F.when(low == ts, ts).otherwise(low + F.make_dt_interval(mins=F.lit(minutes)))
+
+
+def first_local_hours(rows: DataFrame, keys: Sequence[str], utc: str, zone: str) -> DataFrame:
+    """Rows with their wall-clock time ``local``; where clocks fall back, of the hour that comes twice only the first stays."""
+    local = rows.withColumn("local", F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(utc)))
+    # the repeat is the one whose wall clock has been shown an hour of elapsed time before
+    before = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(utc) - F.expr("INTERVAL 1 HOUR"))
+    return local.where(before != F.col("local"))
+
+
 def shifted_bin(ts: Column | str, minutes: int) -> Column:
     """Like :func:`floor_bin` for bins ``(start, end]``: a reading on the boundary belongs to the earlier bin."""
     ts = F.col(ts) if isinstance(ts, str) else ts

@@ -1,28 +1,71 @@
 """Change data: upserts, audits, snapshots, quarantine."""
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of ``keys`` with the same names behind ``prefix``."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
+def _named(rows: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    return rows.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys])
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` replace those of ``old`` with the same keys (null keys equal); ``new`` must be unique by key."""
-    on = None
-    fresh = new.select(*[F.col(k).alias(f"_n_{k}") for k in keys]).distinct()
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_n_{k}"))
-        on = c if on is None else on & c
-    return old.join(fresh, on, "left_anti").unionByName(new)
+    return old.join(_named(new, keys, "_n_").distinct(), _same(keys, "_n_"), "left_anti").unionByName(new)
+
+
+def insert_new(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``old`` and the rows of ``new`` whose keys it hasn't (null keys equal)."""
+    return old.unionByName(new.join(_named(old, keys, "_o_").distinct(), _same(keys, "_o_"), "left_anti"))
+
+
+def merge(old: DataFrame, new: DataFrame, keys: Sequence[str], delete_matched: Column | None = None, insert: Column | None = None, delete_absent: Column | None = None) -> DataFrame:
+    """The table after a merge of ``new`` (unique by key, with the columns of ``old``) into ``old``; null keys are equal.
+
+    Matched rows take the new values, or go where ``delete_matched`` (of the new values) holds; others of ``new`` come in where
+    ``insert`` holds; rows that ``new`` lacks go where ``delete_absent`` (of the old values) holds. One full join."""
+    a = old.select(F.struct(*old.columns).alias("_old"), *[F.col(k).alias(f"_a_{k}") for k in keys])
+    b = new.select(F.struct(*old.columns).alias("_new"), *[F.col(k).alias(f"_b_{k}") for k in keys])
+    both = a.join(b, reduce(lambda x, y: x & y, [F.col(f"_a_{k}").eqNullSafe(F.col(f"_b_{k}")) for k in keys]), "full")
+    absent = F.col("_new").isNull()
+    rows = both.select(F.coalesce("_new", "_old").alias("_row"), F.col("_old").isNotNull().alias("_was"), (~absent).alias("_came")).select("_row.*", "_was", "_came")
+    no = F.lit(False)
+    gone = F.when(F.col("_was") & F.col("_came"), no if delete_matched is None else delete_matched).when(F.col("_came"), no if insert is None else ~insert).otherwise(no if delete_absent is None else delete_absent)
+    return rows.where(~F.coalesce(gone, no)).select(old.columns)
+
+
+def update_from(rows: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``rows`` with ``columns`` taken from ``source`` (unique by key) where the keys match."""
+    s = source.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.struct(*columns).alias("_s"))
+    met = rows.join(s, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_s_{k}") for k in keys]), "left")
+    return met.select(*[F.when(F.col("_s").isNotNull(), F.col(f"_s.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in rows.columns])
+
+
+def delete_using(rows: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` whose keys ``source`` hasn't."""
+    return rows.join(source.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def before_insert(rows: DataFrame, columns: dict[str, Column], accept: Column) -> DataFrame:
+    """Rows as row triggers would leave them: refused ones out, ``columns`` derived from the row as it came."""
+    return rows.where(accept).withColumns(columns)
 
 
 def audit(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per changed key: (keys, action I/U/D, changed columns); unchanged rows are skipped. One full join."""
+    """One row per changed key: (keys, action I/U/D, changed columns); unchanged rows are skipped; null keys are equal. One full join."""
     values = [c for c in old.columns if c not in keys]
-    a = old.select(*keys, F.struct(*values).alias("_old"))
-    b = new.select(*keys, F.struct(*values).alias("_new"))
+    a = old.select(*[F.col(k).alias(f"_a_{k}") for k in keys], F.struct(*values).alias("_old"))
+    b = new.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.struct(*values).alias("_new"))
     differ = F.array_compact(F.array(*[F.when(~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")), F.lit(c)) for c in values]))
-    both = a.join(b, list(keys), "full")
+    both = a.join(b, reduce(lambda x, y: x & y, [F.col(f"_a_{k}").eqNullSafe(F.col(f"_b_{k}")) for k in keys]), "full")
+    both = both.select(*[F.coalesce(f"_a_{k}", f"_b_{k}").alias(k) for k in keys], "_old", "_new")
     action = F.when(F.col("_old").isNull(), "I").when(F.col("_new").isNull(), "D").otherwise("U")
     changed = F.when(F.col("_old").isNull() | F.col("_new").isNull(), F.array().cast("array<string>")).otherwise(differ)
     rows = both.select(*keys, action.alias("action"), changed.alias("changed"))

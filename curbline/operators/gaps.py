@@ -26,20 +26,23 @@ def find_gaps(points: DataFrame, key: str, ts: str, start: str, end: str, bin_mi
     return steps.withColumn("gap_minutes", minutes).where(F.expr("timestampdiff(SECOND, gap_start, gap_end)") >= threshold_minutes * 60)
 
 
-def outages(bins: DataFrame, key: str, bin_col: str, bin_minutes: int) -> DataFrame:
-    """Missing stretches between a sensor's bins: (key, outage_start, outage_end, bins_missing), ends inclusive."""
+def outages(bins: DataFrame, key: str, bin_col: str, bin_minutes: int, least_bins: int = 2, until: Column | None = None) -> DataFrame:
+    """Missing stretches of at least ``least_bins`` between a sensor's bins (those with a count): (key, outage_start, outage_end, bins_missing), ends inclusive.
+
+    With ``until`` (a bin, the same for all) a stretch that is still open there counts too."""
+    if until is not None:
+        bins = bins.select(key, bin_col).unionByName(bins.select(key).distinct().withColumn(bin_col, until)).distinct()
     previous = F.lag(bin_col).over(Window.partitionBy(key).orderBy(bin_col))
     seen = bins.select(key, bin_col, previous.alias("previous"))
-    out = seen.where(F.col("previous") < F.col(bin_col) - _minutes(bin_minutes))
     start, end = F.col("previous") + _minutes(bin_minutes), F.col(bin_col) - _minutes(bin_minutes)
     missing = F.expr(f"timestampdiff(MINUTE, previous, {bin_col}) div {bin_minutes} - 1")
-    return out.select(key, start.alias("outage_start"), end.alias("outage_end"), missing.alias("bins_missing"))
+    return seen.select(key, start.alias("outage_start"), end.alias("outage_end"), missing.alias("bins_missing")).where(F.col("bins_missing") >= least_bins)
 
 
-def network_outages(points: DataFrame, bin_col: str, bin_minutes: int) -> DataFrame:
+def network_outages(points: DataFrame, bin_col: str, bin_minutes: int, least_bins: int = 2, until: Column | None = None) -> DataFrame:
     """Stretches in which no sensor reports. Bins are reduced to their distinct values first, so the one global window
     sees a row per bin of the period, however many sensors there are."""
-    return outages(points.select(F.lit("network").alias("scope"), bin_col).distinct(), "scope", bin_col, bin_minutes)
+    return outages(points.select(F.lit("network").alias("scope"), bin_col).distinct(), "scope", bin_col, bin_minutes, least_bins, until)
 
 
 def islands(bins: DataFrame, key: str, bin_col: str, bin_minutes: int) -> DataFrame:

@@ -47,19 +47,41 @@ def histogram(rows: DataFrame, keys: Sequence[str], value: str, width: int) -> D
 
 
 def split_half_hours(bins: DataFrame, key: str, bin_col: str, volume: str) -> DataFrame:
-    """30-minute counts as two 15-minute ones along the trend of both neighbours, (v -+ (next - previous) / 6) / 2, else halves."""
+    """30-minute counts (not 0) as two 15-minute ones: along the trend of both neighbours, (v -+ (next - previous) / 6) / 2; with
+    one neighbour in proportion to it and the count; else halves."""
     w = Window.partitionBy(key).orderBy(bin_col)
     near = F.expr("INTERVAL 30 MINUTES")
-    known = bins.select(
-        key, bin_col, volume,
-        F.when(F.lag(bin_col).over(w) == F.col(bin_col) - near, F.lag(volume).over(w)).alias("_before"),
-        F.when(F.lead(bin_col).over(w) == F.col(bin_col) + near, F.lead(volume).over(w)).alias("_after"),
+    known = bins.where(F.col(volume) != 0).select(
+        key, bin_col, F.col(volume).alias("_v"),
+        F.when(F.lag(bin_col).over(w) == F.col(bin_col) - near, F.lag(volume).over(w)).alias("_a"),
+        F.when(F.lead(bin_col).over(w) == F.col(bin_col) + near, F.lead(volume).over(w)).alias("_b"),
     )
-    tilt = F.coalesce((F.col("_after") - F.col("_before")) / 6, F.lit(0.0))
-    halves = F.array(F.struct(F.col(bin_col).alias("b"), ((F.col(volume) - tilt) / 2).alias("v")), F.struct((F.col(bin_col) + F.expr("INTERVAL 15 MINUTES")).alias("b"), ((F.col(volume) + tilt) / 2).alias("v")))
+    v, a, b = F.col("_v"), F.col("_a"), F.col("_b")
+    first = F.when(a.isNotNull() & b.isNotNull(), (v - (b - a) / 6) / 2).when(b.isNotNull(), v * v / (v + b)).when(a.isNotNull(), a * v / (a + v)).otherwise(v / 2)
+    halves = F.array(F.struct(F.col(bin_col).alias("b"), first.alias("v")), F.struct((F.col(bin_col) + F.expr("INTERVAL 15 MINUTES")).alias("b"), (v - first).alias("v")))
     return known.withColumn("_h", F.explode(halves)).select(key, F.col("_h.b").alias(bin_col), F.col("_h.v").alias(volume))
 
 
+def quarter_hours(hours: DataFrame, keys: Sequence[str], bin_col: str, volume: str) -> DataFrame:
+    """Hourly counts as four bins: the count stands in the first, the others are zeros in its place."""
+    parts = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), (F.col(volume) if m == 0 else F.lit(0)).cast("long").alias("v")) for m in (0, 15, 30, 45)]))
+    return hours.select(*keys, bin_col, parts.alias("_p")).select(*keys, (F.col(bin_col) + F.make_dt_interval(mins=F.col("_p.m"))).alias(bin_col), F.col("_p.v").alias(volume))
+
+
+#: Opposite leg, and what leaves by each leg: straight on from the opposite leg, right from the next one clockwise, left from the one before.
+CLOCKWISE = "NESW"
+
+
+def exit_volumes(kind: str, legs: str = CLOCKWISE) -> dict[str, Column]:
+    """What leaves by each leg of a node, from columns ``{leg}_{kind}_{r|t|l}`` in lower case: (leg, sum)."""
+    out = {}
+    for k, leg in enumerate(legs):
+        from_ = lambda turn: legs[(k + turn) % 4].lower()  # noqa: E731, B023
+        # seen from the leg that is entered: straight on it leaves opposite, by a right turn a quarter against the clock
+        out[leg] = F.col(f"{from_(2)}_{kind}_t") + F.col(f"{from_(1)}_{kind}_r") + F.col(f"{from_(3)}_{kind}_l")
+    return out
+
+
 def fill_linear(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
     """Nulls between two known values of a sensor become their linear interpolation by ``order`` (numeric); ends stay null."""
     w = Window.partitionBy(key).orderBy(order)

@@ -1,10 +1,13 @@
 """Aggregates of traffic analysis."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curbline.session import checkpointed
+
 
 def harmonic_mean(x: Column) -> Column:
     """Mean that averages travel times instead of speeds; nulls and zeros don't count."""
@@ -29,19 +32,54 @@ def z_scores(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def without_outliers(rows: DataFrame, keys: Sequence[str], value: str, deviations: float = 1.5) -> DataFrame:
-    """Rows within ``deviations`` sample deviations of their keys' mean. Statistics come from a map-side aggregate, not a
-    window, so a large group doesn't meet in one task. A group of one keeps its row."""
-    stats = rows.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("_sd"))
-    near = F.abs(F.col(value) - F.col("_mean")) <= deviations * F.col("_sd")
+    """Rows nearer than ``deviations`` sample deviations to their keys' mean; groups of one row, or without spread, have none.
+    Statistics come from a map-side aggregate, not a window, so a large group doesn't meet in one task."""
+    stats = rows.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_sd"))
+    near = F.abs(F.col(value) - F.col("_mean")) < deviations * F.col("_sd")
     return rows.join(stats, list(keys)).where(near).drop("_mean", "_sd")
 
 
-def lookback_check(daily: DataFrame, day: str, count: str, days: int, threshold: float, kind: Column) -> DataFrame:
-    """Each day against the mean of days of its kind in the ``days`` before it: (day, count, expected, ok).
+def lookback_check(daily: DataFrame, day: str, count: str, days: int, threshold: float, kind: Column, holiday: Column | None = None, holiday_threshold: float = 0.5) -> DataFrame:
+    """Each day against the mean of days of its kind in the ``days`` before it: (day, count, expected, ok); holidays have a threshold of their own.
 
-    ``daily`` has a row per day, so the self-join is on (kind) over that many rows."""
-    d = daily.select(F.col(day).alias("day"), F.col(count).alias("n"), kind.alias("kind"))
+    ``daily`` has a row per day that has rows (others don't count), so the self-join is on (kind) over that many rows."""
+    least = F.lit(threshold) if holiday is None else F.when(holiday, F.lit(holiday_threshold)).otherwise(F.lit(threshold))
+    d = daily.select(F.col(day).alias("day"), F.col(count).alias("n"), kind.alias("kind"), least.alias("least"))
     past = d.select(F.col("day").alias("_d"), F.col("n").alias("_n"), F.col("kind").alias("_k"))
     both = d.join(past, (F.col("kind") == F.col("_k")) & (F.col("_d") < F.col("day")) & (F.col("_d") >= F.date_sub("day", days)), "left")
-    out = both.groupBy("day", "n", "kind").agg(F.avg("_n").alias("mean"))
-    return out.select("day", "n", F.floor(threshold * F.col("mean")).alias("expected"), F.coalesce(F.col("n") >= F.floor(threshold * F.col("mean")), F.lit(True)).alias("ok"))
+    out = both.groupBy("day", "n", "kind", "least").agg(F.avg("_n").alias("mean"))
+    return out.select("day", "n", F.floor(F.col("least") * F.col("mean")).alias("expected"), F.coalesce(F.col("n") >= F.floor(F.col("least") * F.col("mean")), F.lit(True)).alias("ok"))
+
+
+def percentiles(rows: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """Interpolated percentiles (as percentile_cont) under the names of ``shares``, exact and without a buffer per group.
+
+    Values are counted first, map-side. Sorted by keys and value into ranges and written, each range is counted up on its own after
+    the counts of the same keys in the ranges before it; of every key only the counted values next to a wanted rank go on. A
+    group may be of any size."""
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    dealt = checkpointed(counts.repartitionByRange(*keys, "_v").withColumn("_range", F.spark_partition_id()))
+    parts = dealt.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in"))
+    w = Window.partitionBy(*keys)
+    before = parts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_range").alias("_r"), (F.sum("_in").over(w.orderBy("_range")) - F.col("_in")).alias("_before"), F.sum("_in").over(w).alias("_all"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.col("_range") == F.col("_r"))
+    run = F.sum("_n").over(Window.partitionBy("_range", *keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = dealt.withColumn("_run", run).join(before, same).withColumn("_hi", F.col("_before") + F.col("_run")).withColumn("_lo", F.col("_hi") - F.col("_n"))
+
+    def at(share, up):
+        place = (F.col("_all") - 1) * F.lit(share)
+        k = F.least(F.floor(place) + up, F.col("_all") - 1)
+        return F.max(F.when((F.col("_lo") <= k) & (k < F.col("_hi")), F.col("_v")))
+
+    found = ranked.groupBy(*keys).agg(F.first("_all").alias("_all"), *[at(x, up).alias(f"_{up}_{n}") for n, x in shares.items() for up in (0, 1)])
+    part = lambda x: (F.col("_all") - 1) * F.lit(x) - F.floor((F.col("_all") - 1) * F.lit(x))
+    return found.select(*keys, *[(F.col(f"_0_{n}") + part(x) * (F.col(f"_1_{n}") - F.col(f"_0_{n}"))).alias(n) for n, x in shares.items()])
+
+
+def paired_ratio(rows: DataFrame, keys: Sequence[str], start: str, end: str, value: str) -> DataFrame:
+    """Each stretch beside the one with the same keys and its ends swapped: (keys, ends, value, back, ratio, bias towards the larger)."""
+    other = rows.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(start).alias("_end"), F.col(end).alias("_start"), F.col(value).alias("back"))
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in keys], (F.col(start) == F.col("_start")) & (F.col(end) == F.col("_end")))
+    met = rows.join(other, on)
+    bias = F.when(F.col(value) > F.col("back"), "forward").when(F.col(value) < F.col("back"), "back")
+    return met.select(*keys, start, end, value, "back", (F.col(value) / F.col("back")).alias("ratio"), bias.alias("bias"))

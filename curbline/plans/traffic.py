@@ -7,8 +7,11 @@ from curbline.functions import geometry as geo
 from curbline.functions.streets import abbreviate
 from curbline.functions.timebin import floor_bin, is_weekend, seconds_of_day
 from curbline.operators import changes, ranges, reshape, stats
+from curbline.operators.routing import distances
 from curbline.operators.textmatch import best_matches
 from curbline.plans.registry import register
+from curbline.plans.timeseries import HOLIDAYS
+from curbline.session import checkpointed
 from curbline.sources.tables import table
 
 CENTS = "CAST(round(value * 100) AS BIGINT)"
@@ -22,11 +25,14 @@ def _bands(spark):
 
 
 @register("asof_order", """
-    WITH d AS (SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL)
-    SELECT e.event_id, d.o_orderkey FROM (SELECT event_id, user_id, ts - INTERVAL 8000 DAY AS at FROM events) e ASOF LEFT JOIN d ON e.user_id = d.o_custkey AND e.at >= d.o_orderdate""", "D1 LATERAL")
+    WITH d AS (SELECT o_custkey, o_orderdate AS lo, o_orderdate + to_days(CAST(100 + o_orderkey % 400 AS INTEGER)) AS hi, o_orderkey FROM orders)
+    SELECT e.event_id, arg_max(d.o_orderkey, (d.lo, d.hi, d.o_orderkey)) AS o_orderkey FROM (SELECT event_id, user_id, ts - INTERVAL 8000 DAY AS at FROM events) e
+    LEFT JOIN d ON e.user_id = d.o_custkey AND e.at >= d.lo AND e.at < d.hi GROUP BY 1""", "D1 LATERAL")
 def q_asof(spark, sf_dir):
+    """A version that has ended doesn't match, even if it began last."""
     e = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("o_custkey"), F.expr("ts - INTERVAL 8000 DAYS").alias("at"))
-    return ranges.asof_join(e, table(spark, sf_dir, "orders"), "o_custkey", "at", "o_orderdate", ["o_orderkey"]).select("event_id", "o_orderkey")
+    ends = F.col("o_orderdate") + F.make_dt_interval(days=(100 + F.col("o_orderkey") % 400).cast("int"))
+    return ranges.asof_join(e, table(spark, sf_dir, "orders").withColumn("ends", ends), "o_custkey", "at", "o_orderdate", ["o_orderkey"], "ends").select("event_id", "o_orderkey")
 
 
 @register("length_classes", f"""
@@ -38,15 +44,18 @@ def q_lengths(spark, sf_dir):
 
 
 @register("calibrated_counts", """
-    WITH f AS (SELECT user_id, min(ts) + INTERVAL 5 DAY AS lo, min(ts) + INTERVAL 12 DAY AS hi, 1.0 + (user_id % 5) / 10.0 AS factor FROM events GROUP BY user_id)
-    SELECT e.event_id, CAST(floor(coalesce(f.factor, 1) * round(e.value) + 0.5) AS BIGINT) AS calibrated
-    FROM events e LEFT JOIN f ON f.user_id = e.user_id AND e.ts >= f.lo AND e.ts < f.hi""", "D3 D2")
+    WITH r AS (SELECT user_id, TIMESTAMP '2024-01-02' + to_days(CAST(user_id % 5 AS INTEGER)) AS lo, TIMESTAMP '2024-01-25' AS hi FROM (SELECT DISTINCT user_id FROM events)),
+    c AS (SELECT user_id, date_trunc('day', min(ts)) + to_days(CAST(k AS INTEGER)) AS counted, 1.0 + ((user_id + k) % 5) / 10.0 AS factor FROM events CROSS JOIN (VALUES (3), (9), (16)) v(k) GROUP BY user_id, k),
+    f AS (SELECT c.user_id, factor, CASE WHEN lag(counted) OVER w IS NULL THEN r.lo ELSE counted END AS lo, coalesce(lead(counted) OVER w, r.hi) AS hi FROM c JOIN r ON r.user_id = c.user_id AND counted >= r.lo AND counted < r.hi WINDOW w AS (PARTITION BY c.user_id ORDER BY counted))
+    SELECT e.event_id, CAST(floor(coalesce(f.factor, 1) * round(e.value) + 0.5) AS BIGINT) AS calibrated FROM events e LEFT JOIN f ON f.user_id = e.user_id AND e.ts >= f.lo AND e.ts < f.hi""", "D3 D2")
 def q_calibrated(spark, sf_dir):
+    """Factors come from counts within a sensitivity range; each holds from its count (the first from the range's start) to the next, or to the range's end."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", F.round("value").alias("v"))
-    first = e.groupBy("user_id").agg(F.min("ts").alias("t"))
-    spans = first.select("user_id", F.expr("t + INTERVAL 5 DAYS").alias("lo"), F.expr("t + INTERVAL 12 DAYS").alias("hi"), (F.lit(1.0) + (F.col("user_id") % 5) / 10.0).alias("factor"))
-    hit = ranges.interval_join(e.select("event_id", "user_id", "ts"), spans, "user_id", "ts", "lo", "hi").select("event_id", "factor")
-    return e.join(hit, "event_id", "left").select("event_id", F.floor(F.coalesce("factor", F.lit(1.0)) * F.col("v") + 0.5).alias("calibrated"))
+    counts = e.groupBy("user_id").agg(F.date_trunc("day", F.min("ts")).cast("timestamp_ntz").alias("t")).withColumn("k", F.explode(F.array(*[F.lit(x) for x in (3, 9, 16)])))
+    counts = counts.select("user_id", (F.col("t") + F.make_dt_interval(days=F.col("k"))).alias("counted"), (F.lit(1.0) + (F.col("user_id") + F.col("k")) % 5 / 10.0).alias("factor"))
+    settings = e.select("user_id").distinct().select("user_id", (F.lit("2024-01-02 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days=(F.col("user_id") % 5).cast("int"))).alias("lo"), F.lit("2024-01-25 00:00:00").cast("timestamp_ntz").alias("hi"))
+    spans = ranges.factor_ranges(counts, settings, "user_id", "counted", "lo", "hi")
+    return ranges.interval_join(e, spans, "user_id", "ts", "lo", "hi", "left").select("event_id", F.floor(F.coalesce("factor", F.lit(1.0)) * F.col("v") + 0.5).alias("calibrated"))
 
 
 @register("location_episodes", """
@@ -63,17 +72,16 @@ def q_episodes(spark, sf_dir):
     SELECT event_id FROM events e WHERE NOT EXISTS (SELECT 1 FROM r WHERE (r.user_id IS NULL OR r.user_id = e.user_id) AND (r.event_type IS NULL OR r.event_type = e.event_type) AND e.ts >= r.lo AND (r.hi IS NULL OR e.ts < r.hi))""", "C12 anti join")
 def q_wildcards(spark, sf_dir):
     rules = spark.sql("SELECT * FROM VALUES (3L, NULL, TIMESTAMP_NTZ'2024-01-03', TIMESTAMP_NTZ'2024-01-20'), (NULL, 'error', TIMESTAMP_NTZ'2024-01-08', NULL), (8L, 'click', TIMESTAMP_NTZ'2024-01-01', NULL), (NULL, NULL, TIMESTAMP_NTZ'2024-01-25', TIMESTAMP_NTZ'2024-01-26') AS t(user_id, event_type, lo, hi)")
-    during = (F.col("ts") >= F.col("rule_lo")) & (F.col("rule_hi").isNull() | (F.col("ts") < F.col("rule_hi")))
-    return ranges.wildcard_anti(table(spark, sf_dir, "events"), rules, ["user_id", "event_type"], during).select("event_id")
+    return ranges.wildcard_anti(table(spark, sf_dir, "events"), rules, ["user_id", "event_type"], "ts").select("event_id")
 
 
 @register("replacement_chain", """
-    WITH RECURSIVE l AS (SELECT o_orderkey AS old, o_orderkey + o_custkey % 3 + 1 AS new FROM orders WHERE o_orderkey % 10 < 7),
-    t AS (SELECT old, new AS current, 1 AS hops FROM l UNION ALL SELECT t.old, l.new, t.hops + 1 FROM t JOIN l ON t.current = l.old)
-    SELECT old, arg_max(current, hops) AS current, max(hops) AS hops FROM t GROUP BY old""", "D4 WITH RECURSIVE")
+    WITH RECURSIVE l AS (SELECT o_orderkey AS old, CASE WHEN o_orderkey % 10 < 7 THEN o_orderkey + o_custkey % 3 + 1 END AS new FROM orders),
+    t AS (SELECT old, coalesce(new, old) AS current, CASE WHEN new IS NULL THEN 0 ELSE 1 END AS hops FROM l UNION ALL SELECT t.old, l.new, t.hops + 1 FROM t JOIN l ON t.current = l.old WHERE l.new IS NOT NULL AND t.hops > 0)
+    SELECT old, arg_max(current, hops) AS current, CAST(max(hops) AS BIGINT) AS hops, false AS cyclic FROM t GROUP BY old""", "D4 WITH RECURSIVE")
 def q_chain(spark, sf_dir):
-    links = table(spark, sf_dir, "orders").where("o_orderkey % 10 < 7").select("o_orderkey", (F.col("o_orderkey") + F.col("o_custkey") % 3 + 1).alias("new"))
-    return ranges.resolve_chain(links, "o_orderkey", "new")
+    new = F.when(F.col("o_orderkey") % 10 < 7, F.col("o_orderkey") + F.col("o_custkey") % 3 + 1)
+    return ranges.resolve_chain(table(spark, sf_dir, "orders").select("o_orderkey", new.alias("new")), "o_orderkey", "new")
 
 
 @register("period_of_day", """
@@ -113,15 +121,24 @@ def q_histogram(spark, sf_dir):
 
 
 @register("half_hour_split", f"""
-    WITH b AS (SELECT user_id, time_bucket(INTERVAL 30 MINUTE, ts) AS bin, CAST(sum({CENTS}) AS DOUBLE) AS v FROM events WHERE event_type = 'click' GROUP BY ALL),
-    n AS (SELECT *, CASE WHEN lag(bin) OVER w = bin - INTERVAL 30 MINUTE THEN lag(v) OVER w END AS p, CASE WHEN lead(bin) OVER w = bin + INTERVAL 30 MINUTE THEN lead(v) OVER w END AS q FROM b WINDOW w AS (PARTITION BY user_id ORDER BY bin))
-    SELECT user_id, bin, round((v - coalesce((q - p) / 6, 0)) / 2, 3) AS v FROM n UNION ALL SELECT user_id, bin + INTERVAL 15 MINUTE, round((v + coalesce((q - p) / 6, 0)) / 2, 3) FROM n""", "B11 B12")
+    WITH b AS (SELECT user_id, time_bucket(INTERVAL 30 MINUTE, ts) AS bin, CAST(sum({CENTS}) AS DOUBLE) AS v FROM events GROUP BY ALL),
+    n AS (SELECT *, CASE WHEN lag(bin) OVER w = bin - INTERVAL 30 MINUTE THEN lag(v) OVER w END AS p, CASE WHEN lead(bin) OVER w = bin + INTERVAL 30 MINUTE THEN lead(v) OVER w END AS q FROM b WHERE v <> 0 WINDOW w AS (PARTITION BY user_id ORDER BY bin)),
+    f AS (SELECT *, CASE WHEN p IS NULL AND q IS NULL THEN v / 2 WHEN p IS NULL THEN v * v / (v + q) WHEN q IS NULL THEN p * v / (p + v) ELSE (v - (q - p) / 6) / 2 END AS first FROM n)
+    SELECT user_id, bin, round(first, 3) AS v FROM f UNION ALL SELECT user_id, bin + INTERVAL 15 MINUTE, round(v - first, 3) FROM f""", "B11")
 def q_halves(spark, sf_dir):
     cents = F.sum(F.round(F.col("value") * 100).cast("long")).cast("double")
-    b = table(spark, sf_dir, "events").where("event_type = 'click'").groupBy("user_id", floor_bin("ts", 30).alias("bin")).agg(cents.alias("v"))
+    b = table(spark, sf_dir, "events").groupBy("user_id", floor_bin("ts", 30).alias("bin")).agg(cents.alias("v"))
     return reshape.split_half_hours(b, "user_id", "bin", "v").withColumn("v", F.round("v", 3))
 
 
+@register("quarter_hours", f"""
+    WITH h AS (SELECT user_id, time_bucket(INTERVAL 1 HOUR, ts) AS bin, CAST(sum({CENTS}) AS BIGINT) AS v FROM events GROUP BY ALL)
+    SELECT user_id, bin + to_minutes(lag) AS bin, CASE WHEN lag = 0 THEN v ELSE 0 END AS v FROM h CROSS JOIN (VALUES (0), (15), (30), (45)) l(lag)""", "B12")
+def q_quarters(spark, sf_dir):
+    h = table(spark, sf_dir, "events").groupBy("user_id", floor_bin("ts", 60).alias("bin")).agg(F.sum(F.round(F.col("value") * 100).cast("long")).alias("v"))
+    return reshape.quarter_hours(h, ["user_id"], "bin", "v")
+
+
 @register("vehicles_per_hour", "SELECT user_id, time_bucket(INTERVAL 15 MINUTE, ts) AS bin, CAST(sum(CAST(round(value) AS BIGINT)) // 4 // 3 AS BIGINT) AS volume FROM events GROUP BY ALL", "B10 Q15")
 def q_vph(spark, sf_dir):
     g = table(spark, sf_dir, "events").groupBy("user_id", floor_bin("ts", 15).alias("bin")).agg(F.sum(F.round("value").cast("long")).alias("s"))
@@ -143,24 +160,32 @@ def q_interpolated(spark, sf_dir):
     return reshape.fill_linear(s, "k", "x", "y").withColumn("y", F.round("y", 3))
 
 
-@register("travel_time_index", """
-    WITH h AS (SELECT user_id, hour(ts) AS hr, 3.6 * 500 * avg(1 / (value + 5)) AS tt, 3.6 * 500 / quantile_cont(value + 5, 0.5) AS tt_med FROM events WHERE isodow(ts) <= 5 GROUP BY ALL),
+_WORKDAY = "isodow(ts) <= 5 AND CAST(ts AS DATE) NOT IN (DATE '2024-01-01', DATE '2024-01-15')"
+
+
+def _no_holidays(events):
+    return events.where(~F.to_date("ts").isin([F.lit(d).cast("date") for d in HOLIDAYS]))
+
+
+@register("travel_time_index", f"""
+    WITH h AS (SELECT user_id, date_trunc('month', ts) AS mth, hour(ts) AS hr, 3.6 * 500 * avg(1 / (value + 5)) AS tt, 3.6 * 500 / quantile_cont(value + 5, 0.5) AS tt_med, count(*) AS obs FROM events WHERE {_WORKDAY} GROUP BY ALL),
     f AS (SELECT user_id, quantile_cont(tt, 0.05) AS free FROM h GROUP BY 1)
-    SELECT user_id, hr, round(tt, 6) AS tt_avg, round(tt_med, 6) AS tt_med, round(tt / free, 6) AS tti FROM h JOIN f USING (user_id)""", "E4 Q2")
+    SELECT user_id, mth, hr, round(tt, 6) AS tt_avg, round(tt_med, 6) AS tt_med, round(tt / free, 6) AS tti, obs, round(free, 6) AS free_flow FROM h JOIN f USING (user_id)""", "E4 Q2")
 def q_tti(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where(~is_weekend("ts")).withColumn("speed", F.col("value") + 5)
-    h = e.groupBy("user_id", F.hour("ts").alias("hr")).agg((1800 * F.avg(1 / F.col("speed"))).alias("tt"), (1800 / F.percentile("speed", F.lit(0.5))).alias("med"))
-    free = h.groupBy("user_id").agg(F.percentile("tt", F.lit(0.05)).alias("free"))
-    return h.join(free, "user_id").select("user_id", "hr", F.round("tt", 6).alias("tt_avg"), F.round("med", 6).alias("tt_med"), F.round(F.col("tt") / F.col("free"), 6).alias("tti"))
+    e = _no_holidays(table(spark, sf_dir, "events")).where(~is_weekend("ts")).select("user_id", F.date_trunc("month", "ts").cast("timestamp_ntz").alias("mth"), F.hour("ts").alias("hr"), (F.col("value") + 5).alias("speed"))
+    keys = ["user_id", "mth", "hr"]
+    h = e.groupBy(*keys).agg((1800 * F.avg(1 / F.col("speed"))).alias("tt"), F.count("*").alias("obs")).join(stats.percentiles(e, keys, "speed", {"med": 0.5}), keys)
+    h = checkpointed(h)
+    return h.join(stats.percentiles(h, ["user_id"], "tt", {"free": 0.05}), "user_id").select(*keys, F.round("tt", 6).alias("tt_avg"), F.round(1800 / F.col("med"), 6).alias("tt_med"), F.round(F.col("tt") / F.col("free"), 6).alias("tti"), "obs", F.round("free", 6).alias("free_flow"))
 
 
 @register("harmonic_speed", """
-    WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, hour(ts) AS hr, count(*) / sum(1 / value) AS h FROM events WHERE isodow(ts) BETWEEN 2 AND 4 GROUP BY ALL)
-    SELECT user_id, hr, round(count(*) / sum(1 / h), 6) AS speed FROM d GROUP BY ALL""", "E5 harmean")
+    WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, hour(ts) AS hr, count(*) / sum(1 / value) AS h FROM events WHERE isodow(ts) BETWEEN 2 AND 4 AND CAST(ts AS DATE) NOT IN (DATE '2024-01-01', DATE '2024-01-15') GROUP BY ALL)
+    SELECT user_id, hr, CAST(floor(count(*) / sum(1 / h) + 0.5) AS BIGINT) AS speed FROM d GROUP BY ALL""", "E5 harmean")
 def q_harmonic(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where((F.weekday("ts") >= 1) & (F.weekday("ts") <= 3))
+    e = _no_holidays(table(spark, sf_dir, "events")).where((F.weekday("ts") >= 1) & (F.weekday("ts") <= 3))
     d = e.groupBy("user_id", F.to_date("ts").alias("day"), F.hour("ts").alias("hr")).agg(stats.harmonic_mean(F.col("value")).alias("h"))
-    return d.groupBy("user_id", "hr").agg(F.round(stats.harmonic_mean(F.col("h")), 6).alias("speed"))
+    return d.groupBy("user_id", "hr").agg(F.floor(stats.harmonic_mean(F.col("h")) + 0.5).alias("speed"))
 
 
 @register("corridor_times", """
@@ -185,9 +210,11 @@ def q_weighted(spark, sf_dir):
     return stats.weighted_percentiles(rows, ["event_type"], "v", "w", [0.15, 0.5, 0.85])
 
 
-@register("median_5min", "SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS bin, round(median(value), 4) AS median, count(*) AS n FROM events GROUP BY ALL", "E3")
+@register("median_5min", "SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) AS bin, round(median(value), 4) AS median, count(*) AS n FROM events GROUP BY ALL", "E3")
 def q_median(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("event_type", floor_bin("ts", 60).alias("bin")).agg(F.round(F.percentile("value", F.lit(0.5)), 4).alias("median"), F.count("*").alias("n"))
+    e = table(spark, sf_dir, "events").select("event_type", floor_bin("ts", 5).alias("bin"), "value")
+    n = e.groupBy("event_type", "bin").agg(F.count("*").alias("n"))
+    return n.join(stats.percentiles(e, ["event_type", "bin"], "value", {"median": 0.5}), ["event_type", "bin"]).select("event_type", "bin", F.round("median", 4).alias("median"), "n")
 
 
 @register("z_scores", f"""
@@ -200,20 +227,21 @@ def q_z(spark, sf_dir):
 
 
 @register("without_outliers", """
-    WITH s AS (SELECT event_type, hour(ts) AS hr, avg(value) AS m, coalesce(stddev_samp(value), 0) AS sd FROM events GROUP BY ALL)
-    SELECT e.event_type, s.hr, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events e JOIN s ON s.event_type = e.event_type AND s.hr = hour(e.ts) WHERE abs(value - m) <= 1.5 * sd GROUP BY ALL""", "C18 Q14")
+    WITH s AS (SELECT event_type, hour(ts) AS hr, avg(value) AS m, stddev_samp(value) AS sd FROM events GROUP BY ALL)
+    SELECT e.event_type, s.hr, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events e JOIN s ON s.event_type = e.event_type AND s.hr = hour(e.ts) WHERE abs(value - m) < 1.5 * sd GROUP BY ALL""", "C18 Q14")
 def q_outliers(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("hr", F.hour("ts"))
     return stats.without_outliers(e, ["event_type", "hr"], "value").groupBy("event_type", "hr").agg(F.count("*").alias("n"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"))
 
 
 @register("lookback_check", """
-    WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n, isodow(ts) > 5 AS kind FROM events GROUP BY ALL),
-    m AS (SELECT a.day, a.n, avg(b.n) AS mean FROM d a LEFT JOIN d b ON a.kind = b.kind AND b.day < a.day AND b.day >= a.day - 14 GROUP BY ALL)
-    SELECT day, n, CAST(floor(0.95 * mean) AS BIGINT) AS expected, coalesce(n >= floor(0.95 * mean), true) AS ok FROM m""", "E7 E10")
+    WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n, isodow(ts) > 5 OR CAST(ts AS DATE) IN (DATE '2024-01-01', DATE '2024-01-15') AS kind, CASE WHEN CAST(ts AS DATE) IN (DATE '2024-01-01', DATE '2024-01-15') THEN 0.5 ELSE 0.95 END AS thr FROM events GROUP BY ALL),
+    m AS (SELECT a.day, a.n, a.thr, avg(b.n) AS mean FROM d a LEFT JOIN d b ON a.kind = b.kind AND b.day < a.day AND b.day >= a.day - 14 GROUP BY ALL)
+    SELECT day, n, CAST(floor(thr * mean) AS BIGINT) AS expected, coalesce(n >= floor(thr * mean), true) AS ok FROM m""", "E7 E10")
 def q_lookback(spark, sf_dir):
     d = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
-    return stats.lookback_check(d, "day", "n", 14, 0.95, is_weekend("day"))
+    holiday = F.col("day").isin([F.lit(x).cast("date") for x in HOLIDAYS])
+    return stats.lookback_check(d, "day", "n", 14, 0.95, is_weekend("day") | holiday, holiday)
 
 
 @register("sensor_set_check", "SELECT DISTINCT user_id FROM events WHERE ts < TIMESTAMP '2024-01-15' EXCEPT SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-29'", "E8")
@@ -224,11 +252,16 @@ def q_sensor_set(spark, sf_dir):
 
 
 @register("movement_monitor", """
-    WITH m AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL)
-    SELECT user_id, event_type, n, CAST(sum(n) OVER (PARTITION BY user_id) AS BIGINT) AS total FROM m QUALIFY n > 0.25 * sum(n) OVER (PARTITION BY user_id) AND n > 5""", "C16")
+    WITH m AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 100 DAY GROUP BY ALL), t AS (SELECT *, CAST(sum(n) OVER (PARTITION BY user_id) AS BIGINT) AS total FROM m)
+    SELECT user_id, event_type, n, total FROM t WHERE n > 0.005 * total AND n > 10 AND NOT (user_id % 10 = 0 AND event_type = 'click')""", "C16")
 def q_monitor(spark, sf_dir):
-    m = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n")).withColumn("total", F.sum("n").over(Window.partitionBy("user_id")))
-    return m.where("n > 0.25 * total and n > 5")
+    """Movements that count for much over 100 days and aren't on the list of those to be ignored."""
+    e = table(spark, sf_dir, "events")
+    last = e.agg(F.max("ts").alias("last"))
+    recent = e.join(F.broadcast(last)).where("ts >= last - INTERVAL 100 DAYS")
+    ignored = e.select("user_id").distinct().where("user_id % 10 = 0").withColumn("event_type", F.lit("click"))
+    m = recent.groupBy("user_id", "event_type").agg(F.count("*").alias("n")).withColumn("total", F.sum("n").over(Window.partitionBy("user_id")))
+    return m.where("n > 0.005 * total and n > 10").join(ignored, ["user_id", "event_type"], "left_anti")
 
 
 _OLD, _NEW = "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 10 <> 3", "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 1 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 10 <> 7"
@@ -239,7 +272,7 @@ def _batches(spark, sf_dir):
     return o.where("o_orderkey % 10 <> 3"), o.where("o_orderkey % 10 <> 7").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 4 == 1, "X").otherwise(F.col("o_orderstatus")))
 
 
-@register("upsert", f"WITH o AS ({_OLD}), n AS ({_NEW}) SELECT * FROM n UNION ALL SELECT * FROM o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM n)", "A17 G6 ON CONFLICT MERGE")
+@register("upsert", f"WITH o AS ({_OLD}), n AS ({_NEW}) SELECT * FROM n UNION ALL SELECT * FROM o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM n)", "A17 ON CONFLICT DO UPDATE")
 def q_upsert(spark, sf_dir):
     return changes.upsert(*_batches(spark, sf_dir), ["o_orderkey"])
 
@@ -247,7 +280,7 @@ def q_upsert(spark, sf_dir):
 @register("audit_log", f"""
     WITH o AS ({_OLD}), n AS ({_NEW}) SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey, CASE WHEN o.o_orderkey IS NULL THEN 'I' WHEN n.o_orderkey IS NULL THEN 'D' ELSE 'U' END AS action,
       CASE WHEN o.o_orderkey IS NOT NULL AND n.o_orderkey IS NOT NULL THEN 'o_orderstatus' ELSE '' END AS changed
-    FROM o FULL JOIN n ON o.o_orderkey = n.o_orderkey WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL OR o.o_orderstatus <> n.o_orderstatus""", "G1 C14")
+    FROM o FULL JOIN n ON o.o_orderkey = n.o_orderkey WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL OR o.o_orderstatus <> n.o_orderstatus""", "G1")
 def q_audit(spark, sf_dir):
     return changes.audit(*_batches(spark, sf_dir), ["o_orderkey"]).withColumn("changed", F.array_join("changed", ","))
 
@@ -273,11 +306,12 @@ def q_snapshot(spark, sf_dir):
 
 
 @register("fuzzy_match", """
-    WITH a AS (SELECT p_partkey, upper(p_name) AS name FROM part WHERE p_size <= 10), b AS (SELECT DISTINCT upper(p_name) AS target FROM part WHERE p_size > 40)
-    SELECT p_partkey, arg_min(target, (levenshtein(name, target), target)) AS target, min(levenshtein(name, target)) AS distance FROM a JOIN b ON levenshtein(name, target) < 4 GROUP BY 1""", "D8 levenshtein")
+    WITH a AS (SELECT p_partkey, upper(p_name) AS name FROM part), b AS (SELECT DISTINCT upper(substr(p_name, 2)) AS target FROM part), d AS (SELECT DISTINCT name FROM a),
+    m AS (SELECT name, arg_min(target, (levenshtein(name, target), target)) AS target, min(levenshtein(name, target)) AS distance FROM d JOIN b ON abs(length(name) - length(target)) < 4 AND levenshtein(name, target) < 4 GROUP BY 1)
+    SELECT p_partkey, target, distance FROM a JOIN m USING (name)""", "D8 levenshtein")
 def q_fuzzy(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select("p_partkey", F.upper("p_name").alias("name"), "p_size")
-    return best_matches(p.where("p_size <= 10").select("p_partkey", "name"), p.where("p_size > 40").select(F.col("name").alias("target")).distinct(), "p_partkey", "name", "target", 3)
+    p = table(spark, sf_dir, "part")
+    return best_matches(p.select("p_partkey", F.upper("p_name").alias("name")), p.select(F.upper(F.expr("substr(p_name, 2)")).alias("target")).distinct(), "p_partkey", "name", "target", 3)
 
 
 @register("street_abbreviations", "SELECT n_nationkey, 'Nation ' || n_nationkey || ' St E' AS street FROM nation", "F1")
@@ -291,7 +325,7 @@ _XY = "-79.6 + (c_custkey % 400) / 1000.0 AS lon, 43.55 + (c_custkey % 300) / 10
 @register("haversine_near", f"""
     WITH p AS (SELECT c_custkey, {_XY} FROM customer)
     SELECT c_custkey, round(2 * 6371008.8 * asin(sqrt(pow(sin(radians(lat - 43.65) / 2), 2) + cos(radians(43.65)) * cos(radians(lat)) * pow(sin(radians(lon + 79.38) / 2), 2))), 3) AS metres FROM p
-    WHERE 2 * 6371008.8 * asin(sqrt(pow(sin(radians(lat - 43.65) / 2), 2) + cos(radians(43.65)) * cos(radians(lat)) * pow(sin(radians(lon + 79.38) / 2), 2))) < 9000""", "ST_Distance ST_DWithin F16")
+    WHERE 2 * 6371008.8 * asin(sqrt(pow(sin(radians(lat - 43.65) / 2), 2) + cos(radians(43.65)) * cos(radians(lat)) * pow(sin(radians(lon + 79.38) / 2), 2))) < 9000""", "ST_Distance ST_DWithin")
 def q_near(spark, sf_dir):
     p = _points(spark, sf_dir).withColumn("metres", geo.haversine(F.col("lon"), F.col("lat"), F.lit(-79.38), F.lit(43.65)))
     return p.where("metres < 9000").select("c_custkey", F.round("metres", 3).alias("metres"))
@@ -313,7 +347,7 @@ def q_polygon(spark, sf_dir):
     return _points(spark, sf_dir).where(geo.in_polygon(F.col("lon"), F.col("lat"), WARD)).select("c_custkey")
 
 
-@register("azimuths", f"WITH p AS (SELECT c_custkey, {_XY} FROM customer) SELECT c_custkey, round((degrees(atan2((lon + 79.38) * cos(radians(43.65)), lat - 43.65)) + 360) % 360, 5) AS azimuth FROM p", "ST_Azimuth F12")
+@register("azimuths", f"WITH p AS (SELECT c_custkey, {_XY} FROM customer) SELECT c_custkey, round((degrees(atan2((lon + 79.38) * cos(radians(43.65)), lat - 43.65)) + 360) % 360, 5) AS azimuth FROM p", "ST_Azimuth")
 def q_azimuth(spark, sf_dir):
     return _points(spark, sf_dir).select("c_custkey", F.round(geo.azimuth(F.lit(-79.38), F.lit(43.65), F.col("lon"), F.col("lat")), 5).alias("azimuth"))
 
@@ -326,33 +360,21 @@ def q_edges(spark, sf_dir):
     return both_ways(e, "oneway")
 
 
-@register("intersection_degrees", "SELECT node, count(*) AS degree, min(o) AS first_key FROM (SELECT c_nationkey AS node, c_custkey AS o FROM customer UNION ALL SELECT c_custkey % 25, c_custkey FROM customer) GROUP BY 1", "F13")
+@register("intersection_degrees", "SELECT node, count(*) AS degree, min(o) AS first_key FROM (SELECT c_nationkey AS node, c_custkey AS o FROM customer UNION ALL SELECT c_custkey % 25, c_custkey FROM customer) GROUP BY 1")
 def q_degrees(spark, sf_dir):
     ends = F.explode(F.array(F.col("c_nationkey").cast("long"), F.col("c_custkey") % 25)).alias("node")
     return table(spark, sf_dir, "customer").select(ends, "c_custkey").groupBy("node").agg(F.count("*").alias("degree"), F.min("c_custkey").alias("first_key"))
 
 
-@register("shortest_paths", """
-    WITH RECURSIVE e AS (SELECT o_custkey % 40 AS a, o_orderkey % 40 AS b, min(CAST(o_totalprice AS BIGINT) % 900 + 100) AS cost FROM orders WHERE o_orderkey % 9 = 0 AND o_custkey % 40 <> o_orderkey % 40 GROUP BY 1, 2),
-    p(node, cost, hops) AS (SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), 0 UNION SELECT e.b, p.cost + e.cost, p.hops + 1 FROM p JOIN e ON e.a = p.node WHERE p.hops < 4)
-    SELECT node, min(cost) AS cost FROM p GROUP BY node""", "F7 pgr_dijkstra")
-def q_paths(spark, sf_dir):
-    from curbline.operators.routing import distances
-
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 9 = 0 AND o_custkey % 40 <> o_orderkey % 40")
-    edges = o.groupBy((F.col("o_custkey") % 40).alias("source"), (F.col("o_orderkey") % 40).alias("target")).agg(F.min(F.round("o_totalprice").cast("long") % 900 + 100).alias("cost"))
-    return distances(edges, spark.createDataFrame([(0,)], "node long"), rounds=4).select("node", "cost")
-
-
 def path_edges(spark, sf_dir):
     o = table(spark, sf_dir, "orders").where("o_custkey % 40 <> o_orderkey % 40")
     return o.groupBy((F.col("o_custkey") % 40).alias("source"), (F.col("o_orderkey") % 40).alias("target")).agg(F.min(F.round("o_totalprice").cast("long") % 900 + 100).alias("cost"))
 
 
-@register("shortest_paths_whole", covers="F7 pgr_dijkstra")
-def q_paths_whole(spark, sf_dir):
-    """All edges and routes of any length; held against a search of the whole graph by tests."""
-    from curbline.operators.routing import distances
-    from curbline.session import checkpointed
-
+@register("shortest_paths", """
+    WITH RECURSIVE e AS (SELECT o_custkey % 40 AS a, o_orderkey % 40 AS b, min(CAST(round(o_totalprice) AS BIGINT) % 900 + 100) AS cost FROM orders WHERE o_custkey % 40 <> o_orderkey % 40 GROUP BY 1, 2),
+    p(node, cost) USING KEY (node) AS (SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT) UNION SELECT e.b, min(p.cost + e.cost) FROM p JOIN e ON e.a = p.node LEFT JOIN recurring.p r ON r.node = e.b WHERE r.cost IS NULL OR p.cost + e.cost < r.cost GROUP BY e.b)
+    SELECT node, cost FROM p""", "F7 pgr_dijkstra")
+def q_paths(spark, sf_dir):
+    """All edges and routes of any length."""
     return distances(checkpointed(path_edges(spark, sf_dir)), spark.createDataFrame([(0,)], "node long")).select("node", "cost")

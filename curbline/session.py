@@ -3,6 +3,7 @@
 import atexit
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,13 +17,19 @@ def session(app: str = "curbline", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that executors share (``spark.checkpoint.dir``); a local one is made only where none is set."""
+    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        local = tempfile.mkdtemp(prefix="curbline-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        at = f"file://{local}"
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written into the checkpoint folder that executors share; a local one is made only where none is set."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        at = sc.getConf().get("spark.checkpoint.dir")
-        if not at:
-            at = tempfile.mkdtemp(prefix="curbline-")
-            atexit.register(shutil.rmtree, at, ignore_errors=True)
-        sc.setCheckpointDir(at)
-    return df.checkpoint()
+    """``df`` written into the shared folder and read back: computed once, and lineage ends there."""
+    at = f"{shared_folder(df.sparkSession)}/step-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)

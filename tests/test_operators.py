@@ -4,9 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from curbline.functions import geometry as geo
 from curbline.functions.streets import abbreviate, title_case
-from curbline.operators import changes, gaps, ranges, reshape, routing, stats
+from curbline.operators import changes, gaps, numbering, ranges, reshape, routing, stats
 
 T = lambda s: dt.datetime.fromisoformat(s)
 
@@ -49,24 +48,41 @@ def test_asof_boundary_ties_and_missing(spark):
     assert rows(ranges.asof_join(facts, dims, "k", "at", "since", ["v"]), "name", "v") == [("n", None), ("x", "v3"), ("y", "v1"), ("z", None)]
 
 
+def test_asof_end_of_validity(spark):
+    facts = spark.createDataFrame([(1, k) for k in range(0, 14)], "k int, at int")
+    dims = spark.createDataFrame([(1, 1, 12, "long"), (1, 4, 6, "short"), (1, 5, 5, "none"), (1, 9, None, "open")], "k int, since int, until int, v string")
+    got = dict(rows(ranges.asof_join(facts, dims, "k", "at", "since", ["v"], "until"), "at", "v"))
+    assert got == {0: None, **dict.fromkeys((1, 2, 3, 6, 7, 8), "long"), 4: "short", 5: "short", **dict.fromkeys(range(9, 14), "open")}
+
+
 def test_wildcards(spark):
-    facts = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, "c")], "k int, c string")
-    rules = spark.createDataFrame([(1, None), (None, "c"), (2, "b")], "k int, c string")
-    assert rows(ranges.wildcard_anti(facts, rules, ["k", "c"]), "k", "c") == [(2, "a")]
-    assert ranges.wildcard_anti(facts, rules.where("k > 99"), ["k", "c"]).count() == 4
+    day = lambda n: T(f"2024-01-{n:02}T12:00")
+    facts = spark.createDataFrame([(1, "a", day(2)), (1, "b", day(9)), (2, "a", day(2)), (3, "c", day(2)), (2, "a", day(20)), (2, "a", None)], "k int, c string, ts timestamp_ntz")
+    rules = spark.createDataFrame([(1, None, day(1), day(5)), (None, "c", day(1), None), (2, "b", day(1), None), (None, None, day(19), day(20)), (None, None, day(20), day(22))], "k int, c string, lo timestamp_ntz, hi timestamp_ntz")
+    assert rows(ranges.wildcard_anti(facts, rules, ["k", "c"], "ts"), "k", "c", "ts") == [(1, "b", day(9)), (2, "a", None), (2, "a", day(2))]
+    none = rules.where("k > 99")
+    assert ranges.wildcard_anti(facts, none, ["k", "c"], "ts").count() == 6
+    plan = ranges.wildcard_anti(facts, rules, ["k", "c"], "ts")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan.replace("BroadcastNestedLoopJoin BuildRight, Cross", "").replace("BroadcastNestedLoopJoin BuildLeft, Cross", "").replace("BroadcastNestedLoopJoin BuildRight, Inner", "")
 
 
 def test_replacement_chain_of_three(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (9, 8)], "a int, b int")
     assert rows(ranges.resolve_chain(links, "a", "b"), "old", "current", "hops") == [(1, 4, 3), (2, 4, 2), (3, 4, 1), (9, 8, 1)]
+    circle = spark.createDataFrame([(1, 2), (2, 3), (3, 2), (7, None), (8, 7)], "a int, b int")
+    assert rows(ranges.resolve_chain(circle, "a", "b"), "old", "current", "hops", "cyclic") == [(1, None, None, True), (2, None, None, True), (3, None, None, True), (7, 7, 0, False), (8, 7, 1, False)]
 
 
 def test_upsert_audit_quarantine(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
     new = spark.createDataFrame([(2, "c"), (3, None), (None, "m")], "k int, v string")
     assert rows(changes.upsert(old, new, ["k"]), "k", "v") == [(1, "a"), (2, "c"), (3, None), (None, "m")]
-    log = changes.audit(old.where("k is not null"), new.where("k is not null").unionByName(old.where("k = 1")), ["k"])
-    assert rows(log, "k", "action", "changed") == [(2, "U", ["v"]), (3, "I", [])]
+    log = changes.audit(old, new.unionByName(old.where("k = 1")), ["k"])
+    assert rows(log, "k", "action", "changed") == [(2, "U", ["v"]), (3, "I", []), (None, "U", ["v"])]
+    assert changes.audit(old, old, ["k"]).count() == 0  # a null key is the same key
+    gone = changes.merge(old, new, ["k"], delete_matched=F.col("v") == "c", delete_absent=F.col("v") == "a")
+    assert rows(gone, "k", "v") == [(3, None), (None, "m")]
+    assert rows(changes.insert_new(old, new, ["k"]), "k", "v") == [(1, "a"), (2, "b"), (3, None), (None, "n")]
     good, bad = changes.quarantine(new.unionByName(new.where("k = 2")), ["k"])
     assert good.count() == 2 and bad.count() == 2
 
@@ -80,7 +96,7 @@ def test_movements_enter_and_leave(spark):
 def test_half_hours_follow_the_trend(spark):
     b = spark.createDataFrame([(1, T("2024-01-01T00:00"), 10.0), (1, T("2024-01-01T00:30"), 20.0), (1, T("2024-01-01T01:00"), 40.0)], "k int, bin timestamp_ntz, v double")
     got = [v for _, v in rows(reshape.split_half_hours(b, "k", "bin", "v"), "bin", "v")]
-    assert got == [5.0, 5.0, 7.5, 12.5, 20.0, 20.0]
+    assert [round(v, 3) for v in got] == [3.333, 6.667, 7.5, 12.5, 13.333, 26.667]
 
 
 def test_interpolation_leaves_ends(spark):
@@ -95,17 +111,29 @@ def test_weighted_percentile_and_harmonic(spark):
 
 
 def test_streets(spark):
-    names = ["Queen Street West", "The West Green", "Avenue Road", "  Lake  Shore Boulevard East"]
+    names = ["Queen Street West", "The West Green", "Avenue Road", "Lake Shore Boulevard East", "Elm Grove Avenue", "Oak Park Gate (north side)", "Mount Pleasant Road", "Bay Avenue East", "Elm Road Crescent"]
     got = [r[0] for r in spark.createDataFrame([(n,) for n in names], "n string").select(abbreviate(F.col("n"))).collect()]
-    assert got == ["Queen St W", "The West Green", "Avenue Rd", "Lake Shore Blvd E"]
-    assert spark.range(1).select(title_case(F.lit("UPPER-LOWER square"))).first()[0] == "Upper-Lower Square"
-
-
-def test_lines():
-    line = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)]
-    assert geo.locate(line, 1.0, 0.5) == 0.75
-    assert geo.substring(line, 0.25, 0.75) == [(0.5, 0.0), (1.0, 0.0), (1.0, 0.5)]
-    assert geo.decode_polyline("_p~iF~ps|U_ulLnnqC_mqNvxq`@") == [(-120.2, 38.5), (-120.95, 40.7), (-126.453, 43.252)]
+    assert got == ["Queen St W", "The West Green", "Avenue Rd", "Lake Shore Blvd E", "Elm Grove Ave", "Oak Park Gt ", "Mount Pleasant Rd", "Bay Ave E", "Elm Road Cres"]
+    titles = spark.range(1).select(title_case(F.lit("UPPER-LOWER square")), title_case(F.lit("a POINT 5 METRES north west of o'brien ST")))
+    assert tuple(titles.first()) == ("Upper-Lower Square", "A point 5 m Northwest of O'Brien St")
+
+
+def test_serial_numbers_and_percentiles(spark):
+    import random
+    import statistics
+
+    rnd = random.Random(1)
+    data = [(rnd.choice(["a", "b", None]), rnd.choice([None, *range(40)])) for _ in range(500)] + [("c", 7), ("d", None)]
+    df = spark.createDataFrame([(k, g, v) for k, (g, v) in enumerate(data)], "id long, g string, v int").repartition(5)
+    numbered = rows(numbering.serial(df, ["id"], "n", 10), "id", "n")
+    assert sorted(numbered) == [(k, k + 10) for k in range(len(data))]
+    got = {r.g: (r.p0, r.p37, r.p50, r.p100) for r in stats.percentiles(df, ["g"], "v", {"p0": 0.0, "p37": 0.37, "p50": 0.5, "p100": 1.0}).collect()}
+    for g in ("a", "b", "c", None):
+        some = sorted(v for k, v in data if k == g and v is not None)
+        place = 0.37 * (len(some) - 1)
+        at = some[int(place)] + (place - int(place)) * (some[min(int(place) + 1, len(some) - 1)] - some[int(place)])
+        assert got[g] == (some[0], at, statistics.median(some), some[-1]) or abs(got[g][1] - at) < 1e-9
+    assert got.keys() == {"a", "b", "c", None}
 
 
 def test_routes():

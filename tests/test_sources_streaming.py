@@ -74,10 +74,17 @@ def test_stream_equals_batch(spark, tmp_path):
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     n = F.count("*")
     binned.to_table(binned.binned(stream, "ts", ["event_type"], 15, "40 days", n=n), str(tmp_path / "out"), str(tmp_path / "c1")).awaitTermination()
-    query = binned.merged(stream, str(tmp_path / "m"), ["event_id"], str(tmp_path / "c2"))
+    query = binned.merged(stream, str(tmp_path / "m"), ["event_type"], "event_id", str(tmp_path / "c2"), parts=3)
     query.awaitTermination()
-    last = query.lastProgress["batchId"]
-    assert spark.read.parquet(f"{tmp_path}/m/v={last}").count() == events.count()
+    want = {r.event_type: r.event_id for r in events.groupBy("event_type").agg(F.max("event_id").alias("event_id")).collect()}
+    got = binned.current(spark, str(tmp_path / "m"))
+    assert got.count() == 5 and got.select("event_type").distinct().count() == 5 and {r.event_type for r in got.collect()} == want.keys()
+    # another batch with one kind writes its part only
+    more = events.where("event_type = 'click'").limit(1).withColumn("event_id", F.lit(10**9))
+    more.write.mode("append").parquet(str(tmp_path / "in"))
+    binned.merged(stream, str(tmp_path / "m"), ["event_type"], "event_id", str(tmp_path / "c2"), parts=3).awaitTermination()
+    assert {r.event_type: r.event_id for r in binned.current(spark, str(tmp_path / "m")).collect()}["click"] == 10**9
+    assert binned.tidy(spark, str(tmp_path / "m")) > 0 and binned.current(spark, str(tmp_path / "m")).count() == 5
     twice = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
     binned.to_table(binned.first_wins(twice, "ts", ["event_type"], "60 days"), str(tmp_path / "f"), str(tmp_path / "c3")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "f")).count() == 5
