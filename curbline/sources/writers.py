@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,11 +19,13 @@ def snapshot(df: DataFrame, path: str, version: str) -> None:
 
 
 def replicate(source: DataFrame, path: str) -> int:
-    """Copies a table: the source must have rows, and the copy as many."""
-    n = source.count()
-    if not n:
+    """Copies a table, read once: the copy must have rows, and as many as were read."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    source.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    if not (n := seen.get["n"]):
         raise ValueError("the source is empty")
-    source.write.mode("overwrite").parquet(path)
     if (copied := source.sparkSession.read.parquet(path).count()) != n:
         raise ValueError(f"{copied} of {n} rows arrived")
     return n
@@ -38,3 +40,21 @@ def feature_collection(df: DataFrame, lon: str, lat: str, properties: Sequence[s
     feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates")).alias("geometry"), F.struct(*properties).alias("properties"))
     features = df.agg(F.array_sort(F.collect_list(feature)).alias("features"))
     return features.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("geojson"))
+
+
+def retained(spark, path: str, partition: str, since: str) -> int:
+    """Deletes a table's partitions (dates) before ``since``; returns how many are left."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    left = 0
+    for folder in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}=*")) or ():
+        if folder.getPath().getName().split("=", 1)[1] < since:
+            files.delete(folder.getPath(), True)
+        else:
+            left += 1
+    return left
+
+
+def routed(df: DataFrame, path: str, route: Column, name: str = "route") -> None:
+    """Inserts rows into the table's parts that a rule sends them to."""
+    df.withColumn(name, route).repartition(name).write.mode("append").partitionBy(name).parquet(path)
