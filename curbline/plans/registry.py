@@ -31,5 +31,5 @@ def register(name: str, sql: str | None = None, covers: str = ""):
     return add
 
 
-for _module in ("timeseries", "relational", "scalars", "traffic", "network", "spatial", "loading"):
+for _module in ("timeseries", "relational", "scalars", "traffic", "network", "spatial", "loading", "summaries"):
     importlib.import_module(f"curbline.plans.{_module}")
