@@ -10,10 +10,11 @@ successors themselves made monotone by adding each context's rank times the voca
 words; those of the second are places of the first. A query finds its context's range by the pointers and then the
 first stored value at or after the successor, relative to the context (successor search in one Elias-Fano bucket).
 
-Smoothing: P(w|v) = (c(vw) + m(c(v)) * P(w)) / (c(v) + m(c(v))), P(w|uv) = (c(uvw) + k(c(uv)) * P(w|v)) / (c(uv) + k(c(uv)))
-for pairs uv met ``LEAST_PAIR`` times at least, else P(w|v); m(c) = ``PRIOR`` * c ** ``GROWTH``, k likewise by
-``PAIR_PRIOR`` and ``PAIR_GROWTH``, and P(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1)), so that each context's distribution
-sums to one. Everything counted covers all training documents; vocabulary and levels grow with the corpus and stay in shards.
+Smoothing: P(w|v) = (c(vw) + m(c(v)) * P(w)) / (c(v) + m(c(v))); P(w|uv) = (t(uvw) + r(uv) * P(w|v)) / (c(uv) + k(c(uv))) for pairs uv
+met ``LEAST_PAIR`` times at least, else P(w|v). t is the count of trigrams met ``LEAST_TRIPLE`` times at least, which alone are
+stored, and 0 for others; r(uv) = k(c(uv)) and the counts of the others. m(c) = ``PRIOR`` * c ** ``GROWTH``, k likewise by
+``PAIR_PRIOR`` and ``PAIR_GROWTH``, and P(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1)), so that each context's distribution sums to
+one. Everything counted covers all training documents; vocabulary and levels grow with the corpus and stay in shards.
 
 Words are told apart by 64-bit hashes. Odd input: null text is empty and has the end only; a null id counts as an empty
 id text for the split; repeated rows are counted and scored each; an empty table gives an empty table; other columns
@@ -36,9 +37,9 @@ from curbline.llm.common import bucketed, dropped, written
 from curbline.llm.exchange import CHUNK as CHUNKS
 from curbline.llm.exchange import MESSAGE, buckets_of, chunked, messages, per_chunk, per_shard, repacked, shard_of, unpack
 
-#: Strength of the prior for a context met c times: PRIOR * c ** GROWTH; the same for pairs, and their least count.
+#: Strength of the prior for a context met c times: PRIOR * c ** GROWTH; the same for pairs, and least counts of pairs as contexts and of stored trigrams. Set on held-out text of the smaller tables.
 PRIOR, GROWTH = 3.0, 0.85
-PAIR_PRIOR, PAIR_GROWTH, LEAST_PAIR = 3.0, 0.6, 2
+PAIR_PRIOR, PAIR_GROWTH, LEAST_PAIR, LEAST_TRIPLE = 1.0, 0.6, 2, 2
 #: Tokens of a context for each residue class of its successors.
 CONTEXT_TOKENS = 1 << 16
 #: Steps of the probability code per unit of log10.
@@ -139,16 +140,13 @@ class Level:
     """N-grams of one order: contexts, pointers, context-relative successors, and codes of probabilities and back-offs."""
 
     @staticmethod
-    def pack(context: np.ndarray, successor: np.ndarray, codes: np.ndarray, backoff: np.ndarray, vocabulary: int, universe: int) -> bytes:
-        """From pairs sorted by context (under ``universe``) and successor; ``backoff`` has a code for each context."""
-        new = np.ones(len(context), bool)
-        new[1:] = context[1:] != context[:-1]
-        rank = np.cumsum(new) - 1
-        first = np.flatnonzero(new)
-        pointers = np.append(first, len(context))
-        relative = rank.astype(np.uint64) * np.uint64(vocabulary) + successor.astype(np.uint64)
-        body = b"".join([EliasFano.pack(context[first], universe), EliasFano.pack(pointers, len(context) + 1), EliasFano.pack(relative, len(first) * vocabulary), codes.astype("<u2").tobytes(), backoff.astype("<u2").tobytes()])
-        return np.array([vocabulary, len(context), len(first), len(body)], "<i8").tobytes() + body + bytes(-len(body) % 8)
+    def pack(context: np.ndarray, successor: np.ndarray, codes: np.ndarray, backoff: np.ndarray, vocabulary: int, universe: int, contexts: np.ndarray | None = None) -> bytes:
+        """From pairs sorted by context (under ``universe``) and successor; ``backoff`` has a code for each of ``contexts``, or for each that has pairs."""
+        contexts = np.unique(context) if contexts is None else contexts
+        pointers = np.append(np.searchsorted(context, contexts), len(context))
+        relative = np.searchsorted(contexts, context).astype(np.uint64) * np.uint64(vocabulary) + successor.astype(np.uint64)
+        body = b"".join([EliasFano.pack(contexts, universe), EliasFano.pack(pointers, len(context) + 1), EliasFano.pack(relative, len(contexts) * vocabulary), codes.astype("<u2").tobytes(), backoff.astype("<u2").tobytes()])
+        return np.array([vocabulary, len(context), len(contexts), len(body)], "<i8").tobytes() + body + bytes(-len(body) % 8)
 
     def __init__(self, buffer, offset: int = 0):
         self.vocabulary, n, contexts, size = (int(x) for x in np.frombuffer(buffer, "<i8", 4, offset))
@@ -200,10 +198,10 @@ def decode_log(code: np.ndarray) -> np.ndarray:
     return code.astype(np.float64) / -STEPS
 
 
-def smoothed(count, total, lower, prior: float, growth: float) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the probability of successors met ``count`` times after a context met ``total`` times, and of the context's back-off."""
+def smoothed(count, total, lower, prior: float, growth: float, rest=0) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the probability of successors met ``count`` times after a context met ``total`` times, ``rest`` of them before successors that aren't stored, and of the context's back-off."""
     m = prior * total.astype(np.float64) ** growth
-    return encode_log((count + m * 10 ** decode_log(lower)) / (total + m)), encode_log(m / (total + m))
+    return encode_log((count + (rest + m) * 10 ** decode_log(lower)) / (total + m)), encode_log((rest + m) / (total + m))
 
 
 def held_out(id_: int | None, folds: int = 5, fold: int = 1) -> bool:
@@ -354,7 +352,7 @@ def _distinct(context: np.ndarray, successor: np.ndarray, times: np.ndarray):
 
 
 def pairs_level(vocabulary: int):
-    """First level of a shard: built from its messages, written (under chunk -2, with the counts of the pairs that are contexts of the second), and asked for each message's pairs: their codes, and whether they are contexts."""
+    """First level of a shard: built from its messages, kept (under chunk -2, with the counts of the pairs that are contexts of the second), and asked for each message's pairs: their codes, and whether they are contexts."""
 
     def run(_: int, chunks: list[int], blobs: list[bytes]) -> list[tuple[int, bytes]]:
         parts = [_unpack(b, ("<u4",), ("<u4", "<u2")) for b in blobs]
@@ -376,14 +374,12 @@ def pairs_level(vocabulary: int):
     return run
 
 
-def triples_level(_: int, chunks: list[int], blobs: list[bytes]) -> list[tuple[int, bytes]]:
-    """Second level of a shard, below its first (the message of chunk -2): built, written (under chunk -3) and asked likewise."""
-    if len(blobs) == 1:
-        return []
-    pairs = Level(buffer := mapped(blobs[0]))
+def triples_level(chunks: list[int], blobs: list[bytes], first_level: bytes) -> list[tuple[int, bytes]]:
+    """Second level of a shard, below its first: built, kept (under chunk -3) and asked likewise."""
+    pairs = Level(buffer := mapped(first_level))
     contexts = EliasFano(buffer, pairs.end)
     counts = np.frombuffer(buffer, "<u4", contexts.n, contexts.end)
-    parts = [_unpack(b, ("<u4",), ("<u4", "<u2")) for b in blobs[1:]]
+    parts = [_unpack(b, ("<u4",), ("<u4", "<u2")) for b in blobs]
     u, v = (np.concatenate(x) for x in zip(*[h for h, _ in parts]))
     w, times, lower = (np.concatenate(x) for x in zip(*[t for _, t in parts]))
     sizes = [len(t[0]) for _, t in parts]
@@ -392,13 +388,18 @@ def triples_level(_: int, chunks: list[int], blobs: list[bytes]) -> list[tuple[i
     place = pairs.find((pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64))[1]
     place, w, n, first, which = _distinct(place[which], w, times)
     lower = lower[first]
-    seen = np.flatnonzero(n)
-    total = counts[contexts.successor(place[seen])].astype(np.int64)
-    code, backoff = smoothed(n[seen], total, lower[seen], PAIR_PRIOR, PAIR_GROWTH)
-    starts = np.flatnonzero(np.diff(place[seen], prepend=-1))
-    blob = Level.pack(place[seen], w[seen], code, backoff[starts], pairs.vocabulary, len(pairs.codes))
+    # each context comes with at least one triple, if only one that isn't stored: its back-off is kept all the same
+    starts = np.flatnonzero(np.diff(place, prepend=-1))
+    number = np.cumsum(np.diff(place, prepend=-1) != 0) - 1
+    total = counts[contexts.successor(place[starts])].astype(np.int64)
+    stored = n >= LEAST_TRIPLE
+    rest = total - np.bincount(number, np.where(stored, n, 0), len(starts))
+    seen = np.flatnonzero(stored)
+    code, _ = smoothed(n[seen], total[number[seen]], lower[seen], PAIR_PRIOR, PAIR_GROWTH, rest[number[seen]])
+    _, backoff = smoothed(np.zeros(len(starts)), total, np.zeros(len(starts), "<u2"), PAIR_PRIOR, PAIR_GROWTH, rest)
+    blob = Level.pack(place[seen], w[seen], code, backoff, pairs.vocabulary, len(pairs.codes), place[starts])
     level = Level(mapped(blob))
-    return [*zip(chunks[1:], _split(sizes, level.score(place, w, lower)[which])), (-3, blob)]
+    return [*zip(chunks, _split(sizes, level.score(place, w, lower)[which])), (-3, blob)]
 
 
 def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -457,7 +458,8 @@ def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         base = encode_log(10 ** base_log(g.count))
         yield messages(c.number, by_context(g.edges, g.u, [g.id[g.u], g.count[g.u].astype("<u4")], [g.id[g.v], times, base[g.v]]))
 
-    answers = written(per_shard(per_chunk(chunks, send_pairs, MESSAGE), pairs_level(vocabulary)), "pairs")
+    # the trie's first level lies in buckets by shard, so it isn't moved to meet what the second is made of
+    answers = bucketed(per_shard(per_chunk(chunks, send_pairs, MESSAGE), pairs_level(vocabulary)), "pairs", "shard", buckets_of(raw))
     pair_codes = answers.where("chunk >= 0")
 
     def send_triples(c):
@@ -468,8 +470,14 @@ def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         u, v = g.id[g.u[g.triple_pair]], g.id[g.v[g.triple_pair]].astype("<u4")
         yield messages(c.number, by_context(g.triple_edges, g.triple_pair, [u, v], [g.id[g.w], times, g.lower]))
 
-    sent = per_chunk(chunks, send_triples, MESSAGE, pair_codes).unionByName(answers.where("chunk = -2"))
-    triple_codes = written(per_shard(sent, triples_level), "triples")
+    def below(levels: pa.Table, sent: pa.Table) -> pa.Table:
+        sent = sent.sort_by("chunk")
+        out = triples_level(sent.column("chunk").to_pylist(), sent.column("blob").to_pylist(), levels.column("blob")[0].as_py()) if len(sent) else []
+        shard = levels.column("shard")[0].as_py()
+        return pa.table([pa.array([shard] * len(out), pa.int64()), pa.array([c for c, _ in out], pa.int64()), pa.array([b for _, b in out], pa.binary())], names=["shard", "chunk", "blob"])
+
+    sent = per_chunk(chunks, send_triples, MESSAGE, pair_codes)
+    triple_codes = written(answers.where("chunk = -2").groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(below, MESSAGE), "triples")
 
     def add_up(c):
         g = Grams(c, shards)

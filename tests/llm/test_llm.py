@@ -483,10 +483,15 @@ def test_language_model(spark, odd, none, monkeypatch):
         prior = ngram_trie.PRIOR * count[v] ** ngram_trie.GROWTH
         return (pair[v, x] + prior * base(x)) / (count[v] + prior) if count[v] else base(x)
 
+    stored = collections.Counter({k: n for k, n in triple.items() if n >= ngram_trie.LEAST_TRIPLE})
+    kept = collections.Counter()
+    for (u, v, _), times in stored.items():
+        kept[u, v] += times
+
     def p(u, v, x):
         c = pair[u, v]
         prior = ngram_trie.PAIR_PRIOR * c**ngram_trie.PAIR_GROWTH
-        return (triple[u, v, x] + prior * p2(v, x)) / (c + prior) if u is not None and c >= ngram_trie.LEAST_PAIR else p2(v, x)
+        return (stored[u, v, x] + (c - kept[u, v] + prior) * p2(v, x)) / (c + prior) if u is not None and c >= ngram_trie.LEAST_PAIR else p2(v, x)
 
     key = lambda r: (str(r[0]), *r[1:])
     want = sorted(((i, out(i), len(w), sum(count[x] > 0 for x in w), n, sum(math.log10(base(x)) for x in w), sum(math.log10(p(u, v, x)) for u, v, x in zip([None, b"", *w], [b"", *w], w))) for i, w in rows), key=key)
