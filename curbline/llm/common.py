@@ -11,7 +11,8 @@ import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes that one Arrow batch carries to a Python worker (one longer row is a batch of its own).
 BATCH_BYTES = 2 << 20
@@ -72,6 +73,30 @@ def dropped(*tables: DataFrame) -> None:
         at.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def text_key(text: Column) -> Column:
+    """64 bits of a text's hash; null and empty texts are alike."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def rows_with(documents: DataFrame, id_col: str, text_col: str, stay: DataFrame, again: DataFrame | None = None) -> DataFrame:
+    """The rows of ``documents``, with all their columns, whose id and text (by its hash) are in ``stay`` (id, key).
+
+    Of rows that repeat both, one of those in ``again`` (id, key) stays; without it these are looked for. Nothing of the texts is
+    written for that: the join moves each row once."""
+    names = documents.columns
+    id_, key = F.col(f"`{id_col}`").cast("long").alias("_i"), text_key(F.col(f"`{text_col}`")).alias("_k")
+    stay = stay.toDF("_si", "_sk").distinct()
+    if again is None:
+        again = documents.select(id_, key).groupBy("_i", "_k").count().where("count > 1").drop("count")
+    again = written(again.toDF("_ai", "_ak").distinct(), "repeated")
+    wide = documents.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], id_, key)
+    kept = wide.join(stay, F.col("_i").eqNullSafe(F.col("_si")) & (F.col("_k") == F.col("_sk")), "left_semi")
+    if not again.isEmpty():
+        same = F.col("_i").eqNullSafe(F.col("_ai")) & (F.col("_k") == F.col("_ak"))
+        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["_i", "_k"]))
+    return kept.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of steps whose results are written: it does so once their plans are collected."""
     gc.collect()

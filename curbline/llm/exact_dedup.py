@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from curbline.llm.common import slices, small_batches, written
+from curbline.llm.common import dropped, rows_with, slices, small_batches, text_key, written
 
 #: Bytes that a worker's trie holds before it gives up a subtree, and what a node takes besides its label.
 TRIE_BYTES, NODE_BYTES = 96 << 20, 300
@@ -130,12 +130,10 @@ def normal(text: str | None) -> bytes:
     return (text or "").encode().lower()  # bytes.lower() changes A-Z only
 
 
-def local_groups(documents: DataFrame, id_col: str, text_col: str, keep: str, carry: Iterable[str] = ()) -> DataFrame:
-    """One row per slice of rows and distinct text in it, with the ids of its rows and the local owner's text and columns."""
+def local_groups(documents: DataFrame, id_col: str, text_col: str, keep: str) -> DataFrame:
+    """One row per slice of rows and distinct text in it, with the ids of its rows and the local owner's text."""
     small_batches(documents.sparkSession)
-    carry = list(carry)
-    carried = T.StructType([T.StructField(f"c{k}", documents.schema[c].dataType) for k, c in enumerate(carry)])
-    schema = T.StructType([T.StructField(n, t) for n, t in (("slice", T.LongType()), ("grp", T.LongType()), ("length", T.LongType()), ("hash", T.LongType()), ("text", T.StringType()), ("members", T.ArrayType(T.LongType())), ("owner_pos", T.LongType()), ("sha256", T.StringType()))] + list(carried))
+    schema = T.StructType([T.StructField(n, t) for n, t in (("slice", T.LongType()), ("grp", T.LongType()), ("length", T.LongType()), ("hash", T.LongType()), ("text", T.StringType()), ("members", T.ArrayType(T.LongType())), ("owner_pos", T.LongType()), ("sha256", T.StringType()))])
     arrow = to_arrow_schema(schema)
 
     def run(batches):
@@ -163,14 +161,11 @@ def local_groups(documents: DataFrame, id_col: str, text_col: str, keep: str, ca
                     pa.array([[ids[k] for k in rows] for rows in groups.values()], pa.list_(pa.int64())),
                     pa.array([rows.index(o) for o, rows in zip(owners, groups.values())], pa.int64()),
                     pa.array([hashlib.sha256(g).hexdigest() for g in groups], pa.string()),
-                    *[part.column(2 + k).take(pa.array(owners)) for k in range(len(carry))],
                 ]
                 number += 1
                 yield pa.RecordBatch.from_arrays([v.cast(f.type) for v, f in zip(values, arrow)], schema=arrow)
 
-    # columns of any name are told apart by position
-    chosen = documents.select(F.col(text_col).alias("t"), F.col(id_col).cast("long").alias("i"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(carry)])
-    return chosen.mapInArrow(run, schema)
+    return documents.select(F.col(f"`{text_col}`").alias("t"), F.col(f"`{id_col}`").cast("long").alias("i")).mapInArrow(run, schema)
 
 
 #: Rows of a pass. Filed: slice, grp and their terminal. Terminal: owner and size. Spilled: subtree, rest of the key, and either.
@@ -258,21 +253,27 @@ def owners(groups: DataFrame, keep: str, budget: int = TRIE_BYTES) -> DataFrame:
     return filed.join(ends, "terminal").drop("terminal")
 
 
+def _owned(documents: DataFrame, id_col: str, text_col: str, keep: str, budget: int, *more) -> DataFrame:
+    """Local groups with their owners, and ``more`` of the groups' columns, written; their texts are not."""
+    groups = written(local_groups(documents, id_col, text_col, keep), "exact-groups")
+    owned = owners(groups, keep, budget)
+    out = written(groups.select("slice", "grp", *more).join(owned, ["slice", "grp"]), "owned")
+    dropped(groups)
+    return out
+
+
 def dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", budget: int = TRIE_BYTES) -> DataFrame:
     """One row per document: (doc_id, keep_id, group_size, kept, text_sha256)."""
-    groups = written(local_groups(documents, id_col, text_col, keep), "exact-groups")
-    back = groups.select("slice", "grp", "members", "owner_pos", "sha256").join(owners(groups, keep, budget), ["slice", "grp"])
-    rows = back.select("*", F.posexplode("members").alias("pos", "doc_id"))
+    owned = _owned(documents, id_col, text_col, keep, budget, "members", "owner_pos", "sha256")
+    rows = owned.select("*", F.posexplode("members").alias("pos", "doc_id"))
     mine = (F.col("slice") == F.col("owner_slice")) & (F.col("grp") == F.col("owner_grp")) & (F.col("pos") == F.col("owner_pos"))
     return rows.select("doc_id", "keep_id", "group_size", mine.alias("kept"), F.col("sha256").alias("text_sha256"))
 
 
 def kept_rows(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
     """The rows of ``documents`` that stay, with all their columns."""
-    names = documents.columns
-    groups = written(local_groups(documents, id_col, text_col, keep, names), "exact-groups")
-    stay = owners(groups, keep).where("slice = owner_slice AND grp = owner_grp").select("slice", "grp")
-    return groups.join(stay, ["slice", "grp"], "left_semi").select(*[F.col(f"c{k}").alias(n) for k, n in enumerate(names)])
+    owned = _owned(documents, id_col, text_col, keep, TRIE_BYTES, text_key(F.col("text")).alias("key")).where("slice = owner_slice AND grp = owner_grp")
+    return rows_with(documents, id_col, text_col, owned.select("keep_id", "key"))
 
 
 def query(spark, sf_dir):

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from curbline.llm.common import dropped, slices, small_batches, written
+from curbline.llm.common import dropped, rows_with, slices, small_batches, written
 
 #: Words of an n-gram, least similarity in percent, candidates of a head that are compared together.
 WORDS, PERCENT, BLOCK = 4, 85, 256
@@ -608,16 +608,9 @@ def kept_rows(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The rows of ``documents`` that stay, with all their columns: of each group the row with the least id (nulls lose; ties by hash of the text, then any one), and all rows with an empty set."""
     rows = _members(documents, id_col, text_col, words, percent)
     first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_key")).alias("r")).select("r.doc_id", "r.text_key")
-    stay = first.unionByName(rows.where("label is null").select("doc_id", "text_key")).distinct().select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_k"))
-    id_, key = F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    names = documents.columns
-    wide = documents.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], id_.alias("_di"), key.alias("_dk"))
-    kept = wide.join(stay, F.col("_di").eqNullSafe(F.col("_i")) & (F.col("_dk") == F.col("_k")), "left_semi")
-    again = rows.where("label is not null").groupBy("doc_id", "text_key").count().where("count > 1").select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_k"))
-    if not again.isEmpty():  # repeated rows: one of each stays
-        same = F.col("_di").eqNullSafe(F.col("_i")) & (F.col("_dk") == F.col("_k"))
-        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["_di", "_dk"]))
-    return kept.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
+    stay = first.unionByName(rows.where("label is null").select("doc_id", "text_key"))
+    again = rows.where("label is not null").groupBy("doc_id", "text_key").count().where("count > 1").drop("count")
+    return rows_with(documents, id_col, text_col, stay, again)
 
 
 def query(spark, sf_dir):
