@@ -142,7 +142,7 @@ class Codec:
         self.width = np.array([{"BYTE": 1, "CONTROL": 0, "UNKNOWN": -1}.get(kinds[p.type], len(p.piece.encode())) for p in spec.pieces], np.int64)
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids with begin and end id, source byte where each piece begins, and where it ends)."""
+        """(ids with begin and end id, source byte where each piece begins, and where it ends); places are -1 if a model's pieces don't add up to the normalised text."""
         ids = np.asarray(self.model.encode(text, add_bos=True, add_eos=True), np.int64)
         normal, source = self.normalizer.normalize(text)
         width = self.width[ids]
@@ -151,7 +151,8 @@ class Codec:
             width[1:-1] = [len(p.surface.encode()) if w < 0 else w for p, w in zip(pieces, width[1:-1])]
         ends = np.cumsum(width)
         if ends[-1] != len(normal):
-            raise ValueError(f"pieces cover {ends[-1]} of {len(normal)} normalised bytes")
+            none = np.full(len(ids), -1, np.int64)
+            return ids, none, none
         return ids, source[ends - width], source[ends]
 
     def decode(self, ids: list[int]) -> str:
@@ -165,7 +166,7 @@ def encode(documents: DataFrame, model: str, id_col: str = "doc_id", text_col: s
         done = [codec.encode(t or "") for t in texts]
         return {"doc_id": ids, "n_tokens": [len(i) for i, _, _ in done], "ids": [i.astype("<u4").tobytes() for i, _, _ in done], "begins": [b.astype("<i8").tobytes() for _, b, _ in done], "ends": [e.astype("<i8").tobytes() for _, _, e in done]}
 
-    return map_texts(documents, [F.col(text_col), F.col(id_col)], run, "doc_id long, n_tokens long, ids binary, begins binary, ends binary", lambda: Codec(model))
+    return map_texts(documents, [F.col(f"`{text_col}`"), F.col(f"`{id_col}`")], run, "doc_id long, n_tokens long, ids binary, begins binary, ends binary", lambda: Codec(model))
 
 
 def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -189,7 +190,7 @@ def round_trip(documents: DataFrame, model: str, id_col: str = "doc_id", text_co
                 column.append(v)
         return {"doc_id": ids} | out
 
-    return map_texts(documents, [F.col(text_col), F.col(id_col)], run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string", lambda: Codec(model))
+    return map_texts(documents, [F.col(f"`{text_col}`"), F.col(f"`{id_col}`")], run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string", lambda: Codec(model))
 
 
 def query(spark, sf_dir):
