@@ -1,9 +1,10 @@
 """Media columns: bytes as MPEG-2 transport streams (ISO/IEC 13818-1), written and parsed with numpy over whole streams.
 
 A payload is cut into access units of ``UNIT`` bytes. Each unit is one packetized elementary stream (PES) packet with a
-presentation time, split over 188-byte transport packets; every ``EVERY``-th unit is a random-access point. Program
-association and map tables stand first. Reading parses the tables, checks the continuity counters of each PID,
-reassembles the PES packets and returns payload, timestamps and random-access points.
+presentation time, split over 188-byte transport packets, of which the first has the program's clock; every ``EVERY``-th unit
+is a random-access point. Program association and map tables stand first. Reading parses the tables, checks the
+continuity counters of each PID (a packet may come twice, and a flagged jump is allowed), reassembles the PES packets and
+returns payload, timestamps and random-access points.
 
 Odd input: a null text is an empty one; an empty payload is one unit of padding; repeated rows give equal streams; an
 empty table gives an empty table. A damaged stream (lost sync, gap in a counter, bad table CRC) raises ``ValueError``.
@@ -23,6 +24,8 @@ from curbline.llm.common import map_texts
 PACKET, SYNC, PAT_PID, PMT_PID, ES_PID = 188, 0x47, 0, 0x1000, 0x0100
 #: Bytes to which payloads are filled up, of an access unit (48 of those), ticks of 90 kHz between units, units between random-access points.
 ALIGN, UNIT, TICKS, EVERY = 192, 9216, 3600, 8
+#: Bytes of an adaptation field with a clock.
+CLOCK = 8
 #: stream_type of private data in PES packets, and stream_id of a private stream with an optional header.
 STREAM_TYPE, STREAM_ID = 0x06, 0xBD
 
@@ -68,6 +71,12 @@ def pes_header(length: int, pts: int) -> bytes:
     return b"\0\0\1" + bytes([STREAM_ID]) + (length + 8).to_bytes(2, "big") + b"\x84\x80\x05" + stamp
 
 
+def clock(ticks: int) -> bytes:
+    """Program clock reference: 33 bits of 90 kHz, six reserved, and nine of 27 MHz, which are 0."""
+    base = ticks & (1 << 33) - 1
+    return bytes([base >> 25, base >> 17 & 255, base >> 9 & 255, base >> 1 & 255, (base & 1) << 7 | 0x7E, 0])
+
+
 def mux(payload: bytes) -> bytes:
     """Transport stream of one program with one private elementary stream that carries ``payload``."""
     out, counter = [TABLES], 0
@@ -75,10 +84,10 @@ def mux(payload: bytes) -> bytes:
         unit = payload[at : at + UNIT]
         pes = pes_header(len(unit), k * TICKS & (1 << 33) - 1) + unit
         key = k % EVERY == 0
-        # the first packet has an adaptation field with flags if it is a random-access point; the last one is stuffed
-        first = 184 - 2 * key
+        # the first packet has an adaptation field with flags and a clock; the last one is stuffed
+        first = 184 - CLOCK
         n = 1 + max(0, -(-(len(pes) - first) // 184))
-        room = n * 184 - 2 * key - len(pes)
+        room = n * 184 - CLOCK - len(pes)
         packets = np.zeros((n, PACKET), np.uint8)
         packets[:, 0], packets[:, 1], packets[:, 2] = SYNC, ES_PID >> 8, ES_PID & 255
         packets[0, 1] |= 0x40
@@ -88,7 +97,7 @@ def mux(payload: bytes) -> bytes:
         body[:] = 0xFF
         data = np.frombuffer(pes, np.uint8)
         used = np.zeros(n, np.int64)  # bytes of adaptation field
-        used[0] += 2 * key
+        used[0] += CLOCK
         used[-1] += room
         if n > 2:
             head = 184 - used[0]
@@ -106,8 +115,11 @@ def mux(payload: bytes) -> bytes:
             if used[row]:
                 packets[row, 3] |= 0x20
                 body[row, 0] = used[row] - 1
-                if used[row] > 1:
-                    body[row, 1] = 0x40 if key and row == 0 else 0
+                if row == 0:
+                    body[row, 1] = 0x50 if key else 0x10
+                    body[row, 2:CLOCK] = np.frombuffer(clock(k * TICKS), np.uint8)
+                elif used[row] > 1:
+                    body[row, 1] = 0
         out.append(packets.tobytes())
     return b"".join(out)
 
@@ -152,8 +164,14 @@ def demux(media: bytes) -> tuple[bytes, list[int], list[int]]:
     for pid in _tables(packets, pids):
         rows = np.flatnonzero(pids == pid)
         own = packets[rows]
+        # a packet may come twice, once repeated; a flag of the adaptation field allows a jump
+        same = np.append(False, (own[1:] == own[:-1]).all(axis=1)) if len(own) else np.zeros(0, bool)
+        if (same[1:] & same[:-1]).any():
+            raise ValueError(f"continuity broken on PID {pid}")
+        rows, own = rows[~same], own[~same]
         counters = own[:, 3] & 15
-        if len(own) > 1 and ((counters[1:] - counters[:-1]) & 15 != 1).any():
+        allowed = (own[:, 3] & 0x20 != 0) & (own[:, 4] > 0) & (own[:, 5] & 0x80 != 0)
+        if (((counters[1:] - counters[:-1]) & 15 != 1) & ~allowed[1:]).any():
             raise ValueError(f"continuity broken on PID {pid}")
         field = np.where(own[:, 3] & 0x20, 1 + own[:, 4].astype(np.int64), 0)
         flags = np.where(field > 1, own[:, 5], 0)
@@ -186,7 +204,7 @@ def store(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         raw = [padded(t) for t in texts]
         return {"doc_id": ids, "n_bytes": [n for n, _ in raw], "media": [mux(p) for _, p in raw]}
 
-    return map_texts(documents, [F.col(text_col), F.col(id_col)], run, "doc_id long, n_bytes long, media binary")
+    return map_texts(documents, [F.col(f"`{text_col}`"), F.col(f"`{id_col}`")], run, "doc_id long, n_bytes long, media binary")
 
 
 def features(stored: DataFrame) -> DataFrame:

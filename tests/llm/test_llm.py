@@ -240,8 +240,17 @@ def test_stream_lengths_and_damage(n):
     if len(media) > 5 * 188:
         with pytest.raises(ValueError, match="continuity"):
             transport_stream.demux(media[: 3 * 188] + media[4 * 188 :])
+        again = media[: 4 * 188] + media[3 * 188 : 4 * 188] + media[4 * 188 :]  # a packet may come twice, not three times
+        assert transport_stream.demux(again)[0] == data
+        with pytest.raises(ValueError, match="continuity"):
+            transport_stream.demux(again[: 4 * 188] + media[3 * 188 : 4 * 188] + again[4 * 188 :])
     with pytest.raises(ValueError):
         transport_stream.demux(b"\0" + media[1:])
+    # every unit begins with the clock, which runs with its time
+    packets = np.frombuffer(media, np.uint8).reshape(-1, 188)
+    heads = packets[(packets[:, 1] & 0x40 != 0) & (packets[:, 3] & 0x20 != 0)]
+    bases = [int(p[6]) << 25 | int(p[7]) << 17 | int(p[8]) << 9 | int(p[9]) << 1 | int(p[10]) >> 7 for p in heads]
+    assert (heads[:, 5] & 0x10 != 0).all() and bases == transport_stream.demux(media)[1]
 
 
 def test_packing(spark, odd, none):
