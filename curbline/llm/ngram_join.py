@@ -615,3 +615,14 @@ def kept_rows(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def query(spark, sf_dir):
     return groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+ORACLE = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS g FROM w),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o, any_value(a.n) AS na, any_value(b.n) AS nb FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p WHERE 100 * o >= 85 * (na + nb - o)),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, c.component_id FROM s JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = s.doc_id
+"""

@@ -14,4 +14,4 @@ QUERIES = {
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_ngram_join": ngram_join.query,
 }
-ORACLES = {"op4_url_filters": url_filter.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op2_tool_calls": tool_calls.ORACLE, "op4_url_filters": url_filter.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE, "op10_ngram_join": ngram_join.ORACLE}

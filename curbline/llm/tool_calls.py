@@ -179,3 +179,16 @@ def from_transcript(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def query(spark, sf_dir):
     return link_calls(*from_transcript(spark.read.parquet(f"{sf_dir}/conversations.parquet")), REPLY).drop("errors")
+
+
+#: Of plain transcripts: a user's turn is named by its place, so that its reference is the user's turn before; identifiers are unique.
+ORACLE = """
+WITH RECURSIVE u AS (SELECT conv_id, turn, text, conv_id || '-' || turn AS call_id FROM conversations WHERE role = 'user'),
+l(conv_id, turn, level) AS (
+  SELECT conv_id, turn, 0 FROM u WHERE NOT EXISTS (SELECT 1 FROM u p WHERE p.conv_id = u.conv_id AND p.turn = u.turn - 2 AND u.turn >= 2)
+  UNION ALL SELECT u.conv_id, u.turn, l.level + 1 FROM l JOIN u ON u.conv_id = l.conv_id AND u.turn = l.turn + 2)
+SELECT u.conv_id, u.call_id, CAST(u.turn AS BIGINT) AS turn, l.level, CAST(a.turn AS BIGINT) AS result_turn, CASE WHEN a.turn IS NULL THEN 'missing' ELSE 'ok' END AS status,
+  '{"arguments":{' || CASE WHEN u.turn >= 2 THEN '"previous":"' || u.conv_id || '-' || (u.turn - 2) || '",' ELSE '' END || '"prompt":' || CAST(to_json(u.text) AS VARCHAR) || '},"id":"' || u.call_id
+  || '","name":"reply","result":' || coalesce(CAST(to_json(a.text) AS VARCHAR), 'null') || '}' AS json
+FROM u JOIN l USING (conv_id, turn) LEFT JOIN conversations a ON a.role = 'assistant' AND a.conv_id = u.conv_id AND a.turn = u.turn + 1
+"""
