@@ -58,3 +58,8 @@ def retained(spark, path: str, partition: str, since: str) -> int:
 def routed(df: DataFrame, path: str, route: Column, name: str = "route") -> None:
     """Inserts rows into the table's parts that a rule sends them to."""
     df.withColumn(name, route).repartition(name).write.mode("append").partitionBy(name).parquet(path)
+
+
+def to_database(df: DataFrame, url: str, table: str, parts: int, batch: int = 10_000, **options) -> None:
+    """Appends rows to a database table, in batches over ``parts`` connections."""
+    df.coalesce(parts).write.format("jdbc").options(url=url, dbtable=table, batchsize=batch, **options).mode("append").save()

@@ -88,3 +88,30 @@ def test_stream_equals_batch(spark, tmp_path):
     twice = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
     binned.to_table(binned.first_wins(twice, "ts", ["event_type"], "60 days"), str(tmp_path / "f"), str(tmp_path / "c3")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "f")).count() == 5
+
+
+def test_sheets(spark, tmp_path):
+    import zipfile
+
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(tmp_path / "a.xlsx", "w") as book:
+        book.writestr("xl/sharedStrings.xml", f"<sst {main}><si><t>Main </t><r><t>Street</t></r></si><si><t>x</t></si></sst>")
+        book.writestr("xl/worksheets/sheet1.xml", f'<worksheet {main}><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1"><v>2.5</v></c></row><row r="3"><c r="B3" t="inlineStr"><is><t>in</t></is></c><c r="C3" t="s"><v>1</v></c></row></sheetData></worksheet>')
+    got = readers.sheet(spark, str(tmp_path), 1, ["a", "b", "c"]).orderBy("row").collect()
+    assert [tuple(r)[1:] for r in got] == [(1, "Main Street", None, "2.5"), (3, None, "in", "x")]
+
+
+def test_tables_of_a_database(spark):
+    url = "jdbc:derby:memory:curbline;create=true"
+    df = spark.range(50).select(F.col("id").alias("K"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("V"))
+    writers.to_database(df, url, "T", 4, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    back = readers.jdbc(spark, url, "T", "K", (0, 50), 4, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    assert back.rdd.getNumPartitions() == 4 and sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_pages_that_are_left(spark):
+    body = lambda more: f'{{"exceededTransferLimit": {more}, "features": [{{"attributes": {{"objectid": 1, "name": "a{more}"}}}}]}}'
+    landed = spark.createDataFrame([(0, body("true")), (1, body("false")), (2, "no json")], "page int, body string")
+    assert [tuple(r) for r in readers.pages(landed, "page", "objectid: bigint, name: string").collect()] == [(1, "afalse")]
+    assert readers.pages_left(landed, "page").count() == 0
+    assert [r.page for r in readers.pages_left(landed.where("page = 0"), "page").collect()] == [0]
