@@ -39,6 +39,13 @@ def wide_to_long(rows: DataFrame, ids: Sequence[str], pattern: str, names: Seque
     return long.select(*ids, *[F.regexp_extract("_name", pattern, k + 1).alias(n) for k, n in enumerate(names)], value)
 
 
+def time_ranges(rows: DataFrame, ids: Sequence[str], prefix: str, value: str) -> DataFrame:
+    """Columns named ``{prefix}hhmm_hhmm`` as rows (ids, begin, end, value): times of day in minutes, read from the names."""
+    long = wide_to_long(rows, ids, rf"{prefix}(\d\d)(\d\d)_(\d\d)(\d\d)", ["_a", "_b", "_c", "_d"], value)
+    at = lambda h, m: F.col(h).cast("int") * 60 + F.col(m).cast("int")
+    return long.select(*ids, at("_a", "_b").alias("begin"), at("_c", "_d").alias("end"), value)
+
+
 def histogram(rows: DataFrame, keys: Sequence[str], value: str, width: int) -> DataFrame:
     """Counts by ``floor(value / width) * width`` with each bin's share of its keys' total."""
     binned = rows.withColumn("bin_lo", (F.floor(F.col(value) / width) * width).cast("long"))

@@ -8,6 +8,7 @@ from curbline.plans.registry import register
 from curbline.session import shared_folder
 from curbline.sources import readers, writers
 from curbline.sources.tables import table
+from curbline.streaming import binned
 
 
 def _folder(spark, name: str) -> str:
@@ -157,3 +158,28 @@ def q_routed(spark, sf_dir):
 def q_features(spark, sf_dir):
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("double").alias("x"), F.col("n_regionkey").cast("double").alias("y"), "n_name")
     return writers.feature_collection(n, "x", "y", ["n_name"])
+
+
+def _stream(spark, sf_dir, name: str):
+    """The events as files that arrive, and a folder for what is made of them."""
+    at, e = _folder(spark, name), table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    e.repartition(4, "user_id").write.parquet(f"{at}/in")
+    return spark.readStream.schema(e.schema).parquet(f"{at}/in"), at
+
+
+@register("stream_bins", """
+    SELECT * FROM (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS bin, event_type, count(*) AS n FROM events GROUP BY 1, 2) WHERE bin + INTERVAL 15 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""", "I watermarked bins")
+def q_stream_bins(spark, sf_dir):
+    """Bins that the watermark has closed, an hour behind the last reading."""
+    stream, at = _stream(spark, sf_dir, "stream-bins")
+    binned.to_table(binned.binned(stream, "ts", ["event_type"], 15, "1 hour", n=F.count("*")), f"{at}/out", f"{at}/checkpoint").awaitTermination()
+    out = spark.read.schema("bin timestamp, event_type string, n long").parquet(f"{at}/out")
+    return out.select(F.col("bin").cast("timestamp_ntz").alias("bin"), "event_type", "n")
+
+
+@register("stream_merged", "SELECT user_id, event_type, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2", "I batch merge upsert stream")
+def q_stream_merged(spark, sf_dir):
+    """The last reading of each sensor and class, kept up by batches."""
+    stream, at = _stream(spark, sf_dir, "stream-merged")
+    binned.merged(stream, f"{at}/table", ["user_id", "event_type"], "event_id", f"{at}/checkpoint", parts=4).awaitTermination()
+    return binned.current(spark, f"{at}/table").select("user_id", "event_type", "event_id", "value")

@@ -109,12 +109,20 @@ def q_atr(spark, sf_dir):
 
 @register("wide_to_long", """
     SELECT o_orderkey, side, kind, v FROM (UNPIVOT (SELECT o_orderkey, o_custkey AS n_cars_t, o_orderkey % 7 AS n_cars_l, o_orderkey % 11 AS s_truck_r FROM orders) ON n_cars_t, n_cars_l, s_truck_r INTO NAME name VALUE v) u
-    JOIN (VALUES ('n_cars_t', 'n', 'cars'), ('n_cars_l', 'n', 'cars'), ('s_truck_r', 's', 'truck')) k(name, side, kind) USING (name)""", "B7 B16 unpivot melt")
+    JOIN (VALUES ('n_cars_t', 'n', 'cars'), ('n_cars_l', 'n', 'cars'), ('s_truck_r', 's', 'truck')) k(name, side, kind) USING (name)""", "B7 unpivot melt")
 def q_long(spark, sf_dir):
     wide = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("n_cars_t"), (F.col("o_orderkey") % 7).alias("n_cars_l"), (F.col("o_orderkey") % 11).alias("s_truck_r"))
     return reshape.wide_to_long(wide, ["o_orderkey"], "([nesw])_([a-z]+)_[a-z]", ["side", "kind"], "v")
 
 
+@register("wide_time_ranges", """
+    SELECT o_orderkey, begin, "end", v FROM (SELECT o_orderkey, 420 AS begin, 555 AS "end", o_custkey AS v FROM orders UNION ALL SELECT o_orderkey, 960, 1080, o_custkey % 7 FROM orders UNION ALL SELECT o_orderkey, 0, 1440, o_orderkey % 5 FROM orders)""", "B16")
+def q_time_ranges(spark, sf_dir):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    wide = table(spark, sf_dir, "orders").select("o_orderkey", c.alias("v_0700_0915"), (c % 7).alias("v_1600_1800"), (k % 5).alias("v_0000_2400"))
+    return reshape.time_ranges(wide, ["o_orderkey"], "v_", "v")
+
+
 @register("speed_histogram", "WITH c AS (SELECT event_type, CAST(floor(value / 5) * 5 AS BIGINT) AS bin_lo, count(*) AS n FROM events GROUP BY 1, 2) SELECT *, CAST(sum(n) OVER (PARTITION BY event_type) AS BIGINT) AS total FROM c", "B13 B14")
 def q_histogram(spark, sf_dir):
     return reshape.histogram(table(spark, sf_dir, "events"), ["event_type"], "value", 5)
