@@ -194,12 +194,12 @@ def q_routes(spark, sf_dir):
 
 
 @register("paired_directions", """
-    WITH l AS (SELECT user_id % 20 AS street, user_id % 6 AS a, (user_id + 1 + user_id % 4) % 6 AS b, avg(value + 5) AS speed FROM events GROUP BY ALL)
+    WITH l AS (SELECT user_id % 3 AS street, user_id % 5 AS a, CAST(floor(user_id / 5) AS BIGINT) % 5 AS b, avg(value + 5) AS speed FROM events GROUP BY ALL)
     SELECT x.street, x.a, x.b, round(x.speed, 6) AS speed, round(y.speed, 6) AS back, round(x.speed / y.speed, 6) AS ratio, CASE WHEN x.speed > y.speed THEN 'forward' WHEN x.speed < y.speed THEN 'back' END AS bias
     FROM l x JOIN l y ON x.street = y.street AND x.a = y.b AND x.b = y.a WHERE x.a < x.b""", "D11")
 def q_paired(spark, sf_dir):
     u = F.col("user_id")
-    l = table(spark, sf_dir, "events").groupBy((u % 20).alias("street"), (u % 6).alias("a"), ((u + 1 + u % 4) % 6).alias("b")).agg(F.avg(F.col("value") + 5).alias("speed"))
+    l = table(spark, sf_dir, "events").groupBy((u % 3).alias("street"), (u % 5).alias("a"), (F.floor(u / 5) % 5).alias("b")).agg(F.avg(F.col("value") + 5).alias("speed"))
     both = stats.paired_ratio(checkpointed(l), ["street"], "a", "b", "speed").where("a < b")
     return both.select("street", "a", "b", F.round("speed", 6).alias("speed"), F.round("back", 6).alias("back"), F.round("ratio", 6).alias("ratio"), "bias")
 
