@@ -10,6 +10,8 @@ import uuid
 import weakref
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,23 +80,55 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def rows_with(documents: DataFrame, id_col: str, text_col: str, stay: DataFrame, again: DataFrame | None = None) -> DataFrame:
-    """The rows of ``documents``, with all their columns, whose id and text (by its hash) are in ``stay`` (id, key).
+#: Bits of a map of keys (fixed, so that it can go to every worker); rows that it lets through wrongly are told by a join.
+MAP_BITS = 1 << 24
 
-    Of rows that repeat both, one of those in ``again`` (id, key) stays; without it these are looked for. Nothing of the texts is
-    written for that: the join moves each row once."""
-    names = documents.columns
-    id_, key = F.col(f"`{id_col}`").cast("long").alias("_i"), text_key(F.col(f"`{text_col}`")).alias("_k")
+
+def key_map(keys: DataFrame) -> np.ndarray:
+    """A map with a bit for each key of a one-column frame, by bytes. At most MAP_BITS bits come to the driver."""
+    place = F.pmod(F.col(keys.columns[0]), F.lit(MAP_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(31)).cast("int"))
+    marks = keys.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    words = np.zeros(MAP_BITS // 32, "<u4")
+    if marks.num_rows:
+        words[marks.column("word").to_numpy()] = marks.column("bits").to_numpy().astype(np.uint32)
+    return words.view(np.uint8)
+
+
+def in_map(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys & MAP_BITS - 1
+    return bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0
+
+
+def rows_with(documents: DataFrame, id_col: str, text_col: str, touched: DataFrame, touched_key: Callable[[Column], Column], stay: DataFrame, again: DataFrame | None = None) -> DataFrame:
+    """The rows of ``documents`` that stay, with all their columns.
+
+    All rows do whose ``touched_key`` of the text isn't in ``touched`` (keys); of the others those whose id and text (by its hash)
+    are in ``stay`` (id, key), and of rows that repeat both only one. ``again`` (id, key) tells which may repeat; without it they are looked for.
+    Only rows that a map of ``touched`` lets through are moved for that."""
+    spark, names = documents.sparkSession, documents.columns
+    bits = spark.sparkContext.broadcast(key_map(touched))
+    touched = touched.toDF("_touched").distinct()
+
+    @F.pandas_udf("boolean")
+    def maybe(keys: pd.Series) -> pd.Series:
+        return pd.Series(in_map(bits.value, keys.to_numpy().astype(np.int64)))
+
+    text = F.col(f"`{text_col}`")
+    wide = documents.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], F.col(f"`{id_col}`").cast("long").alias("_i"), text_key(text).alias("_k"), touched_key(text).alias("_t"))
+    marked = wide.withColumn("_maybe", maybe("_t"))
+    free, held = marked.where("not _maybe"), marked.where("_maybe")
     stay = stay.toDF("_si", "_sk").distinct()
     if again is None:
-        again = documents.select(id_, key).groupBy("_i", "_k").count().where("count > 1").drop("count")
+        again = held.select("_i", "_k").groupBy("_i", "_k").count().where("count > 1").drop("count")
     again = written(again.toDF("_ai", "_ak").distinct(), "repeated")
-    wide = documents.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], id_, key)
-    kept = wide.join(stay, F.col("_i").eqNullSafe(F.col("_si")) & (F.col("_k") == F.col("_sk")), "left_semi")
+    kept = held.join(stay, F.col("_i").eqNullSafe(F.col("_si")) & (F.col("_k") == F.col("_sk")), "left_semi")
     if not again.isEmpty():
         same = F.col("_i").eqNullSafe(F.col("_ai")) & (F.col("_k") == F.col("_ak"))
         kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["_i", "_k"]))
-    return kept.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
+    on = F.col("_t") == F.col("_touched")
+    wrong, kept = held.join(touched, on, "left_anti"), kept.join(touched, on, "left_semi")
+    return free.unionByName(wrong).unionByName(kept).select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
 
 
 def release(spark: SparkSession) -> None:

@@ -22,13 +22,14 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from curbline.llm.common import dropped, rows_with, slices, small_batches, text_key, written
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes that a worker's trie holds before it gives up a subtree, and what a node takes besides its label.
 TRIE_BYTES, NODE_BYTES = 96 << 20, 300
 #: Of a terminal's and a subtree's number, the bits for its place in its task; the pass stands above the task.
@@ -237,7 +238,7 @@ def owners(groups: DataFrame, keep: str, budget: int = TRIE_BYTES) -> DataFrame:
     names = [x.split()[0] for x in PASSED.split(", ")]
     types = [pa.binary() if x.endswith("binary") else pa.int64() for x in PASSED.split(", ")]
     own = F.element_at("members", (F.col("owner_pos") + 1).cast("int"))
-    key = F.encode(F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "UTF-8")
+    key = F.encode(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), "UTF-8")
     dealt = groups.select("slice", "grp", key.alias("key"), own.alias("owner"), F.size("members").cast("long").alias("n"), F.col("slice").alias("s"), F.col("grp").alias("g"), F.lit(None).cast("long").alias("terminal"), F.lit(None).cast("long").alias("subtree"), "length", "hash").repartition("length", "hash").drop("length", "hash")
     done = None
     for number in itertools.count():
@@ -270,10 +271,15 @@ def dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.select("doc_id", "keep_id", "group_size", mine.alias("kept"), F.col("sha256").alias("text_sha256"))
 
 
+def _normal_key(text: Column) -> Column:
+    return text_key(F.translate(text, UPPER, LOWER))
+
+
 def kept_rows(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
     """The rows of ``documents`` that stay, with all their columns."""
-    owned = _owned(documents, id_col, text_col, keep, TRIE_BYTES, text_key(F.col("text")).alias("key")).where("slice = owner_slice AND grp = owner_grp")
-    return rows_with(documents, id_col, text_col, owned.select("keep_id", "key"))
+    text = F.col("text")
+    owned = _owned(documents, id_col, text_col, keep, TRIE_BYTES, text_key(text).alias("key"), _normal_key(text).alias("normal")).where("slice = owner_slice AND grp = owner_grp AND group_size > 1")
+    return rows_with(documents, id_col, text_col, owned.select("normal"), _normal_key, owned.select("keep_id", "key"))
 
 
 def query(spark, sf_dir):

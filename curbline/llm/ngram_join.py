@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from curbline.llm.common import dropped, rows_with, slices, small_batches, written
+from curbline.llm.common import dropped, in_map, key_map, rows_with, slices, small_batches, text_key, written
 
 #: Words of an n-gram, least similarity in percent, candidates of a head that are compared together.
 WORDS, PERCENT, BLOCK = 4, 85, 256
@@ -47,8 +47,6 @@ WORDS, PERCENT, BLOCK = 4, 85, 256
 COUNTERS, RANGES = 1 << 22, 256
 #: Nodes of an n-gram's group that one tree holds, and bits of a set's map of parities.
 GROUP, PARITIES = 4096, 512
-#: Bits of the map of texts whose sets are asked for (fixed; false hits are removed by a join).
-ASKED_BITS = 1 << 24
 #: Sequences and n-grams that a worker puts into one tree; pairs that move down at once; n-grams of an edge per step.
 TREE_ROWS, TREE_GRAMS, FRONTIER, STRIDE = 16_384, 2_000_000, 400_000, 32
 
@@ -486,8 +484,7 @@ def _whole_sets(texts: DataFrame, words: int, codes, twice: frozenset, asked) ->
         for batch in batches:
             for a, b in slices(batch.column(0)):
                 raw = [(t or "").encode() for t in batch.column(0).slice(a, b - a).to_pylist()]
-                keys = np.array([_text_key(r) & ASKED_BITS - 1 for r in raw], np.int64)
-                wanted = asked.value[keys >> 3] >> (keys & 7).astype(np.uint8) & 1
+                wanted = in_map(asked.value, np.array([_text_key(r) for r in raw], np.int64))
                 nodes, sizes, parts = [], [], []
                 for s in shingle_sets([r for r, w in zip(raw, wanted) if w], words):
                     if len(s) and (node := _digest(s, twice)[0]) not in seen:
@@ -567,13 +564,7 @@ class Join:
         """Links (a, b), written, among ``pairs`` (center, member): whole sets meet in trees, at most about ``BLOCK`` members with their center."""
         asked = pairs.select(F.col("center").alias("node")).unionByName(pairs.select(F.col("member").alias("node"))).distinct()
         texts = self.docs.join(asked, "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("k"))
-        place = F.pmod("k", F.lit(ASKED_BITS))
-        # at most ASKED_BITS bits come to the driver
-        marks = texts.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(31)).cast("int"))).alias("bits")).toArrow()
-        words = np.zeros(ASKED_BITS // 32, "<u4")
-        if marks.num_rows:
-            words[marks.column("word").to_numpy()] = marks.column("bits").to_numpy().astype(np.uint32)
-        sets = _whole_sets(self.texts, self.words, self.codes, self.twice, self.spark.sparkContext.broadcast(words.view(np.uint8)))
+        sets = _whole_sets(self.texts, self.words, self.codes, self.twice, self.spark.sparkContext.broadcast(key_map(texts.select("k"))))
         many = pairs.groupBy("center").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
         dealt = pairs.join(many, "center").select("center", "member", F.pmod(F.xxhash64("member"), F.col("parts")).alias("part"))
         sends = dealt.select(F.col("member").alias("node"), F.col("center").alias("key"), "part", F.lit(1).alias("role")).unionByName(dealt.select(F.col("center").alias("node"), F.col("center").alias("key"), "part", F.lit(2).alias("role")).distinct())
@@ -607,10 +598,11 @@ def groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def kept_rows(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``documents`` that stay, with all their columns: of each group the row with the least id (nulls lose; ties by hash of the text, then any one), and all rows with an empty set."""
     rows = _members(documents, id_col, text_col, words, percent)
-    first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_key")).alias("r")).select("r.doc_id", "r.text_key")
-    stay = first.unionByName(rows.where("label is null").select("doc_id", "text_key"))
-    again = rows.where("label is not null").groupBy("doc_id", "text_key").count().where("count > 1").drop("count")
-    return rows_with(documents, id_col, text_col, stay, again)
+    groups_ = rows.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_key")).alias("r"), F.count("*").alias("n")).where("n > 1")
+    groups_ = written(groups_, "first")
+    members = rows.join(groups_.select("label"), "label", "left_semi")
+    again = members.groupBy("doc_id", "text_key").count().where("count > 1").drop("count")
+    return rows_with(documents, id_col, text_col, members.select("text_key"), text_key, groups_.select("r.doc_id", "r.text_key"), again)
 
 
 def query(spark, sf_dir):
