@@ -395,7 +395,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def _raw(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     small_batches(documents.sparkSession)
-    return documents.select(F.col(text_col).alias("t"), F.col(id_col).cast("long").alias("i"))
+    return documents.select(F.col(f"`{text_col}`").alias("t"), F.col(f"`{id_col}`").cast("long").alias("i"))
 
 
 ROWS = "doc_id long, size long, node long, other long, text_key long, sketch binary"
@@ -522,11 +522,16 @@ class Join:
         shared = written(shared.select("gram", "node", "size", "pos", F.col("head.node").alias("head"), F.col("head.size").alias("head_size"), F.col("head.pos").alias("head_pos")).distinct(), "shared")
 
         bound = F.least("pos", "head_pos") + 1 + F.least(F.col("size") - F.col("pos"), F.col("head_size") - F.col("head_pos")) - 1
-        stars = shared.where("node <> head").where(_may_link(bound, F.col("size"), F.col("head_size"), p)).groupBy("node", "head").agg(F.count("*").alias("times"), F.first("size").alias("size"), F.first("head_size").alias("head_size"))
-        best = stars.groupBy("node").agg(F.max(F.struct("times", F.col("head"), "size", "head_size")).alias("best")).select("node", "best.*")
-        # a guess of which pairs are worth whole sets: what they share of the prefixes, twice what is known of it; and their parities
+        fits = (F.col("node") != F.col("head")) & _may_link(bound, F.col("size"), F.col("head_size"), p)
+        stars = shared.groupBy("node", "head").agg(F.count("*").alias("all"), F.count_if(fits).alias("times"), F.first("size").alias("size"), F.first("head_size").alias("head_size"))
+        best = F.max(F.when(F.col("times") > 0, F.struct("times", "head", "head_size")))
+        # what a set can have in common at all: what lies behind its prefix, and what is shared within
+        most = (F.ceil(F.lit(p) * F.first("size") / 100) - 1 + F.sum("all")).cast("long")
+        nodes = written(stars.groupBy("node").agg(F.first("size").alias("size"), most.alias("most"), best.alias("best")), "nodes")
+        # a guess of which pairs are worth whole sets: what they share of the prefixes, twice what is known of it; what both can share; and their parities
+        guess = nodes.where("best is not null").select("node", "size", "most", "best.*").join(nodes.select(F.col("node").alias("head"), F.col("most").alias("head_most")), "head")
         rest = F.least(*[F.ceil(F.lit(p) * F.col(c) / 100) - 1 for c in ("size", "head_size")])
-        guess = best.where(_may_link(2 * F.col("times") + rest, F.col("size"), F.col("head_size"), p))
+        guess = guess.where(_may_link(F.least(2 * F.col("times") + rest, "most", "head_most"), F.col("size"), F.col("head_size"), p))
         maps = prefixes.select("node", "parities").dropDuplicates(["node"])
         guess = guess.join(maps, "node").join(maps.select(F.col("node").alias("head"), F.col("parities").alias("head_parities")), "head")
         differ = F.aggregate(F.zip_with("parities", "head_parities", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
@@ -541,7 +546,7 @@ class Join:
         placed = placed.withColumn("bound", F.ceil(F.lit(p) * F.col("size") / 100) - 1 + later)
         left = placed.withColumn("lo", F.min("label").over(group)).withColumn("hi", F.max("label").over(group)).withColumn("many", F.count("*").over(group)).where("lo <> hi")
         left = written(left.select(F.col("gram").alias("key"), "node", F.col("size").cast("long").alias("size"), F.col("bound").cast("long").alias("rest"), "pos", "label", "many"), "open")
-        dropped(shared)
+        dropped(shared, nodes)
         fits = written(_possible(_parted(left), p).distinct(), "fits")
         some = written(left.join(fits, ["key", "node"]), "open")
         own = written(prefixes.join(some.select("node").distinct(), "node", "left_semi").select("node", "prefix", "parities").dropDuplicates(["node"]), "own")
