@@ -18,7 +18,7 @@ one. Everything counted covers all training documents; vocabulary and levels gro
 
 Words are told apart by 64-bit hashes. Odd input: null text is empty and has the end only; a null id counts as an empty
 id text for the split; repeated rows are counted and scored each; an empty table gives an empty table; other columns
-don't matter. A worker holds the tokens of a chunk (16 MiB of text or one longer text, about 100 bytes for each word).
+don't matter. A worker holds the tokens of a chunk (10 MiB of text or one longer text, about 100 bytes for each word).
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ STEPS = 200
 #: Questions for each element from which a sequence is decoded once instead of searched bucket by bucket: one in so many.
 BATCH = 4
 #: Text bytes of a chunk, and tokens of the corpus per shard.
-CHUNK, SHARD_TOKENS, LEAST_SHARDS = 16 << 20, 1 << 20, 32
+CHUNK, SHARD_TOKENS, LEAST_SHARDS = 10 << 20, 1 << 20, 32
 
 
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
