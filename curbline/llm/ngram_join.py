@@ -9,8 +9,7 @@ in the first ``n - ceil(PERCENT * n / 100) + 1`` of each (its prefix), whatever
    node with the fewest n-grams before the common one, so copies with few edits are the heads of their kind. Links make
    components, and a large group of copies is settled by as many comparisons as it has members.
 3. Only n-grams whose nodes lie in several components are left. Of these, nodes drop out that can be linked with no other of
-   the group, by sizes, by how many n-grams either set can have in common from this one on (those of a prefix that no other
-   node filed are in common with none), and by a map of the parities of their n-grams (sets differ by as many
+   the group, by sizes, by how many n-grams either set has from this one on, and by a map of the parities of their n-grams (sets differ by as many
    n-grams as their maps by bits, at least). For the others a prefix tree holds the rest of
    each node's prefix from the common n-gram on, and every node of the group traverses it. What a pair shares is counted
    once for all sets below a tree node; a subtree is left when the overlap so far and the n-grams that remain in either set
@@ -525,7 +524,7 @@ class Join:
         fits = (F.col("node") != F.col("head")) & _may_link(bound, F.col("size"), F.col("head_size"), p)
         stars = shared.groupBy("node", "head").agg(F.count("*").alias("all"), F.count_if(fits).alias("times"), F.first("size").alias("size"), F.first("head_size").alias("head_size"))
         best = F.max(F.when(F.col("times") > 0, F.struct("times", "head", "head_size")))
-        # what a set can have in common at all: what lies behind its prefix, and what is shared within
+        # what a set has in common, by and large: what lies behind its prefix, and what is shared within
         most = (F.ceil(F.lit(p) * F.first("size") / 100) - 1 + F.sum("all")).cast("long")
         nodes = written(stars.groupBy("node").agg(F.first("size").alias("size"), most.alias("most"), best.alias("best")), "nodes")
         # a guess of which pairs are worth whole sets: what they share of the prefixes, twice what is known of it; what both can share; and their parities
@@ -541,9 +540,8 @@ class Join:
         labels = components(links)
 
         placed = shared.select("gram", "node", "size", "pos").join(labels.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-        # what a set can have in common from an n-gram on: what lies behind its prefix, and what is shared within
-        later = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("pos")))
-        placed = placed.withColumn("bound", F.ceil(F.lit(p) * F.col("size") / 100) - 1 + later)
+        # what a set can have in common from an n-gram on, if none before is: a prefix's n-gram may stand behind another's prefix
+        placed = placed.withColumn("bound", F.col("size") - F.col("pos"))
         left = placed.withColumn("lo", F.min("label").over(group)).withColumn("hi", F.max("label").over(group)).withColumn("many", F.count("*").over(group)).where("lo <> hi")
         left = written(left.select(F.col("gram").alias("key"), "node", F.col("size").cast("long").alias("size"), F.col("bound").cast("long").alias("rest"), "pos", "label", "many"), "open")
         dropped(shared, nodes)
