@@ -1,5 +1,6 @@
 """Operators on geometry tables: lines of points, merged lines, points in polygons."""
 
+from collections import deque
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,21 +24,23 @@ def merge_lines(lines: DataFrame, key: str, line: str) -> DataFrame:
     def run(keys, table):
         import pyarrow as pa
 
-        held = {k: [(p["x"], p["y"]) for p in row] for k, row in enumerate(table.column(line).to_pylist()) if row and len(row) > 1}
+        held = {k: deque((p["x"], p["y"]) for p in row) for k, row in enumerate(table.column(line).to_pylist()) if row and len(row) > 1}
         ends: dict = {}
-        for k, row in sorted(held.items(), key=lambda x: (x[1], x[0])):
+        for k, row in sorted(held.items(), key=lambda x: (list(x[1]), x[0])):
             for end in (row[0], row[-1]):
                 ends.setdefault(end, []).append(k)
         for end, both in sorted(ends.items()):
             if len(both) != 2 or both[0] == both[1]:
                 continue
-            a, b = both
-            first, second = held.pop(a), held.pop(b)
-            first = first if first[-1] == end else first[::-1]
-            second = second if second[0] == end else second[::-1]
-            held[a] = first + second[1:]
-            for other in ends.values():
-                other[:] = [a if k == b else k for k in other]
+            # the shorter line goes into the longer one, which keeps its number; only the shorter one's other end has to learn it
+            a, b = sorted(both, key=lambda k: -len(held[k]))
+            first, second = held[a], held.pop(b)
+            far = second[-1] if second[0] == end else second[0]
+            rest = iter(second) if second[0] == end else reversed(second)
+            next(rest)
+            (first.extend if first[-1] == end else first.extendleft)(rest)
+            ends[far][:] = [a if k == b else k for k in ends[far]]
+        held = {k: list(row) for k, row in held.items()}
         out = sorted(min(row, row[::-1]) for row in held.values())
         rows = [[{"x": x, "y": y} for x, y in row] for row in out]
         return pa.table({key: pa.array([keys[0].as_py()] * len(rows), table.schema.field(key).type), line: pa.array(rows, pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))})

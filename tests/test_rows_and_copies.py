@@ -4,7 +4,10 @@ import datetime as dt
 
 import compare
 import duckdb
+from pyspark.sql import functions as F
 
+from curbline.functions import spatial as sp
+from curbline.operators import lines, network
 from curbline.plans import registry
 
 
@@ -21,3 +24,32 @@ def test_a_speed_of_zero_makes_the_harmonic_mean_zero(spark, tmp_path):
     at = lambda day, hour: dt.datetime(2024, 1, day, hour, 5)
     rows = [(1, at(9, 8), 0.0), (1, at(9, 8), 40.0), (1, at(10, 8), 30.0), (2, at(9, 8), 20.0), (2, at(9, 8), None), (2, at(10, 8), 50.0), (3, at(9, 7), 0.0), (4, at(9, 7), None), (4, at(10, 7), 12.0)]
     assert held(spark, tmp_path, "harmonic_speed", events=spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, value double")) == ""
+
+
+def test_rings_are_clipped_once_for_all_uses(spark):
+    ring = lambda x, y: F.array(sp.point(F.lit(x), F.lit(y)), sp.point(F.lit(x + 4), F.lit(y)), sp.point(F.lit(x + 4), F.lit(y + 3)), sp.point(F.lit(x), F.lit(y + 3)))
+    a, b, far = ring(0, 0), ring(1, 1), ring(9, 9)
+    cut = spark.range(1).select(sp.area(sp.intersection(a, b)), sp.total_area(sp.difference(a, b)), sp.total_area(sp.union(a, b)), sp.overlaps(a, b), sp.overlaps(a, a), sp.contains(a, a), sp.intersects(a, far), sp.total_area(sp.difference(a, far)))
+    assert tuple(cut.first()) == (6.0, 6.0, 18.0, True, False, True, False, 12.0)
+    text = sp.area(sp.intersection(a, b))._jc.toString()
+    assert text.lower().count("aggregate") <= 2  # one for the cuts and one for the area
+
+
+def test_nearest_compares_places(spark):
+    """40,000 points at two places: pairs of points would be some hundred millions."""
+    p = spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, -79.5).otherwise(-79.499).alias("lon"), F.lit(43.6).alias("lat"))
+    t = p.withColumnRenamed("id", "site").where("site > 1")
+    met = network.nearest(p, t, "id", "site", 0.025, F.hypot(F.col("lon") - F.col("t_lon"), F.col("lat") - F.col("t_lat")))
+    assert {tuple(r) for r in met.groupBy(F.col("id") % 2, "site", "metres").count().collect()} == {(0, 2, 0.0, 20_000), (1, 3, 0.0, 20_000)}
+
+
+def test_long_streets_are_merged_in_little_time(spark):
+    """20,000 pieces in turned order, all of one street, with a ring beside it."""
+    piece = lambda a, b: [{"x": float(x), "y": float(y)} for x, y in (a, b)]
+    pieces = [(1, piece((k, 0), (k + 1, 0)) if k % 2 else piece((k + 1, 0), (k, 0))) for k in range(20_000)]
+    ring = [(2, piece((0, 0), (0, 1))), (2, piece((1, 1), (0, 1))), (2, piece((1, 1), (1, 0))), (2, piece((0, 0), (1, 0)))]
+    begun = dt.datetime.now()
+    got = {r.key: [(p.x, p.y) for p in r.line] for r in lines.merge_lines(spark.createDataFrame(pieces[::-1] + ring, f"key long, line array<{sp.POINT}>"), "key", "line").collect()}
+    assert got[1] == [(float(k), 0.0) for k in range(20_001)]
+    assert len(got[2]) == 5 and got[2][0] == got[2][-1]
+    assert (dt.datetime.now() - begun).total_seconds() < 60
