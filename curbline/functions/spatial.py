@@ -48,6 +48,11 @@ def to_grid(lon: Column, lat: Column) -> Column:
     return point(x, y)
 
 
+def once(x: Column, f) -> Column:
+    """f(x), where ``x`` is computed once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 # ---- lines
 
 
@@ -164,7 +169,7 @@ def boxes_overlap(a: Column, b: Column) -> Column:
 
 
 def _shoelace(ring: Column) -> Column:
-    return F.aggregate(sides(ring, True), F.lit(0.0), lambda s, e: s + e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])
+    return once(ring, lambda r: F.aggregate(sides(r, True), F.lit(0.0), lambda s, e: s + e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"]))
 
 
 def area(ring: Column) -> Column:
@@ -173,8 +178,8 @@ def area(ring: Column) -> Column:
 
 def centroid(ring: Column) -> Column:
     """Centre of gravity of a ring's area."""
-    of = lambda c: F.aggregate(sides(ring, True), F.lit(0.0), lambda s, e: s + (e["a"][c] + e["b"][c]) * (e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])) / (3 * _shoelace(ring))
-    return point(of("x"), of("y"))
+    of = lambda r, n, c: F.aggregate(sides(r, True), F.lit(0.0), lambda s, e: s + (e["a"][c] + e["b"][c]) * (e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])) / (3 * n)
+    return once(ring, lambda r: once(_shoelace(r), lambda n: point(of(r, n, "x"), of(r, n, "y"))))
 
 
 def inside(p: Column, ring: Column) -> Column:
@@ -190,15 +195,17 @@ def inside(p: Column, ring: Column) -> Column:
 def _cut(ring: Column, e: Column, sign: int) -> Column:
     """A ring's part to the left of a segment's line (sign 1), or to the right (-1)."""
     side = lambda p: sign * ((e["b"]["x"] - e["a"]["x"]) * (p["y"] - e["a"]["y"]) - (e["b"]["y"] - e["a"]["y"]) * (p["x"] - e["a"]["x"]))
+    corners = F.transform(ring, lambda p: F.struct(p.alias("p"), side(p).alias("s")))
 
-    def kept(s):
-        p, q = side(s["a"]), side(s["b"])
+    def kept(c):
+        a, b, p, q = c["a"]["p"], c["b"]["p"], c["a"]["s"], c["b"]["s"]
         t = p / F.nullif(p - q, F.lit(0.0))
-        meet = point(s["a"]["x"] + t * (s["b"]["x"] - s["a"]["x"]), s["a"]["y"] + t * (s["b"]["y"] - s["a"]["y"]))
+        meet = once(t, lambda t: point(a["x"] + t * (b["x"] - a["x"]), a["y"] + t * (b["y"] - a["y"])))
+        crosses = ((p > 0) & (q < 0)) | ((p < 0) & (q > 0))
         none = F.array().cast(f"array<{POINT}>")
-        return F.concat(F.when(p >= 0, F.array(s["a"])).otherwise(none), F.when(((p > 0) & (q < 0)) | ((p < 0) & (q > 0)), F.array(meet)).otherwise(none))
+        return F.when((p >= 0) & crosses, F.array(a, meet)).when(p >= 0, F.array(a)).when(crosses, F.array(meet)).otherwise(none)
 
-    return F.flatten(F.transform(sides(ring, True), kept))
+    return F.flatten(once(corners, lambda c: F.transform(sides(c, True), kept)))
 
 
 def intersection(ring: Column, convex: Column) -> Column:
@@ -213,32 +220,35 @@ def difference(ring: Column, convex: Column) -> Column:
     return F.filter(done["out"], lambda r: (F.size(r) > 2) & (area(r) > 0))
 
 
-def union(ring: Column, convex: Column) -> Column:
-    """Both rings as rings that don't overlap."""
-    return F.concat(F.array(convex), difference(ring, convex))
+def union(ring: Column, convex: Column, rest: Column | None = None) -> Column:
+    """Both rings as rings that don't overlap; ``rest``: their difference, where it is at hand."""
+    return F.concat(F.array(convex), difference(ring, convex) if rest is None else rest)
 
 
 def total_area(rings: Column) -> Column:
     return F.aggregate(rings, F.lit(0.0), lambda s, r: s + area(r))
 
 
-def contains(ring: Column, convex: Column) -> Column:
-    """Whether a convex ring lies wholly in another convex one."""
-    return F.abs(area(intersection(convex, ring)) - area(convex)) <= 1e-9 * area(convex)
+def contains(ring: Column, convex: Column, common: Column | None = None) -> Column:
+    """Whether a convex ring lies wholly in another convex one; ``common``: the inner one's intersection with the other, where it is at hand."""
+    common = intersection(convex, ring) if common is None else common
+    return once(area(convex), lambda n: F.abs(area(common) - n) <= 1e-9 * n)
 
 
-def intersects(ring: Column, convex: Column) -> Column:
-    return area(intersection(ring, convex)) > 0
+def intersects(ring: Column, convex: Column, common: Column | None = None) -> Column:
+    """``common``: their intersection, where it is at hand."""
+    return area(intersection(ring, convex) if common is None else common) > 0
 
 
-def overlaps(ring: Column, convex: Column) -> Column:
-    """Whether rings share area and neither holds the other."""
-    return intersects(ring, convex) & ~contains(ring, convex) & ~contains(convex, ring)
+def overlaps(ring: Column, convex: Column, common: Column | None = None, turned: Column | None = None) -> Column:
+    """Whether rings share area and neither holds the other; ``common`` and ``turned``: their intersection, and that of ``convex`` with ``ring``."""
+    return once(intersection(ring, convex) if common is None else common, lambda c: intersects(ring, convex, c) & ~contains(convex, ring, c)) & ~contains(ring, convex, turned)
 
 
 def buffer(p: Column, radius, corners: int = 32) -> Column:
     """A circle about a point, as a ring of corners."""
-    return F.array(*[point(p["x"] + radius * math.cos(2 * math.pi * k / corners), p["y"] + radius * math.sin(2 * math.pi * k / corners)) for k in range(corners)])
+    turns = F.lit([[math.cos(2 * math.pi * k / corners), math.sin(2 * math.pi * k / corners)] for k in range(corners)])
+    return once(p, lambda p: F.transform(turns, lambda t: point(p["x"] + radius * t[0], p["y"] + radius * t[1])))
 
 
 # ---- text

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from curbline.functions import spatial as sp
 from curbline.operators import lines
 from curbline.plans.registry import register
+from curbline.session import spread
 from curbline.sources.tables import table
 
 #: Every customer has an L-shaped line, three to the east and four to the north from (x0, y0).
@@ -132,11 +133,12 @@ def q_polygons(spark, sf_dir):
     k = F.col("c_custkey")
     x, y = (k % 100).cast("double"), (k % 37).cast("double")
     ring = lambda x, y: F.array(sp.point(x, y), sp.point(x + 4, y), sp.point(x + 4, y + 3), sp.point(x, y + 3))
-    rows = table(spark, sf_dir, "customer").select("c_custkey", ring(x, y).alias("a"), ring(x + k % 7 - 3, y + k % 5 - 2).alias("b"))
-    a, b, c = F.col("a"), F.col("b"), sp.centroid(F.col("a"))
-    return rows.select(
-        "c_custkey", F.round(sp.area(sp.intersection(a, b)), 6).alias("common"), F.round(sp.total_area(sp.difference(a, b)), 6).alias("rest"), F.round(sp.total_area(sp.union(a, b)), 6).alias("both"),
-        sp.intersects(a, b).alias("meets"), sp.contains(a, b).alias("holds"), sp.overlaps(a, b).alias("partly"), F.round(c["x"], 6).alias("cx"), F.round(c["y"], 6).alias("cy"), F.round(sp.area(sp.buffer(sp.point_at(a, 1), F.lit(1.0))), 6).alias("circle"),
+    rows = spread(table(spark, sf_dir, "customer").select("c_custkey")).select("c_custkey", ring(x, y).alias("a"), ring(x + k % 7 - 3, y + k % 5 - 2).alias("b"))
+    a, b, c, ab, ba, rest = F.col("a"), F.col("b"), sp.centroid(F.col("a")), F.col("ab"), F.col("ba"), F.col("rest")
+    cut = rows.select("*", sp.intersection(a, b).alias("ab"), sp.intersection(b, a).alias("ba"), sp.difference(a, b).alias("rest"))
+    return cut.select(
+        "c_custkey", F.round(sp.area(ab), 6).alias("common"), F.round(sp.total_area(rest), 6).alias("rest"), F.round(sp.total_area(sp.union(a, b, rest)), 6).alias("both"),
+        sp.intersects(a, b, ab).alias("meets"), sp.contains(a, b, ba).alias("holds"), sp.overlaps(a, b, ab, ba).alias("partly"), F.round(c["x"], 6).alias("cx"), F.round(c["y"], 6).alias("cy"), F.round(sp.area(sp.buffer(sp.point_at(a, 1), F.lit(1.0))), 6).alias("circle"),
     )
 
 

@@ -33,3 +33,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     at = f"{shared_folder(df.sparkSession)}/step-{uuid.uuid4().hex}"
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores, where a small file with many rows gives fewer tasks; for work that is heavy by row."""
+    n = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
