@@ -550,7 +550,9 @@ class Join:
         own = written(prefixes.join(some.select("node").distinct(), "node", "left_semi").select("node", "prefix", "parities").dropDuplicates(["node"]), "own")
         dropped(left, fits, prefixes)
         near = written(_possible(_parted(some.join(own.select("node", "parities"), "node")), p).distinct(), "near")
-        rest = some.join(near, ["key", "node"]).join(own, "node").withColumn("many", F.count("*").over(Window.partitionBy("key")))
+        # counted before the prefixes come along, so that these are moved once, to their trees
+        counted = near.join(near.groupBy("key").agg(F.count("*").alias("many")), "key")
+        rest = some.drop("many").join(counted, ["key", "node"]).join(own, "node")
         tails = rest.withColumn("grams", F.slice("prefix", F.col("pos") + 1, F.size("prefix") - F.col("pos"))).withColumn("rest", (F.col("size") - F.col("pos")).cast("long"))
         possible = written(_grouped_trees(_parted(tails), p, True).distinct(), "possible")
         dropped(some, own, near)

@@ -454,6 +454,23 @@ def test_parities_lose_no_link(monkeypatch):
     assert want and want <= got <= pairs and len(got) < len(pairs) / 2
 
 
+def test_prefixes_are_moved_once_to_their_trees(spark, monkeypatch):
+    plans, trees = [], ngram_join._grouped_trees
+
+    def seen(rows, *rest):
+        if "parities" in rows.columns:
+            assert rows.where("part >= many").isEmpty()
+            plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return trees(rows, *rest)
+
+    monkeypatch.setattr(ngram_join, "_grouped_trees", seen)
+    words = [f"w{k}" for k in range(40)]
+    docs = spark.createDataFrame([(k, " ".join(words[:k] + ["x"] + words[k:])) for k in range(12)], "doc_id long, text string")
+    ngram_join.groups(docs).count()
+    assert len(plans) == 1
+    assert "prefix" in plans[0] and "Window" not in plans[0]  # a window over groups would deal whole prefixes by them first
+
+
 def test_chunks_come_to_buckets_in_turn(spark):
     numbers = [n for task in range(5) for n, _ in zip(exchange.chunk_numbers(task, 12), range(30))]
     assert len(set(numbers)) == 150
