@@ -503,9 +503,11 @@ class Join:
     def __init__(self, documents: DataFrame, id_col: str, text_col: str, words: int, percent: int):
         self.texts, self.words, self.percent = _raw(documents, id_col, text_col), words, percent
         self.spark = documents.sparkSession
-        self.rows = _sets_of(self.texts, words)
-        self.codes = self.spark.sparkContext.broadcast(_codes(self.rows))
-        docs = self.rows.where("size >= 0").select("doc_id", "size", "node", "other", "text_key")
+        sets = _sets_of(self.texts, words)
+        self.codes = self.spark.sparkContext.broadcast(_codes(sets))
+        # counters are most of the table's bytes; they are not kept while the rest runs
+        self.rows = docs = written(sets.where("size >= 0").drop("sketch"), "rows")
+        dropped(sets)
         # sets whose first halves agree and others don't: about n * n / 2 ** 65 of n, so few at any size
         unlike = docs.groupBy("node").agg(F.min("other").alias("lo"), F.max("other").alias("hi")).where("lo <> hi")
         self.twice = frozenset(r.node for r in unlike.select("node").collect())
